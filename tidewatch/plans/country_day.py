@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions import dates, lineages, numbers, text
@@ -34,65 +34,49 @@ def load_cases(series: DataFrame, first: dt.date = K.FIRST_DATE,
     return columns.prefix_columns(daily, prefix)
 
 
-def sequence_cube(clean: DataFrame, lineage: str = "pango_lineage") -> DataFrame:
-    """Records per (collected, submitted, country, lineage).
+REST = "unlisted"
 
-    The one aggregate over raw records that both the lineage counts and the lag
-    statistics are derived from, so the line list is read and shuffled once.
-    """
-    return clean.groupBy(
-        "collect_date", "submit_date", "country", lineage,
-        F.col("accession_id").isNotNull().alias("has_id"),
-    ).agg(F.count("*").alias("_freq")).dropna(subset=["collect_date", "country"])
 
+def wide_counts(clean: DataFrame, labels: Sequence[str], patterns: Sequence[str] | None = None,
+                lineage: str = "pango_lineage", counted: str = "accession_id") -> DataFrame:
+    """One row per (collect_date, country): total, listed lineages, other lineages.
 
-def cube_lineage_counts(cube: DataFrame, patterns: Sequence[str] | None = None,
-                        lineage: str = "pango_lineage") -> DataFrame:
-    """(collect_date, country, key_lineages, n) including the totals."""
+    Lineages become pivot slots before the records are aggregated, so a task
+    sends at most one row per country, day and slot.  Records without a lineage
+    and unlisted key lineages share one extra slot; the total is the row sum.
+    """
+    listed = [*sorted(labels), K.OTHER_LINEAGES]
     own = lineages.key_lineage(F.col(lineage), patterns)
-    n = F.when(F.col("has_id"), F.col("_freq")).otherwise(F.lit(0))
-    labels = F.array(
-        F.lit(K.ALL_LINEAGES), F.when(F.col(lineage).isNotNull(), own))
-    return (
-        cube.select("collect_date", "country", n.alias("n"),
-                    F.explode(labels).alias("key_lineages"))
-        .filter(F.col("key_lineages").isNotNull())
-        .groupBy("collect_date", "country", "key_lineages").agg(F.sum("n").alias("n"))
-    )
-
-
-def cube_lag_stats(cube: DataFrame) -> DataFrame:
-    lag = dates.lag_days(F.col("submit_date"), F.col("collect_date"))
-    freq = F.when(lag.isNotNull(), F.col("_freq")).otherwise(F.lit(0).cast("bigint"))
-    return cube.select("collect_date", "country", lag.alias("lag_days"),
-                       freq.alias("_freq")).groupBy("collect_date", "country").agg(
-        *rollups._lag_measures("lag_days", "_freq", "lagdays"))
-
-
-def wide_lineages(long: DataFrame, cases: DataFrame, labels: Sequence[str]) -> DataFrame:
+    slot = F.when(F.col(lineage).isNotNull() & own.isin(listed), own).otherwise(REST)
+    slots = clean.dropna(subset=["collect_date", "country"]).groupBy(
+        "collect_date", "country", slot.alias("slot")).agg(F.count(counted).alias("n"))
+    wide = lineage_counts.pivot_lineages(
+        slots, ["collect_date", "country"], [*listed, REST], "slot")
+    total = F.lit(0).cast("bigint")
+    for c in [*listed, REST]:
+        total = total + F.coalesce(F.col(f"`{c}`"), F.lit(0))
+    return wide.select("collect_date", "country", total.alias(K.ALL_LINEAGES),
+                       *(F.col(f"`{c}`") for c in listed))
+
+
+def wide_cases(wide: DataFrame, cases: DataFrame) -> DataFrame:
     """Lineage columns per (day, country) merged with the case series.
 
-    Lineages are pivoted before the merge: the join then sees one row per
-    country and day.  Days without sequences stay, with null counts.
+    Both sides have one row per country and day.  Days without sequences stay,
+    with null counts.  A country's population and continent are spread over all
+    its days by a window, so the case series is read once.
     """
-    order = [K.ALL_LINEAGES, *sorted(labels), K.OTHER_LINEAGES]
-    wide = lineage_counts.pivot_lineages(long, ["collect_date", "country"], order)
     day_cases = cases.select(
-        F.col("date").alias("collect_date"), F.col("location").alias("country"),
-        "new_cases", "new_cases_smoothed", "new_people_vaccinated",
+        F.col("date").alias("collect_date"), F.col("location").alias("country"), "location",
+        "continent", "population", "new_cases", "new_cases_smoothed", "new_people_vaccinated",
         "new_people_fully_vaccinated")
-    places = cases.groupBy(F.col("location").alias("country")).agg(
-        F.max("location").alias("location"), F.max("continent").alias("continent"),
-        F.max("population").alias("population"))
-    merged = reconcile.merge_full(wide, day_cases, ["collect_date", "country"])
-    return (
-        merged.join(places, "country", "left")
-        .withColumns({
-            "date": F.col("collect_date"),
-            "collect_yearweek": dates.iso_yearweek(F.col("collect_date")),
-            "collect_weekstartdate": dates.week_start(F.col("collect_date")),
-        })
-    )
+    place = Window.partitionBy("country")
+    return reconcile.merge_full(wide, day_cases, ["collect_date", "country"]).withColumns({
+        **{c: F.max(c).over(place) for c in ("location", "continent", "population")},
+        "date": F.col("collect_date"),
+        "collect_yearweek": dates.iso_yearweek(F.col("collect_date")),
+        "collect_weekstartdate": dates.week_start(F.col("collect_date")),
+    })
 
 
 def country_day_wide(
@@ -101,8 +85,7 @@ def country_day_wide(
     region_name: str = "WHO region", seq_prefix: str = "seq_", case_prefix: str = "case_",
 ) -> DataFrame:
     """The wide country-day table with regional rows and lag statistics."""
-    cube = sequence_cube(clean)
-    wide = wide_lineages(cube_lineage_counts(cube, patterns), cases, labels)
+    wide = wide_cases(wide_counts(clean, labels, patterns), cases)
     wide = crosswalk.add_dimension(
         wide, regions, {"location": region_key}, {region_name: "who_region"})
     keys = ["collect_date", "collect_yearweek", "collect_weekstartdate", "date"]
@@ -111,7 +94,9 @@ def country_day_wide(
                 "new_people_fully_vaccinated", "population"]
     regional = rollups.location_rollup(wide, keys, measures)
     rows = columns.bind_rows(wide, regional)
-    full = rows.join(cube_lag_stats(cube), ["collect_date", "country"], "left")
+    lags = rollups.lag_stats(clean.withColumn(
+        "lag_days", dates.lag_days(F.col("submit_date"), F.col("collect_date"))))
+    full = rows.join(lags, ["collect_date", "country"], "left")
     latest = filters.up_to_latest(full, "date", clean, "submit_date")
     names = {c: seq_prefix + c for c in (
         "collect_date", "country", "collect_yearweek", "collect_weekstartdate")}

@@ -9,10 +9,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Quartile aggregates keep one small map per country and day; the default of
-    # 128 groups per task would switch them to a sort.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide projections generate methods above the JIT's default size limit, which
+    # would then be interpreted.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -403,7 +403,8 @@ VIEWS = {
         SELECT doc_id, list_transform(string_split(text, ' '), lambda w, i:
           CASE WHEN w = 'und' THEN 'total (worldwide)'
                WHEN (i - 1) % 7 = 1 OR (i - 1) % 7 = 3
-               THEN format('{:,}', length(w) * 1000 + i - 1) ELSE w END) AS cells
+               THEN CAST(length(w) AS VARCHAR) || ',' ||
+                    lpad(CAST((i - 1) % 1000 AS VARCHAR), 3, '0') ELSE w END) AS cells
         FROM documents""",
     "page_stops": """
         SELECT doc_id, cells, CASE WHEN list_position(cells, 'total (worldwide)') > 0

@@ -135,6 +135,7 @@ def coded_line_list(spark, sf):
         F.count("*").alias("n"), F.count("location").alias("n_places"))
 
 
+@V.view
 def name_codes(spark, sf) -> DataFrame:
     """Crosswalk over the plain-preset spellings of the nations."""
     names = V.table(spark, sf, "nation").select(
@@ -184,6 +185,7 @@ def feed_lines(spark, sf):
 DAY_KEYS = ["collect_date", "collect_yearweek", "collect_weekstartdate", "country"]
 
 
+@V.view
 def weekly_clean(spark, sf):
     return V.clean_list(spark, sf).withColumns({
         "collect_yearweek": dates.iso_yearweek(F.col("collect_date")),
@@ -240,25 +242,19 @@ def submission_day_counts(spark, sf):
 PIVOT_LABELS = ["Brand#1", "Brand#2", "Brand#20", "Brand#3", "Brand#4", "Brand#5", "Brand#7"]
 
 
-def long_counts(spark, sf):
-    cube = country_day.sequence_cube(V.clean_list(spark, sf))
-    return country_day.cube_lineage_counts(cube, V.KEY_PATTERNS)
-
-
 @query
 def lineage_pivot(spark, sf):
-    values = [K.ALL_LINEAGES, *PIVOT_LABELS, K.OTHER_LINEAGES]
+    long = lineage_counts.counts_with_lineage(
+        V.clean_list(spark, sf), ["collect_date", "country"], patterns=V.KEY_PATTERNS)
     return lineage_counts.pivot_lineages(
-        long_counts(spark, sf), ["collect_date", "country"], values)
+        long, ["collect_date", "country"],
+        [K.ALL_LINEAGES, *PIVOT_LABELS, K.OTHER_LINEAGES])
 
 
 @query
 def variant_groups(spark, sf):
     brands = [f"Brand#{i}" for i in range(1, 26)]
-    wide = lineage_counts.pivot_lineages(
-        country_day.cube_lineage_counts(
-            country_day.sequence_cube(V.clean_list(spark, sf)), brands),
-        ["collect_date", "country"], [K.ALL_LINEAGES, *brands])
+    wide = country_day.wide_counts(V.clean_list(spark, sf), brands, brands)
     return lineage_counts.variant_group_columns(wide, V.GROUPS).select(
         "collect_date", "country", *V.GROUPS, "who_other")
 
@@ -362,6 +358,7 @@ def lag_stats(spark, sf):
     return rollups.lag_stats(V.clean_list(spark, sf, lineage=False))
 
 
+@V.view
 def regional_clean(spark, sf):
     ll = V.clean_list(spark, sf, lineage=False).withColumnRenamed("region", "continent")
     return crosswalk.add_dimension(
@@ -374,6 +371,7 @@ def regional_lag_stats(spark, sf):
     return rollups.regional_lag_stats(regional_clean(spark, sf))
 
 
+@V.view
 def regional_cases(spark, sf):
     cases = filters.without_values(
         V.case_series(spark, sf), "iso_code", K.AGGREGATE_CODES_9)
@@ -400,12 +398,13 @@ def weekly_rollup(spark, sf):
 
 @query
 def country_day_wide(spark, sf):
-    cases = country_day.load_cases(V.case_series(spark, sf), V.FIRST)
+    cases = country_day.load_cases(V.case_series(spark, sf, aggregates=False), V.FIRST)
     out = country_day.country_day_wide(
         V.clean_list(spark, sf), cases, V.regions(spark, sf), PIVOT_LABELS, V.KEY_PATTERNS)
     return digits(out, "case_new_cases_smoothed")
 
 
+@V.view
 def merged(spark, sf):
     return country_day.merged_series(
         V.coded_list(spark, sf), V.case_series(spark, sf, aggregates=False), V.families(),
@@ -427,6 +426,7 @@ def ratio_columns(spark, sf):
 
 # --- windows ------------------------------------------------------------------------------------
 
+@V.view
 def dense_counts(spark, sf):
     counts = lineage_counts.count_by(
         V.coded_list(spark, sf, lineage=False), ["code", "collection_date"]
@@ -502,6 +502,7 @@ def two_day_change(spark, sf):
 
 # --- submission-aware counts ----------------------------------------------------------------------
 
+@V.view
 def thirty_day(spark, sf, end=V.LAST):
     return trailing_counts.with_lag_30(trailing_counts.trailing_counts(
         V.line_list(spark, sf).select("collection_date", "submission_date"),
@@ -540,10 +541,12 @@ def seq_refresh(spark, sf):
 
 # --- country summary -------------------------------------------------------------------------------
 
+@V.view
 def codes(spark, sf):
     return crosswalk.build_crosswalk(V.country_dimension(spark, sf), "country", "code")
 
 
+@V.view
 def tests_by_country(spark, sf):
     return summary.testing_metrics(V.testing(spark, sf), codes(spark, sf), V.AS_OF)
 
@@ -573,6 +576,7 @@ def recent_with_testing(spark, sf):
                   "positivity_in_last_30_days")
 
 
+@V.view
 def family_summary(spark, sf, family):
     return summary.lineage_summary(
         merged(spark, sf), tests_by_country(spark, sf), V.geometry(spark, sf),
@@ -683,6 +687,7 @@ def reconciled_summary(spark, sf):
                          "max_cases_na", "cum_seq", "cum_seq_na", "cases_per_100k_last_7_days")
 
 
+@V.view
 def daily_snapshots(spark, sf, pick="earliest"):
     clean = toplines.clean_snapshots(V.snapshots(spark, sf))
     return windows.daily_snapshot(clean, "timestamp", pick)
@@ -698,6 +703,7 @@ def feed_by_day(spark, sf):
     return toplines.feed_by_day(toplines.cumulative_feed(V.feed_counts(spark, sf)))
 
 
+@V.view
 def reconciled_days(spark, sf):
     return toplines.reconcile_daily(
         toplines.cumulative_feed(V.feed_counts(spark, sf)), daily_snapshots(spark, sf))
@@ -708,6 +714,7 @@ def reconcile_daily(spark, sf):
     return reconciled_days(spark, sf)
 
 
+@V.view
 def global_totals(spark, sf):
     return toplines.global_daily(country_day.rolling_series(merged(spark, sf)), V.LAST)
 
@@ -729,6 +736,7 @@ def topline_series(spark, sf):
     return toplines.topline_series(global_totals(spark, sf), thirty_day(spark, sf))
 
 
+@V.view
 def series_by_day(spark, sf):
     return toplines.global_series(
         reconciled_days(spark, sf), global_totals(spark, sf), thirty_day(spark, sf))
@@ -806,6 +814,7 @@ DASH_DAY = dt.date(2001, 7, 2)
 DASH_COUNTRIES = [f"NATION_{i}" for i in range(1, 21)]
 
 
+@V.view
 def board(spark, sf):
     counts = V.line_list(spark, sf).groupBy("country").agg(
         F.count("*").alias("omicron_variant"))
@@ -848,6 +857,7 @@ def literal_counts(spark, sf):
     return counts.join(cases, "country")
 
 
+@V.view
 def places(spark, sf):
     return V.nations(spark, sf).select(
         F.col("country").alias("NAME"), F.col("code").alias("ISO3"),

@@ -9,8 +9,9 @@ line items are shuffled once.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidewatch.functions.lineages import lineage_family
 from tidewatch.functions.text import lookup
@@ -40,30 +41,47 @@ GROUPS = {
 KEY_PATTERNS = ["Brand#1", "Brand#2*", "Brand#3", "Brand#4", "Brand#5", "Brand#7"]
 
 
+# A view is a lazy plan; building it once per session and folder saves driver time.
+view = functools.lru_cache(maxsize=None)
+
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table.  Its schema is looked up once, not by a job per read."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spelling(key):
     return F.get(F.array(*(F.lit(x) for x in SPELLINGS)), key)
 
 
+@view
 def nations(spark, sf) -> DataFrame:
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", F.col("n_name").alias("country"), F.col("r_name").alias("region"),
         F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
         .alias("code"))
 
 
+@view
 def order_places(spark, sf) -> DataFrame:
-    """Orders with the customer's nation."""
+    """Orders with the customer's nation.
+
+    Nations are a fixed list of 25 and are broadcast.  Orders, customers and line
+    items all grow with the data and meet in merge joins.
+    """
     places = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    places = places.join(nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = places.join(
+        F.broadcast(nations(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice",
         F.to_date("o_orderdate").alias("collection_date"))
-    return orders.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.hint("merge").join(places, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "collection_date", "o_totalprice", "n_nationkey", "country", "region",
         "code", F.col("c_mktsegment").alias("division"))
 
@@ -72,12 +90,14 @@ def accession():
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
 
 
+@view
 def line_list(spark, sf, lineage: bool = False) -> DataFrame:
     """One row per line item: the sequence line list."""
     items = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         accession().alias("accession_id"), F.to_date("l_shipdate").alias("submission_date"))
-    rows = items.join(order_places(spark, sf), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = items.hint("merge").join(
+        order_places(spark, sf), F.col("l_orderkey") == F.col("o_orderkey"))
     if lineage:
         part = table(spark, sf, "part").select(
             "p_partkey", F.col("p_brand").alias("pango_lineage"))
@@ -85,6 +105,7 @@ def line_list(spark, sf, lineage: bool = False) -> DataFrame:
     return rows
 
 
+@view
 def clean_list(spark, sf, lineage: bool = True) -> DataFrame:
     """Line list in the shape the wide-table job reads."""
     keep = ["accession_id", "country", "region", "collect_date", "submit_date"]
@@ -94,6 +115,7 @@ def clean_list(spark, sf, lineage: bool = True) -> DataFrame:
         "lag_days", F.datediff("submit_date", "collect_date"))
 
 
+@view
 def metadata(spark, sf) -> DataFrame:
     """The 22-column metadata extract, with gaps and partial dates."""
     items = table(spark, sf, "lineitem").select(
@@ -108,7 +130,7 @@ def metadata(spark, sf) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("Pango lineage"))
     places = order_places(spark, sf).withColumn("_raw", spelling(F.col("n_nationkey")))
     day = F.col("collection_date").cast("string")
-    rows = items.join(places, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    rows = items.hint("merge").join(places, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey"))
     two = F.concat_ws(" / ", "region", "_raw")
     filler = F.lit(None).cast("string")
@@ -127,6 +149,7 @@ def metadata(spark, sf) -> DataFrame:
         "N-Content", "GC-Content")
 
 
+@view
 def exclusion_lines(spark, sf) -> DataFrame:
     """Lines of an exclusion list: names, comments and blanks."""
     line = F.col("l_linenumber")
@@ -135,6 +158,7 @@ def exclusion_lines(spark, sf) -> DataFrame:
         .otherwise("").alias("value"))
 
 
+@view
 def populations(spark, sf) -> DataFrame:
     return table(spark, sf, "customer").groupBy("c_nationkey").agg(
         (F.count("*") * 1000).cast("double").alias("population"))
@@ -144,6 +168,7 @@ REGION_CODES = {"AFRICA": "OWID_AFR", "AMERICA": "OWID_NAM", "ASIA": "OWID_ASI",
                 "EUROPE": "OWID_EUR", "MIDDLE EAST": "OWID_OCE"}
 
 
+@view
 def case_series(spark, sf, aggregates: bool = True) -> DataFrame:
     """Country rows plus regional and world aggregates, as the case feed has them."""
     place = ["n_nationkey", "country", "code", "region"]
@@ -188,6 +213,7 @@ def case_series(spark, sf, aggregates: bool = True) -> DataFrame:
         F.when(seen, hundred("_cf")).alias("people_fully_vaccinated_per_hundred"))
 
 
+@view
 def testing(spark, sf) -> DataFrame:
     """Testing series: submissions per nation and day, plus regional rows."""
     daily = line_list(spark, sf).groupBy(
@@ -215,6 +241,7 @@ def testing(spark, sf) -> DataFrame:
         F.floor(F.col("_cum") * factor / 100).cast("double").alias("all_cum_cases"))
 
 
+@view
 def snapshots(spark, sf) -> DataFrame:
     """Hourly scrapes of a case tracker, on the order calendar."""
     key = F.col("user_id") % 25
@@ -229,16 +256,19 @@ def snapshots(spark, sf) -> DataFrame:
     ).withColumn("location", F.concat(F.lit("place "), "code"))
 
 
+@view
 def feed_counts(spark, sf) -> DataFrame:
     """Submissions per country and day, without the days nobody submitted."""
     return line_list(spark, sf).groupBy("country", "code", "submission_date").agg(
         F.count("*").alias("n"))
 
 
+@view
 def country_dimension(spark, sf) -> DataFrame:
     return nations(spark, sf).select("country", "code")
 
 
+@view
 def geometry(spark, sf) -> DataFrame:
     n = nations(spark, sf).filter(F.col("n_nationkey") % 6 != 0)
     return n.select(
@@ -246,6 +276,7 @@ def geometry(spark, sf) -> DataFrame:
         F.col("country").alias("Name"), F.col("code").alias("country_code"))
 
 
+@view
 def lat_long(spark, sf) -> DataFrame:
     """Coordinates; one country is listed twice."""
     n = nations(spark, sf).select(
@@ -254,6 +285,7 @@ def lat_long(spark, sf) -> DataFrame:
     return n.unionByName(n.filter(F.col("country_code") == HOME))
 
 
+@view
 def regions(spark, sf) -> DataFrame:
     return nations(spark, sf).filter(F.col("n_nationkey") < 24).select(
         F.col("country").alias("Entity"), F.col("region").alias("WHO region"))
@@ -269,12 +301,14 @@ def families():
     }
 
 
+@view
 def coded_list(spark, sf, lineage: bool = True) -> DataFrame:
     keep = ["code", "country", "collection_date", "submission_date"]
     return line_list(spark, sf, lineage).select(
         *keep, *(["pango_lineage"] if lineage else []))
 
 
+@view
 def flows(spark, sf) -> DataFrame:
     """Weekly flows between places, keys packed in text."""
     day = F.to_date("l_shipdate")
@@ -286,6 +320,7 @@ def flows(spark, sf) -> DataFrame:
     ).agg(F.sum("l_quantity").alias("x"))
 
 
+@view
 def state_table(spark, sf) -> DataFrame:
     """State table as published: counts as text with separators."""
     ll = line_list(spark, sf)
@@ -303,6 +338,7 @@ def state_table(spark, sf) -> DataFrame:
         "Median days to deposition")
 
 
+@view
 def tracker_pages(spark, sf) -> DataFrame:
     """One scraped page per document: its words as table cells.
 
@@ -311,6 +347,8 @@ def tracker_pages(spark, sf) -> DataFrame:
     """
     words = F.split("text", " ")
     cell = lambda w, i: F.when(w == "und", "total (worldwide)").when(
-        (i % 7 == 1) | (i % 7 == 3), F.format_number(F.length(w) * 1000 + i, 0)).otherwise(w)
+        (i % 7 == 1) | (i % 7 == 3), F.concat(
+            F.length(w).cast("string"), F.lit(","),
+            F.lpad((i % 1000).cast("string"), 3, "0"))).otherwise(w)
     return table(spark, sf, "documents").select(
         "doc_id", F.transform(words, cell).alias("cells"))
