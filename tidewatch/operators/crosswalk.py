@@ -76,3 +76,14 @@ def add_dimension(df: DataFrame, dim: DataFrame, on: Mapping[str, str], keep: Ma
         t = F.col(f"`{fact}`") == F.col(k)
         test = t if test is None else test & t
     return df.join(side, test, how).drop(*names)
+
+
+def full_join_keyed(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Full outer join with a ``small`` side of one row per key.
+
+    Spark can neither broadcast a side of a full outer join nor split a hot key
+    in it.  A left join allows both; the unmatched rows of ``small`` are added.
+    """
+    seen = big.select(key).dropna().distinct()
+    unmatched = small.join(seen, key, "left_anti")
+    return big.join(small, key, "left").unionByName(unmatched, allowMissingColumns=True)

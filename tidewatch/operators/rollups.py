@@ -94,16 +94,16 @@ def overwrite_reported(df: DataFrame, reported: DataFrame, keys: Sequence[str],
     A place that reports at all loses its own values; weeks it does not report
     are null.
     """
-    side = reported.select(*(F.col(k).alias(f"_{k}") for k in keys),
-                           *(F.col(c).alias(f"_r_{c}") for c in columns))
-    places = reported.select(F.col(place).alias("_place")).dropna().distinct()
+    side = reported.select(*(F.col(k).alias(f"_key_{k}") for k in keys),
+                           *(F.col(c).alias(f"_reported_{c}") for c in columns))
+    places = reported.select(F.col(place).alias("_reporting")).dropna().distinct()
     test = None
     for k in keys:
-        t = F.col(k) == F.col(f"_{k}")
+        t = F.col(k) == F.col(f"_key_{k}")
         test = t if test is None else test & t
     joined = df.join(side, test, "left").join(
-        places, F.col(place) == F.col("_place"), "left")
+        places, F.col(place) == F.col("_reporting"), "left")
     return joined.withColumns({
-        c: F.when(F.col("_place").isNotNull(), F.col(f"_r_{c}")).otherwise(F.col(c))
+        c: F.when(F.col("_reporting").isNotNull(), F.col(f"_reported_{c}")).otherwise(F.col(c))
         for c in columns
     }).select(*df.columns)

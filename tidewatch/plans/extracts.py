@@ -87,14 +87,14 @@ def map_polygons(vertices: DataFrame, attributes: DataFrame, summary: DataFrame,
                  feed: DataFrame) -> DataFrame:
     """Polygon vertices with their shape's attributes, metrics and sequences.
 
-    The vertex table is the large side; attributes, metrics and counts have one
-    row per country, so Spark can broadcast them when they are small.
+    Metrics and counts without a shape stay as rows without vertices.
     """
     seq = feed.groupBy(F.col("country").alias("NAME")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("cum_seq"))
     shaped = vertices.join(attributes.withColumnRenamed("ISO3", "code"), "id")
     metrics = summary.withColumnRenamed("country_code", "code")
-    return shaped.join(metrics, "code", "full").join(seq, "NAME", "full")
+    return crosswalk.full_join_keyed(
+        crosswalk.full_join_keyed(shaped, metrics, "code"), seq, "NAME")
 
 
 def flow_table(flows: DataFrame) -> DataFrame:
