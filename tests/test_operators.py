@@ -312,3 +312,27 @@ def test_full_join_keyed_equals_full_join(frame):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(
         map(tuple, want.collect()), key=key)
+
+
+def test_densify_from_the_first_day_seen(frame):
+    facts = frame([("x", D(2021, 1, 2), 1), ("y", D(2021, 1, 3), 3)], "k string, date date, n int")
+    dense = calendar.densify(facts, ["k"], None, D(2021, 1, 3))
+    assert listed(dense, "k", "date") == [
+        ("x", D(2021, 1, 2), 1), ("x", D(2021, 1, 3), None),
+        ("y", D(2021, 1, 2), None), ("y", D(2021, 1, 3), 3)]
+
+
+def test_densify_equals_grid_join(frame):
+    day = lambda i: D(2021, 1, i)
+    rows = [("a", day(1), 1), ("a", day(5), 2), ("a", day(5), 3), ("a", day(9), 4),
+            ("b", day(2), 5), ("c", day(12), 6), ("c", day(20), 7), ("d", None, 8),
+            ("e", day(4), 9), ("e", day(8), 10), ("f", day(3), 11), (None, day(5), 12),
+            ("g", None, 13), ("g", day(6), 14)]
+    facts = frame(rows, "k string, date date, n int")
+    start, end = day(4), day(10)
+    got = calendar.densify(facts, ["k"], start, end)
+    want = calendar.day_grid(facts, ["k"], start, end).join(facts, ["k", "date"], "left")
+    assert got.columns == want.columns
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(
+        map(tuple, want.collect()), key=key)

@@ -5,26 +5,55 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.functions.dates import day_sequence
+from tidewatch.functions.dates import day_column, day_sequence
 
 
-def day_grid(df: DataFrame, keys: Sequence[str], start: dt.date | Column,
+def day_grid(df: DataFrame, keys: Sequence[str], start: dt.date | Column | None,
              end: dt.date | Column, day: str = "date") -> DataFrame:
     """Every day from start to end for every distinct key.
 
-    The calendar is generated per key row, so there is no cross join.
+    The calendar is generated per key row, so there is no cross join.  Without
+    ``start`` it begins on the first day in the data, found while the keys are
+    collected (the window sees one row per key).
     """
-    return df.select(*keys).dropna().distinct().select(
-        *keys, F.explode(day_sequence(start, end)).alias(day))
+    known = df.dropna(subset=list(keys))
+    if start is None:
+        first = known.groupBy(*keys).agg(F.min(day).alias("_first"))
+        base = first.withColumn("_start", F.min("_first").over(Window.partitionBy(F.lit(0))))
+        start = F.col("_start")
+    else:
+        base = known.select(*keys).distinct()
+    return base.select(*keys, F.explode(day_sequence(start, end)).alias(day))
 
 
-def densify(facts: DataFrame, keys: Sequence[str], start: dt.date | Column,
+def densify(facts: DataFrame, keys: Sequence[str], start: dt.date | Column | None,
             end: dt.date | Column, day: str = "date") -> DataFrame:
-    """Full calendar x keys with the facts attached; other columns null in gaps."""
-    grid = day_grid(facts, keys, start, end, day)
-    return grid.join(facts, [*keys, day], "left")
+    """Full calendar x keys with the facts attached; other columns null in gaps.
+
+    Facts are series: a row or few per key and day.  Each row brings the days up
+    to the next row of its key, the first one also the days before it.  So the
+    facts are read once, and the result is already partitioned by key for the
+    windows that follow.  Without ``start`` the calendar has to be known first and
+    the facts are joined to :func:`day_grid`.
+    """
+    if start is None:
+        return day_grid(facts, keys, None, end, day).join(facts, [*keys, day], "left")
+    here = F.col(day)
+    w = Window.partitionBy(*keys).orderBy(here.asc_nulls_first())
+    first, last = day_column(start), day_column(end)
+    opens = F.when(F.row_number().over(w) == 1, first).otherwise(F.greatest(here, first))
+    following = F.lead(day).over(w)
+    closes = F.when(following.isNull(), last).otherwise(
+        F.least(F.greatest(here, F.date_sub(following, 1)), last))
+    rest = [c for c in facts.columns if c not in (*keys, day)]
+    spans = facts.dropna(subset=list(keys)).withColumns({"_opens": opens, "_closes": closes})
+    days = spans.withColumn("_day", F.explode(
+        day_sequence(F.col("_opens"), F.col("_closes"))))
+    return days.select(
+        *keys, F.col("_day").alias(day),
+        *(F.when(F.col("_day") == here, F.col(f"`{c}`")).alias(c) for c in rest))
 
 
 def observed_grid(facts: DataFrame, key: str, day: str) -> DataFrame:

@@ -84,11 +84,10 @@ def refresh_series(master: DataFrame, records: DataFrame, collected: str, submit
     bound reaches the scan as a runtime filter.
     """
     last = master.agg(F.max("date")).scalar()
-    floor = master.agg(F.date_sub(F.max("date"), span)).scalar()
     needed = records.filter(
-        (F.col(collected) >= floor) & (F.col(collected) <= F.lit(end))
+        (F.col(collected) >= F.date_sub(last, span)) & (F.col(collected) <= F.lit(end))
         & (F.col(submitted) <= F.lit(end)))
     recent = counts_from_deltas(
         day_deltas(needed, collected, submitted, (), span), last, F.lit(end))
-    kept = master.select("date", "n").join(recent.select("date"), "date", "left_anti")
+    kept = master.filter(F.col("date") < last).select("date", "n")
     return with_lag_30(kept.unionByName(recent))

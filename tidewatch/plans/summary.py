@@ -34,9 +34,8 @@ def testing_metrics(testing: DataFrame, country_codes: DataFrame, as_of: dt.date
     """
     last = as_of - dt.timedelta(days=1)
     rows = testing_series(testing, country_codes)
-    start = rows.agg(F.min("date")).scalar()
     dense = calendar.zero_fill(
-        calendar.densify(rows, ["code"], start, F.lit(last)),
+        calendar.densify(rows, ["code"], None, last),
         ["new_tests_cap", "new_tests_all"])
     rate = numbers.ratio(F.col("new_tests_all"), F.col("pop_100k"))
     averaged = dense.withColumn("rate", rate).withColumn(
