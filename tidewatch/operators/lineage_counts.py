@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions.lineages import key_lineage, match_names
-from tidewatch.operators.columns import bind_rows
 
 
 def count_by(df: DataFrame, keys: Sequence[str], counted: str | None = None,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions.dates import day_column, day_sequence
-from tidewatch.operators.windows import add_lag_ratio, ordered, running_total
+from tidewatch.operators.windows import add_lag_ratio, running_total
 
 
 def day_deltas(records: DataFrame, collected: str, submitted: str, keys: Sequence[str] = (),

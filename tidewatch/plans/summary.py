@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions import dates, numbers
-from tidewatch.operators import calendar, crosswalk, filters, gates, windows
+from tidewatch.operators import calendar, crosswalk, gates, windows
 
 
 def _sum_when(test: Column, x: str) -> Column:
