@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 import check_oracle
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 SOME = (
@@ -17,7 +18,7 @@ SOME = (
     "summary_gates", "threshold_labels", "topline_table", "vaccination_overwrite",
     "tracker_table", "flow_diagonal",
 )
-NAMES = list(E.queries()) if os.environ.get("ALL_QUERIES") else SOME
+NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else SOME
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -31,7 +32,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry(spark):
