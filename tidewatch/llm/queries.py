@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, sharding, simhash, substrings, tokens, toxicity
+from . import (decontamination, katz, language, maxscore, mixing, sharding, simhash, substrings,
+               tokens, toxicity)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_decontaminate_cgk(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op2_language_bitmask(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify_languages(table(spark, sf, "documents"))
 
@@ -26,6 +31,14 @@ def op4_simhash_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf, "documents"), words=4, bits=4)
 
 
+def op5_maxscore_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return maxscore.search(table(spark, sf, "embeddings"), every=20, k=20)
+
+
+def op6_katz_backoff(spark: SparkSession, sf: str) -> DataFrame:
+    return katz.score_documents(table(spark, sf, "documents"))
+
+
 def op7_toxicity_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -47,7 +60,8 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_language_bitmask, op3_shard_lpt, op4_simhash_near_copies, op7_toxicity_lexicon,
-        op8_token_counts, op9_mix_pareto, op10_substring_dedup)
+        op1_decontaminate_cgk, op2_language_bitmask, op3_shard_lpt, op4_simhash_near_copies,
+        op5_maxscore_topk, op6_katz_backoff, op7_toxicity_lexicon, op8_token_counts,
+        op9_mix_pareto, op10_substring_dedup)
 }
 SQL: dict[str, str] = {}
