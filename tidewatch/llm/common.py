@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -159,6 +159,23 @@ def rolled(h: np.ndarray, width: int, seed: int) -> np.ndarray:
     return mix64(out)
 
 
+def with_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column, of the name returned, that equal rows and only they share."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.xxhash64(*docs.columns)), name
+
+
+def kept_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """The rows of ``docs``, all columns, for which ``keep`` says so; batch by batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, constants, mix64, pieces, word_hashes
+from .common import batch_of, constants, kept_rows, mix64, pieces, word_hashes
 
 #: Steps of a walk; one sample is taken from each quarter.
 STEPS, SAMPLES = 16, 4
@@ -186,36 +187,55 @@ def find_leaks(docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS
     items below ``LEAST_WORDS`` words match nothing.  Repeated rows count one by one.
     Items are read in blocks of bounded size; each block is a pass over the documents.
     """
-    found, block, size = None, [], 0
+    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
+                        ("begin", pa.int32()), ("end", pa.int32())])
+    found = None
+    for shared in _indexes(items, repetitions, block_bytes):
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column("doc_id").to_pylist()
+                leaks = [(ids[d], *x) for d, x in _leaks(shared.value, batch)]
+                yield batch_of(schema, *(list(zip(*leaks, strict=True)) if leaks else [[]] * 5))
+
+        leaks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+            run, "doc_id long, item_id long, edits int, begin int, end int")
+        found = leaks if found is None else found.unionByName(leaks)
+    return found
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS,
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, in which find_leaks finds no item."""
+    for shared in _indexes(items, repetitions, block_bytes):
+        def keep(batch: pa.RecordBatch, shared=shared) -> list[bool]:
+            leaking = {d for d, _ in _leaks(shared.value, batch)}
+            return [i not in leaking for i in range(batch.num_rows)]
+
+        docs = kept_rows(docs, keep)
+    return docs
+
+
+def _indexes(items: DataFrame, repetitions: int, block_bytes: int) -> Iterator[Broadcast]:
+    """The tables of each block of items, sent to the tasks."""
+    send = items.sparkSession.sparkContext.broadcast
+    block: list[tuple[int, str]] = []
+    size = 0
     rows = items.select(F.col("item_id").cast("long"), "text").filter("text is not null")
     for item, text in rows.toLocalIterator():
         block.append((item, text))
         size += len(text)
         if size >= block_bytes:
-            found = _search(docs, block, repetitions, found)
+            yield send(Index.build(block, repetitions))
             block, size = [], 0
-    return _search(docs, block, repetitions, found)
+    yield send(Index.build(block, repetitions))
 
 
-def _search(docs: DataFrame, block: list, repetitions: int, before: DataFrame | None) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Index.build(block, repetitions))
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
-                        ("begin", pa.int32()), ("end", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = [normalised(t or "") for t in batch.column("text").to_pylist()]
-            leaks = []
-            for a, b in pieces(texts):
-                h, starts = word_hashes(texts[a:b])
-                leaks += [(ids[a + d], *x) for d, x in _verified(index, h, starts)]
-            yield batch_of(schema, *(list(zip(*leaks, strict=True)) if leaks else [[]] * 5))
-
-    leaks = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, item_id long, edits int, begin int, end int")
-    return leaks if before is None else before.unionByName(leaks)
+def _leaks(index: Index, batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(row, (item_id, edits, begin, end)) of the best match of each row and item."""
+    texts = [normalised(t or "") for t in batch.column("text").to_pylist()]
+    for a, b in pieces(texts):
+        for d, found in _verified(index, *word_hashes(texts[a:b])):
+            yield a + d, found
 
 
 def _verified(index: Index, h: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, word_count
+from .common import checkpointed, with_key, word_count
 
 #: Buckets of the rank in each source; the sort of one task is a source's share of one.
 BUCKETS = 4096
@@ -66,9 +66,33 @@ def mix_documents(docs: DataFrame, seed: str = "mix", most: int = MOST_COPIES) -
     that are alike in both are interchangeable.  A source's taken words miss its target
     by at most half the document at the cut.  An empty table gives an empty result.
     """
+    return _allocated(docs, seed, most).drop("key")
+
+
+def repeat_mixed(docs: DataFrame, seed: str = "mix", most: int = MOST_COPIES) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as it is taken."""
+    docs, key = with_key(docs)
+    taken = (_allocated(docs.withColumn("mix_key", F.col(key)), seed, most)
+             .groupBy(F.col("key").alias(key)).agg(F.sum("copies").alias("n_taken"), F.count("*").alias("n_rows"))
+             .filter("n_taken > 0"))
+    taken = checkpointed(taken)
+    once = docs.join(taken.filter("n_rows = 1").select(key, F.col("n_taken").alias("mix_times")), key)
+    # Rows that are alike share what was drawn for them.
+    alike = (docs.join(taken.filter("n_rows > 1"), key)
+             .withColumn("mix_nth", F.row_number().over(Window.partitionBy(key).orderBy(key)))
+             .withColumn("mix_times", F.expr(
+                 "n_taken div n_rows + int(mix_nth <= n_taken % n_rows)").cast("long"))
+             .drop("mix_nth", "n_taken", "n_rows"))
+    return (once.unionByName(alike).filter("mix_times > 0")
+            .withColumn("mix_times", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_times"))))
+            .drop("mix_times", key))
+
+
+def _allocated(docs: DataFrame, seed: str, most: int) -> DataFrame:
+    key = F.col("mix_key") if "mix_key" in docs.columns else F.lit(0).cast("long")
     rows = checkpointed(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text")).alias("size"), _random(F.col("doc_id"), seed).alias("u")))
+        word_count(F.col("text")).alias("size"), _random(F.col("doc_id"), seed).alias("u"), key.alias("key")))
     sources = checkpointed(source_targets(
         rows.groupBy("source").agg(F.sum("size").alias("source_size")), most)
         .withColumn("wanted", F.when(F.col("source_size") > 0,
@@ -92,14 +116,14 @@ def mix_documents(docs: DataFrame, seed: str = "mix", most: int = MOST_COPIES) -
             .withColumnRenamed("of", "cut_of"))
     judged = ranked.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left")
     at_cut = judged.filter("bucket = cut")
-    order = Window.partitionBy("of").orderBy("rank", "doc_id", "size").rowsBetween(
+    order = Window.partitionBy("of").orderBy("rank", "doc_id", "size", "key").rowsBetween(
         Window.unboundedPreceding, 0)
     at_cut = at_cut.withColumn("sum", F.col("filled") + F.sum("size").over(order)).withColumn(
         "drawn", F.expr("sum <= extra or (sum - size < extra and sum - extra < extra - (sum - size))"))
     rest = judged.filter("cut is null or bucket <> cut").withColumn(
         "drawn", F.expr("cut is not null and bucket < cut"))
-    columns = ["doc_id", "size", "source_size", "target", "whole", "drawn"]
+    columns = ["doc_id", "size", "source_size", "target", "whole", "drawn", "key"]
     copies = (F.col("whole") + F.col("drawn").cast("long")).cast("long")
     return (at_cut.select(columns).unionByName(rest.select(columns))
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies")))
+                    (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies"), "key"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, checkpointed, runs_of, texts_of
+from .common import batch_of, checkpointed, runs_of, texts_of, with_key
 from .components import components
 
 WORDS = 4
@@ -265,11 +265,36 @@ def near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFr
     empty result.
     """
     rows = checkpointed(fingerprints(docs, words))
+    return rows.join(_members(rows, bits), "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _members(rows: DataFrame, bits: int) -> DataFrame:
+    """(fp, component_id, root) of each fingerprint in ``rows`` (doc_id, fp)."""
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct.select("fp"), bits))
     member = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     label = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = checkpointed(member.join(label, "root").select("fp", "component_id"))
-    return rows.join(member, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return checkpointed(member.join(label, "root").select("fp", "component_id", "root"))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """One row of each component of near_copies, all columns: the one with the least doc_id.
+
+    A row without an id stays only if its component has no other; of rows with the same id
+    one stays, and repeated rows count once.
+    """
+    docs, key = with_key(docs)
+    rows = checkpointed(fingerprints(
+        docs.withColumn("doc_id", F.col(key)), words).withColumnRenamed("doc_id", key).join(
+        docs.select(key, F.col("doc_id").cast("long").alias("doc_id")).groupBy(key).agg(
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")), key))
+    member = _members(rows.select("doc_id", "fp"), bits)
+    stay = (rows.join(member, "fp").groupBy("root")
+            .agg(F.min_by(F.struct(key, "copies"), F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias("x"))
+            .select(f"x.{key}", "x.copies"))
+    stay = checkpointed(stay)
+    single = docs.join(stay.filter("copies = 1"), key, "left_semi")
+    repeated = docs.join(stay.filter("copies > 1"), key, "left_semi").dropDuplicates([key])
+    return single.unionByName(repeated).drop(key)

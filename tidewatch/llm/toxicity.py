@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, crc_mod, rolled, word_hashes
+from .common import batch_of, crc_mod, kept_rows, rolled, word_hashes
 
 #: Labelled documents that the lexicon is learned from, about.
 SAMPLE_DOCS = 40_000
@@ -268,3 +268,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFr
     return score_texts(docs, lexicon).select(
         "doc_id", (crc_mod(F.col("doc_id"), folds) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score_toxicity does not predict toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn_from(docs, labels, folds))
+    made: list = []
+
+    def keep(batch: pa.RecordBatch) -> list[bool]:
+        lexicon = shared.value
+        if not made:
+            made.append(lexicon.matcher())
+        return [lexicon.score(strength(fold(t or ""), made[0])) < 0.5 for t in batch.column("text").to_pylist()]
+
+    return kept_rows(docs, keep)
