@@ -25,17 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (batch_of, checkpointed, constants, mix64, pieces, rolled, runs_of, texts_of,
-                     word_hashes)
+from .common import batch_of, constants, mix64, pieces, rolled, runs_of, stored, texts_of, word_hashes
 
 WINDOW = 13
 ANCHOR = 5
+LEAST_ID = -(1 << 63)
 #: Hashed rows that a task settles among themselves before they leave it.
 TOGETHER = 1 << 20
 
-_ROW = pa.schema([("k", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()),
+_ROW = pa.schema([("k", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("row", pa.int32()),
                   ("at", pa.int32()), ("seen", pa.bool_())])
-_ROW_SQL = "k long, c long, doc long, row long, at int, seen boolean"
+_ROW_SQL = "k long, c long, doc long, row int, at int, seen boolean"
 
 
 def anchors(h: np.ndarray, starts: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR):
@@ -70,24 +70,23 @@ def anchors(h: np.ndarray, starts: np.ndarray, window: int = WINDOW, anchor: int
     return at, grams[at], mix64(around), owner
 
 
-def _settle(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """Mark rows (k, c, doc, ...) of which another with the same k and c has a lesser doc."""
-    k, c, doc = cols[:3]
+def _settle(k: np.ndarray, c: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which rows have another with the same k and c and a lesser doc."""
     order = np.lexsort((doc, c, k))
-    cols = [x[order] for x in cols]
-    k, c, doc, seen = cols[0], cols[1], cols[2], cols[5]
-    new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]) if len(k) else np.zeros(0, bool)
+    k, c, doc = k[order], c[order], doc[order]
+    new = np.append(True, (k[1:] != k[:-1]) | (c[1:] != c[:-1]))
     first = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
-    cols[5] = seen | (doc > doc[first])
-    return cols
+    seen = np.empty(len(k), bool)
+    seen[order] = doc > doc[first]
+    return seen
 
 
 def _emit(cols: list[np.ndarray]) -> pa.RecordBatch:
     """Settled rows leave under a random key: they only pass through."""
-    cols = _settle(cols)
-    k = cols[0].copy()
-    k[cols[5]] = mix64(cols[3][cols[5]].view(np.uint64) + cols[4][cols[5]].astype(np.uint64)).view(np.int64)
-    return batch_of(_ROW, k, *cols[1:])
+    k, c, doc, row, at = cols
+    seen = _settle(k, c, doc)
+    random = mix64(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)).view(np.int64)
+    return batch_of(_ROW, np.where(seen, random, k), np.where(seen, 0, c), doc, row, at, seen)
 
 
 class _Gather:
@@ -121,7 +120,7 @@ def _anchor_rows(window: int, anchor: int):
                 own = owner[at] if len(at) else at
                 yield from out.add(
                     key.view(np.int64), around.view(np.int64), docs[a:b][own], rows[a:b][own],
-                    (at - starts[own]).astype(np.int32), np.zeros(len(at), bool))
+                    (at - starts[own]).astype(np.int32))
         yield from out.flush()
 
     return run
@@ -198,7 +197,7 @@ def _window_rows(window: int, anchor: int):
                 own = own[fits][first]
                 k, c = rolled(h, window, 23)[begin], rolled(h, window, 24)[begin]
                 yield from out.add(k.view(np.int64), c.view(np.int64), docs[a:b][own], rows[a:b][own],
-                                   (begin - starts[own]).astype(np.int32), np.zeros(len(begin), bool))
+                                   (begin - starts[own]).astype(np.int32))
         yield from out.flush()
 
     return run
@@ -247,18 +246,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     Rows with the same id do not remove from one another; each is judged against lesser
     ids.  An empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("doc", "text"))
-    known = rows.filter("doc is not null")
-    met = checkpointed(_matched(known.select("doc", "row", "text").mapInArrow(
-        _anchor_rows(window, anchor), _ROW_SQL), True))
-    settled = met.filter("seen").groupBy("row").agg(F.collect_set("at").alias("around"))
-    ends = met.filter("not seen").groupBy(F.col("row").alias("of")).agg(F.collect_set("at").alias("ends"))
-    begun = known.join(ends, F.col("row") == F.col("of")).select("doc", "row", "text", "ends").mapInArrow(
-        _window_rows(window, anchor), _ROW_SQL)
-    begins = _matched(begun, False).groupBy("row").agg(F.collect_set("at").alias("begins"))
-    verdict = checkpointed(settled.join(begins, "row", "full").withColumnRenamed("row", "of"))
-    judged = rows.join(verdict, (F.col("row") == F.col("of")) & F.col("doc").isNotNull(), "left")
+    # Nothing is earlier than the least id, so what has none may stand beside it.  Keys are
+    # never null: Spark would filter nulls for one of the joins below, which could then not
+    # share its shuffle with the other.
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(F.coalesce(doc_id, F.lit(LEAST_ID)).alias("doc"), doc_id.isNotNull().alias("known"),
+                       F.coalesce("text", F.lit("")).alias("text"))
+    # The hash tells texts of one id apart.
+    rows = rows.withColumn("row", F.hash("text")).select("doc", "row", "known", "text")
+    same = ["doc", "row"]
+    met = stored(_matched(rows.filter("known").mapInArrow(_anchor_rows(window, anchor), _ROW_SQL), True)
+                 .select("doc", "row", "at", "seen"))
+    settled = met.filter("seen").groupBy(same).agg(F.collect_set("at").alias("around"))
+    ends = met.filter("not seen").groupBy(same).agg(F.collect_set("at").alias("ends"))
+    # Both joins read the texts from one shuffle.
+    begun = rows.join(ends, same).mapInArrow(_window_rows(window, anchor), _ROW_SQL)
+    begins = _matched(begun, False).groupBy(same).agg(F.collect_set("at").alias("begins"))
+    judged = rows.join(settled.join(begins, same, "full"), same, "left")
+    judged = judged.withColumn("doc", F.when(F.col("known"), F.col("doc")))
     return judged.select("doc", "text", "around", "begins").mapInArrow(
         _cut(window, anchor), "doc_id long, n_words long, n_removed long, kept binary")
-
