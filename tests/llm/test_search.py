@@ -159,11 +159,12 @@ def plain_katz(rows):
 
     def factor(counts):
         of = Counter(counts.values())
-        return katz.discounts([len(counts), *(of[r] for r in range(1, 7))], n)
+        return katz.discounts([of[r] for r in range(1, 7)])
     d1, d2 = factor(one), factor(two)
     f = lambda d, c: d[min(c, len(d) - 1)]
-    unknown = 1 - sum(f(d1, c) * c for c in one.values()) / n
-    p1 = lambda w: f(d1, one[w]) * one[w] / n if one[w] else unknown
+    under = n if min(one.values()) <= 5 else n + 1
+    unknown = 1 - sum(f(d1, c) * c for c in one.values()) / under
+    p1 = lambda w: f(d1, one[w]) * one[w] / under if one[w] else unknown
     after = {}
     for (v, w), c in two.items():
         after.setdefault(v, {})[w] = c

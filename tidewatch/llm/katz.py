@@ -24,67 +24,87 @@ from pyspark.sql import functions as F
 from .common import batch_of, constants, crc_mod, mix64, pieces, spread, stored, texts_of, word_hashes
 
 #: Bytes of text in a batch, about, unless that gives fewer batches than partitions.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: Counts up to this are discounted.
 DISCOUNTED = 5
-WORDS, PAIRS, HEADS = 0, 1, 2
+WORDS, PAIRS = 0, 1
 
 _END, _BEGIN = constants(31, 2)
 _PAIR = constants(32, 2)
 
 _SENT = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("batch", pa.int32()),
-                   ("keys", pa.list_(pa.int64())), ("n", pa.list_(pa.int32()))])
-_SENT_SQL = "kind int, part int, batch int, keys array<long>, n array<int>"
+                   ("keys", pa.binary()), ("n", pa.binary())])
+_SENT_SQL = "kind int, part int, batch int, keys binary, n binary"
 _BACK = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("batch", pa.int32()),
-                   ("total", pa.list_(pa.int64())), ("owner", pa.list_(pa.bool_()))])
-_BACK_SQL = "kind int, part int, batch int, total array<long>, owner array<boolean>"
-_HEAD = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("keys", pa.list_(pa.int64())),
-                   ("seen", pa.list_(pa.float64())), ("kept", pa.list_(pa.float64())),
-                   ("lower", pa.list_(pa.float64()))])
-_HEAD_SQL = ("part int, batch int, keys array<long>, seen array<double>, kept array<double>, "
-             "lower array<double>")
-_ALPHA = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("alpha", pa.list_(pa.float64())),
-                    ("under", pa.list_(pa.float64()))])
-_ALPHA_SQL = "part int, batch int, alpha array<double>, under array<double>"
-
-
-def discounts(of: list[int], tokens: int) -> np.ndarray:
+                   ("total", pa.binary()), ("owner", pa.binary()), ("stats", pa.list_(pa.int64()))])
+_BACK_SQL = "kind int, part int, batch int, total binary, owner binary, stats array<long>"
+_HEAD = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("keys", pa.binary()),
+                   ("seen", pa.binary()), ("kept", pa.binary()), ("lower", pa.binary())])
+_HEAD_SQL = "part int, batch int, keys binary, seen binary, kept binary, lower binary"
+_ALPHA = pa.schema([("part", pa.int32()), ("batch", pa.int32()), ("alpha", pa.binary()), ("under", pa.binary())])
+_ALPHA_SQL = "part int, batch int, alpha binary, under binary"
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers of 8 bytes as the leading bytes of all, then the next: those compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T[::-1]).tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)[::-1]
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _column(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    return [unpacked(x, kind) for x in table.column(name).to_pylist()]
+
+
+def discounts(of: list[int]) -> np.ndarray:
     """Factors d(r) by count r, the last for all larger ones.
 
-    ``of[r]`` is the number of things seen r times, up to ``DISCOUNTED`` + 1; ``of[0]`` the
-    number of all.  Good-Turing's where its estimates are in (0, 1), else absolute
-    discounting of every count.  Something is always left for what was not seen.
+    ``of[r - 1]`` is the number of things seen r times, up to ``DISCOUNTED`` + 1.  Good-Turing's
+    where all its estimates are in (0, 1), else absolute discounting of the same counts.
     """
-    k = DISCOUNTED
+    k, of = DISCOUNTED, [0, *of]
     if all(of[r] for r in range(1, k + 2)):
         tail = (k + 1) * of[k + 1] / of[1]
         d = [((r + 1) * of[r + 1] / (r * of[r]) - tail) / (1 - tail) if tail < 1 else 2.0 for r in range(1, k + 1)]
         if all(0 < x < 1 for x in d):
             return np.array([0.0, *d, 1.0])
     off = of[1] / (of[1] + 2 * of[2]) if of[1] and of[2] else 0.5
-    r = np.arange(1, max(tokens, 1) + 1 if tokens < 4096 else 4097)
-    return np.concatenate([[0.0], (r - off) / r])
+    return np.array([0.0, *((r - off) / r for r in range(1, k + 1)), 1.0])
+
+
+def factor(table: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return table[np.minimum(c, len(table) - 1)]
 
 
 @dataclass
 class Model:
-    """What every task knows: discounts, and the words' totals."""
+    """What every task knows: the discounts, and the words' totals."""
 
     word: np.ndarray
     pair: np.ndarray
     tokens: int
     distinct: int
+    #: What counts of single words are divided by, and the share of the unknown word.
+    under: int
     unknown: float
 
-    @staticmethod
-    def factor(table: np.ndarray, c: np.ndarray) -> np.ndarray:
-        return table[np.minimum(c, len(table) - 1)]
+    @classmethod
+    def learned(cls, words: list[int], pairs: list[int]) -> Model:
+        """From the numbers of things seen 1, 2, ... times, of all things, and of all counts."""
+        *of, distinct, tokens = words
+        table = discounts(of)
+        small = [r * n for r, n in enumerate(of[:DISCOUNTED], 1)]
+        # Without a discount one more count than was seen leaves a share.
+        under = tokens if sum(small) else tokens + 1
+        kept = sum(d * n for d, n in zip(table[1:], small, strict=False)) + tokens - sum(small)
+        return cls(table, discounts(pairs[:-2]), tokens, distinct, under, 1 - kept / under)
 
     def lower(self, c: np.ndarray) -> np.ndarray:
-        """P(w) by the count of w; nothing learned makes every word the unknown one."""
-        if not self.tokens:
-            return np.ones(len(c))
-        return np.where(c > 0, self.factor(self.word, c) * c / self.tokens, self.unknown)
+        """P(w) by the count of w."""
+        return np.where(c > 0, factor(self.word, c) * c / self.under, self.unknown)
 
 
 class Batch:
@@ -92,10 +112,10 @@ class Batch:
 
     def __init__(self, table: pa.Table):
         self.table = table.combine_chunks()
-        texts = [t.lower() for b in self.table.to_batches() for t in texts_of(b)]
+        texts = [t for b in self.table.to_batches() for t in texts_of(b)]
         parts, counts = [], []
         for a, b in pieces(texts):
-            h, starts = word_hashes(texts[a:b])
+            h, starts = word_hashes([t.lower() for t in texts[a:b]])
             n = np.diff(starts)
             # An end after each document's words.
             at = np.cumsum(n + 1) - 1
@@ -105,23 +125,31 @@ class Batch:
             tokens[inner], tokens[at] = h, _END
             parts.append(tokens)
             counts.append(n + 1)
-        tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
         self.n_tokens = np.concatenate([*counts, np.zeros(0, np.int64)]).astype(np.int64)
         first = np.cumsum(self.n_tokens) - self.n_tokens
+        n_texts = len(texts)
+        del texts
+        tokens = np.concatenate([*parts, np.zeros(0, np.uint64)])
+        del parts
         heads = np.empty_like(tokens)
         heads[1:] = tokens[:-1]
         heads[first] = _BEGIN
-        self.owner = np.repeat(np.arange(len(texts)), self.n_tokens)
-        train = self.table.column("train").to_numpy()
-        self.train = train[self.owner] if len(texts) else np.zeros(0, bool)
+        pair = mix64(heads * _PAIR[0] + tokens * _PAIR[1])
+        del heads
         self.words, word = np.unique(np.append(tokens, _BEGIN), return_inverse=True)
-        self.word, begin = word[:-1], word[-1]
+        del tokens
+        self.word, begin = word[:-1].astype(np.int32), word[-1]
+        del word
         self.head = np.empty_like(self.word)
         self.head[1:] = self.word[:-1]
         self.head[first] = begin
-        pair = mix64(heads * _PAIR[0] + tokens * _PAIR[1])
-        self.pairs, index, self.pair = np.unique(pair, return_index=True, return_inverse=True)
+        self.pairs, index, inverse = np.unique(pair, return_index=True, return_inverse=True)
+        self.pair = inverse.astype(np.int32)
+        del pair, inverse
         self.pair_head, self.pair_word = self.head[index], self.word[index]
+        self.owner = np.repeat(np.arange(n_texts, dtype=np.int32), self.n_tokens)
+        train = self.table.column("train").to_numpy()
+        self.train = train[self.owner] if n_texts else np.zeros(0, bool)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Training counts of the distinct words and pairs."""
@@ -129,18 +157,13 @@ class Batch:
                 np.bincount(self.pair[self.train], minlength=len(self.pairs)))
 
 
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-
-
 def by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each part and the places of its keys, in order of the keys."""
-    part = part_of(keys, parts)
-    order = np.argsort(part, kind="stable")
-    edge = np.searchsorted(part[order], np.arange(parts + 1))
+    """Each part and the places of its keys.  ``keys`` ascend and a part is a range of them."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    edge = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
     for p in range(parts):
         if edge[p] < edge[p + 1]:
-            yield p, order[edge[p]:edge[p + 1]]
+            yield p, np.arange(edge[p], edge[p + 1])
 
 
 def _lists(rows: list, schema: pa.Schema) -> pa.Table:
@@ -153,45 +176,42 @@ def _send(parts: int) -> Callable[[pa.Table], pa.Table]:
         batch, number = Batch(table), table.column("batch")[0].as_py()
         rows = []
         for kind, keys, n in zip((WORDS, PAIRS), (batch.words, batch.pairs), batch.counts(), strict=True):
-            rows += [(kind, p, number, keys[at].view(np.int64), n[at].astype(np.int32)) for p, at in by_part(keys, parts)]
+            rows += [(kind, p, number, packed(keys[at]), packed(n[at])) for p, at in by_part(keys, parts)]
         return _lists(rows, _SENT)
 
     return run
 
 
-def _arrays(table: pa.Table, name: str) -> list[np.ndarray]:
-    return [x.values.to_numpy(zero_copy_only=False) for x in table.column(name)]
-
-
 def _total(table: pa.Table) -> pa.Table:
     """Totals of a part's keys for each batch; a row of batch -1 has the counts of counts."""
     kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-    batches = table.column("batch").to_numpy()
-    order = np.argsort(batches, kind="stable")
-    keys, n = _arrays(table, "keys"), _arrays(table, "n")
-    all_keys = np.concatenate([keys[i] for i in order])
-    size = [len(keys[i]) for i in order]
-    distinct, first, inverse = np.unique(all_keys, return_index=True, return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate([n[i] for i in order]), minlength=len(distinct)).astype(np.int64)
-    owner = np.zeros(len(all_keys), bool)
+    table = table.sort_by("batch")
+    batches, keys = table.column("batch").to_pylist(), _column(table, "keys", np.uint64)
+    ends = np.cumsum([len(k) for k in keys])
+    distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(inverse, weights=np.concatenate(_column(table, "n", np.int64)),
+                        minlength=len(distinct)).astype(np.int64)
+    owner = np.zeros(len(inverse), bool)
     owner[first] = True
-    ends = np.cumsum(size)
-    rows = [(kind, part, int(batches[i]), total[inverse[e - s:e]], owner[e - s:e]) for i, e, s in zip(order, ends, size, strict=True)]
+    rows = [(kind, part, b, packed(total[inverse[e - len(k):e]]), np.packbits(owner[e - len(k):e]).tobytes(), None)
+            for b, k, e in zip(batches, keys, ends, strict=True)]
     of = np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
-    rows.append((kind, part, -1, np.concatenate([of[1:DISCOUNTED + 2], [(total > 0).sum(), total.sum()]]), []))
+    rows.append((kind, part, -1, None, None, [*of[1:DISCOUNTED + 2].tolist(), int((total > 0).sum()), int(total.sum())]))
     return _lists(rows, _BACK)
 
 
-def _gathered(batch: Batch, back: pa.Table, parts: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Totals and ownership of the batch's words and pairs, as _total sent them."""
+def _gathered(batch: Batch, back: pa.Table, parts: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Totals of the batch's words and pairs, and which pairs it owns, as _total sent them."""
     totals = [np.zeros(len(batch.words), np.int64), np.zeros(len(batch.pairs), np.int64)]
-    owners = [np.zeros(len(batch.words), bool), np.zeros(len(batch.pairs), bool)]
+    own = np.zeros(len(batch.pairs), bool)
     places = [dict(by_part(k, parts)) for k in (batch.words, batch.pairs)]
-    for kind, part, t, o in zip(back.column("kind").to_pylist(), back.column("part").to_pylist(),
-                                _arrays(back, "total"), _arrays(back, "owner"), strict=True):
-        at = places[kind][part]
-        totals[kind][at], owners[kind][at] = t, o
-    return totals, owners
+    for kind, part, total, owner in zip(*(back.column(c) for c in ("kind", "part", "total", "owner")), strict=True):
+        if kind.is_valid:
+            at = places[kind.as_py()][part.as_py()]
+            totals[kind.as_py()][at] = unpacked(total.as_py(), np.int64)
+            if kind.as_py() == PAIRS:
+                own[at] = np.unpackbits(np.frombuffer(owner.as_py(), np.uint8), count=len(at))
+    return totals, own
 
 
 def _heads(model: Model, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -200,14 +220,14 @@ def _heads(model: Model, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]
         if not docs.num_rows:
             return _HEAD.empty_table()
         batch = Batch(docs)
-        (word, pair), (_, owner) = _gathered(batch, back, parts)
-        own = owner & (pair > 0)
+        (word, pair), own = _gathered(batch, back, parts)
+        own &= pair > 0
         head, c = batch.pair_head[own], pair[own]
         sums = [np.bincount(head, weights=w, minlength=len(batch.words)) for w in (
-            c, model.factor(model.pair, c) * c, model.lower(word[batch.pair_word[own]]))]
+            c, factor(model.pair, c) * c, model.lower(word[batch.pair_word[own]]))]
         used = np.unique(batch.head)
         keys, number = batch.words[used], docs.column("batch")[0].as_py()
-        return _lists([(p, number, keys[at].view(np.int64), *(s[used[at]] for s in sums))
+        return _lists([(p, number, packed(keys[at]), *(packed(s[used[at]]) for s in sums))
                        for p, at in by_part(keys, parts)], _HEAD)
 
     return run
@@ -225,13 +245,14 @@ def backoff(seen: np.ndarray, kept: np.ndarray, lower: np.ndarray) -> tuple[np.n
 
 
 def _alphas(table: pa.Table) -> pa.Table:
-    keys = _arrays(table, "keys")
+    keys = _column(table, "keys", np.uint64)
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = [np.bincount(inverse, weights=np.concatenate(_arrays(table, c)), minlength=len(distinct)) for c in ("seen", "kept", "lower")]
-    alpha, under = backoff(*sums)
+    alpha, under = backoff(*(np.bincount(inverse, weights=np.concatenate(_column(table, c, np.float64)),
+                                         minlength=len(distinct)) for c in ("seen", "kept", "lower")))
     ends = np.cumsum([len(k) for k in keys])
-    return _lists([(table.column("part")[0].as_py(), b, alpha[inverse[e - len(k):e]], under[inverse[e - len(k):e]])
-                   for b, k, e in zip(table.column("batch").to_pylist(), keys, ends, strict=True)], _ALPHA)
+    places = [inverse[e - len(k):e] for k, e in zip(keys, ends, strict=True)]
+    return _lists([(part, b, packed(alpha[at]), packed(under[at])) for part, b, at in zip(
+        table.column("part").to_pylist(), table.column("batch").to_pylist(), places, strict=True)], _ALPHA)
 
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -245,17 +266,16 @@ def _scores(model: Model, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table
         if not docs.num_rows:
             return _SCORE.empty_table()
         batch = Batch(docs)
-        mask = np.array([x is not None for x in answers.column("kind").to_pylist()])
-        (word, pair), _ = _gathered(batch, answers.filter(pa.array(mask)), parts)
+        (word, pair), _ = _gathered(batch, answers, parts)
         alpha, under = np.ones(len(batch.words)), np.ones(len(batch.words))
         used = np.unique(batch.head)
         places = dict(by_part(batch.words[used], parts))
-        rest = answers.filter(pa.array(~mask))
-        for part, a, u in zip(rest.column("part").to_pylist(), _arrays(rest, "alpha"), _arrays(rest, "under"), strict=True):
-            at = used[places[part]]
-            alpha[at], under[at] = a, u
+        for part, a, u in zip(*(answers.column(c) for c in ("part", "alpha", "under")), strict=True):
+            if a.is_valid:
+                at = used[places[part.as_py()]]
+                alpha[at], under[at] = unpacked(a.as_py(), np.float64), unpacked(u.as_py(), np.float64)
         # Pair, else word, else the unknown word.
-        p = np.where(pair > 0, model.factor(model.pair, pair) * pair / under[batch.pair_head],
+        p = np.where(pair > 0, factor(model.pair, pair) * pair / under[batch.pair_head],
                      alpha[batch.pair_head] * model.lower(word[batch.pair_word]))
         n = len(batch.n_tokens)
         c = word[batch.word]
@@ -276,8 +296,8 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
     lower case (A-Z) and one end; a null text has the end only.  Learns from all rows whose
     crc32 of the id modulo ``folds`` is not ``held``; a null id hashes like the empty text.
     base_score adds up add-one-half log10 probabilities of single tokens, score those of
-    the backoff model.  If nothing is learned from, every token has probability 1 in the
-    model.  Repeated rows are learned from and scored as often as they occur; an empty
+    the backoff model.  If nothing is learned from, every token is the unknown word, which
+    has probability 1.  Repeated rows are learned from and scored as often as they occur; an empty
     table gives an empty result.
     """
     parts = spread(docs.sparkSession)
@@ -288,26 +308,13 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch"))
     sent = rows.groupBy("batch").applyInArrow(_send(parts), _SENT_SQL)
     back = stored(sent.groupBy("kind", "part").applyInArrow(_total, _BACK_SQL))
-    stats = {WORDS: [0] * (DISCOUNTED + 3), PAIRS: [0] * (DISCOUNTED + 3)}
-    of = [F.sum(F.col("total")[i]).alias(f"n{i}") for i in range(DISCOUNTED + 3)]
-    for kind, *n in back.filter("batch = -1").groupBy("kind").agg(*of).collect():
-        stats[kind] = n
-    (*words, distinct, tokens), (*pairs, all_pairs, _) = stats[WORDS], stats[PAIRS]
-    word = discounts([distinct, *words], tokens)
-    # What the discounts of single words leave is the unknown word's.
-    model = Model(word, discounts([all_pairs, *pairs], tokens), tokens, distinct, 0.0)
-    model.unknown = _left(back, model) if tokens else 1.0
-    back = back.filter("batch >= 0")
+    n = DISCOUNTED + 3
+    stats = {kind: row for kind, *row in back.filter("batch = -1").groupBy("kind").agg(
+        *(F.sum(F.col("stats")[i]) for i in range(n))).collect()}
+    model = Model.learned(stats.get(WORDS, [0] * n), stats.get(PAIRS, [0] * n))
+    back = back.filter("batch >= 0").drop("stats")
     heads = rows.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(_heads(model, parts), _HEAD_SQL)
     alphas = heads.groupBy("part").applyInArrow(_alphas, _ALPHA_SQL)
     answers = back.unionByName(alphas, allowMissingColumns=True)
     return rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_scores(model, parts), _SCORE_SQL)
 
-
-def _left(back: DataFrame, model: Model) -> float:
-    """1 less the discounted shares of all words that were seen."""
-    counts = (back.filter(f"kind = {WORDS} and batch >= 0")
-              .select(F.explode(F.arrays_zip("total", "owner")).alias("x")).filter("x.owner and x.total > 0")
-              .groupBy(F.least(F.col("x.total"), F.lit(len(model.word) - 1)).cast("int").alias("r"))
-              .agg(F.sum("x.total").alias("tokens")).collect())  # one row a discount
-    return 1 - sum(model.word[r] * n for r, n in counts) / model.tokens
