@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, constants, crc_mod, mix64, pieces, spread, stored, texts_of, word_hashes
+from .common import constants, crc_mod, mix64, pieces, release, spread, stored, texts_of, word_hashes
 
 #: Bytes of text in a batch, about, unless that gives fewer batches than partitions.
 BATCH_BYTES = 8 << 20
@@ -308,6 +308,8 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch"))
     sent = rows.groupBy("batch").applyInArrow(_send(parts), _SENT_SQL)
     back = stored(sent.groupBy("kind", "part").applyInArrow(_total, _BACK_SQL))
+    del sent
+    release(docs.sparkSession)
     n = DISCOUNTED + 3
     stats = {kind: row for kind, *row in back.filter("batch = -1").groupBy("kind").agg(
         *(F.sum(F.col("stats")[i]) for i in range(n))).collect()}
