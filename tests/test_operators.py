@@ -336,3 +336,18 @@ def test_densify_equals_grid_join(frame):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(
         map(tuple, want.collect()), key=key)
+
+
+def test_densify_rows_without_a_day(frame):
+    facts = frame([("A", None, 1), ("A", None, 2), ("A", D(2021, 1, 2), 3), ("B", None, 4), ("B", None, 5)],
+                  "code string, date date, n int")
+    got = listed(calendar.densify(facts, ["code"], D(2021, 1, 1), D(2021, 1, 3)), "code", "date")
+    days = [D(2021, 1, d) for d in (1, 2, 3)]
+    assert got == [("A", days[0], None), ("A", days[1], 3), ("A", days[2], None)] + [("B", d, None) for d in days]
+
+
+def test_reconcile_matches_null_codes(frame):
+    a = frame([(None, "d", 5), ("A", "d", 1)], "code string, day string, x int")
+    b = frame([(None, "d", 7), ("B", "d", 2)], "code string, day string, y int")
+    got = {r.code: tuple(r) for r in reconcile.reconcile(a, b, ["code", "day"], "x", "y").collect()}
+    assert got == {None: (None, "d", 5, 7, 7), "A": ("A", "d", 1, None, 1), "B": ("B", "d", None, 2, 2)}

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import check_oracle
@@ -43,3 +44,10 @@ def test_entry(spark):
 def test_same_as_sql(spark, con, name):
     line, ok = check_oracle.compare(name, spark, con, SF)
     assert ok, line
+
+
+def test_lineage_columns_add_up(spark):
+    wide = E.queries()["lineage_pivot"](spark, SF)
+    parts = [c for c in wide.columns if c.startswith("Brand#") or c == "Other lineages"]
+    total = sum(F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in parts)
+    assert len(parts) == 13 and wide.filter(total != F.col("`All lineages`")).count() == 0

@@ -116,6 +116,14 @@ def test_snapshots_are_added_once(spark, frame, tmp_path):
     assert {r.snapshot_hour for r in rows.collect()} == {"2021-12-01-09", "2021-12-01-12"}
 
 
+def test_snapshots_of_one_hour_are_kept(spark, frame, tmp_path):
+    path = str(tmp_path / "snap")
+    for minute in (5, 40, 40):
+        writers.write_snapshot(frame([("Peru", minute, dt.datetime(2021, 12, 1, 12, minute))],
+                                     "location string, confirmed int, timestamp timestamp"), path)
+    assert sorted(r.confirmed for r in spark.read.parquet(path).collect()) == [5, 40]
+
+
 def test_refreshed_master(spark, frame, tmp_path):
     records = frame([(D(2021, 1, 1), D(2021, 1, 5)), (D(2021, 1, 20), D(2021, 1, 21))],
                     "c date, s date")

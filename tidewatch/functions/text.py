@@ -9,13 +9,16 @@ from pyspark.sql import Column, functions as F
 from tidewatch import constants as K
 
 
+WHITE_SPACE = " \t\n\r\f\v"
+
+
 def location_part(location: Column, n: int, default: str | None = None) -> Column:
-    """Part ``n`` (0-based) of a ``/`` separated location, blanks trimmed."""
+    """Part ``n`` (0-based) of a ``/`` separated location, white space trimmed."""
     return trimmed_part(F.split(location, "/"), n, default)
 
 
 def trimmed_part(parts: Column, n: int, default: str | None = None) -> Column:
-    part = F.trim(F.get(parts, F.lit(n)))
+    part = F.trim(F.get(parts, F.lit(n)), F.lit(WHITE_SPACE))
     return part if default is None else F.coalesce(part, F.lit(default))
 
 

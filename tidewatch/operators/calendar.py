@@ -43,12 +43,15 @@ def densify(facts: DataFrame, keys: Sequence[str], start: dt.date | Column | Non
     here = F.col(day)
     w = Window.partitionBy(*keys).orderBy(here.asc_nulls_first())
     first, last = day_column(start), day_column(end)
-    opens = F.when(F.row_number().over(w) == 1, first).otherwise(F.greatest(here, first))
+    opens = F.when(F.col("_nth") == 1, first).otherwise(F.greatest(here, first))
     following = F.lead(day).over(w)
     closes = F.when(following.isNull(), last).otherwise(
         F.least(F.greatest(here, F.date_sub(following, 1)), last))
     rest = [c for c in facts.columns if c not in (*keys, day)]
-    spans = facts.dropna(subset=list(keys)).withColumns({"_opens": opens, "_closes": closes})
+    # Of rows without a day one stays, so that its key has a calendar.
+    series = (facts.dropna(subset=list(keys)).withColumn("_nth", F.row_number().over(w))
+              .filter(here.isNotNull() | (F.col("_nth") == 1)))
+    spans = series.withColumns({"_opens": opens, "_closes": closes})
     days = spans.withColumn("_day", F.explode(
         day_sequence(F.col("_opens"), F.col("_closes"))))
     return days.select(

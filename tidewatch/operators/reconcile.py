@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.numbers import larger_of
@@ -13,10 +16,14 @@ def reconcile(a: DataFrame, b: DataFrame, keys: list[str], a_value: str, b_value
 
     ``a`` holds one row per key (it is an aggregate).  Repeated rows of ``b`` are
     removed before the join, which gives the same rows as removing them after it
-    and joins less.
+    and joins less.  Null keys match each other.
     """
+    other = b.distinct().withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = functools.reduce(operator.and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    rest = [c for c in (*a.columns, *b.columns) if c not in keys]
     return (
-        a.join(b.distinct(), keys, "full")
+        a.join(other, same, "full")
+        .select(*(F.coalesce(k, f"_{k}").alias(k) for k in keys), *rest)
         .withColumn(best, larger_of(F.col(a_value), F.col(b_value)))
     )
 

@@ -80,8 +80,8 @@ def daily_snapshot(df: DataFrame, ts: str, pick: str, hour: float = 13.0,
 
     ``pick='nearest'`` takes the time closest to ``hour``; ``pick='earliest'``
     the first of the day, which is what ``abs(time) - hour`` selects.  The
-    minimum per day is joined back, so a busy day is neither sorted nor moved;
-    the broadcast side has one row per calendar day.
+    minimum per day is joined back, so a busy day is never sorted; Spark broadcasts
+    the minima if their size allows.
     """
     clock = time_of_day(F.col(ts))
     if pick == "nearest":
@@ -92,7 +92,7 @@ def daily_snapshot(df: DataFrame, ts: str, pick: str, hour: float = 13.0,
         raise ValueError(f"unknown pick: {pick}")
     rows = df.withColumn(day, F.to_date(ts)).withColumn("time_diff", diff)
     best = rows.groupBy(day).agg(F.min("time_diff").alias("time_diff"))
-    return rows.join(F.broadcast(best), [day, "time_diff"], "left_semi")
+    return rows.join(best, [day, "time_diff"], "left_semi")
 
 
 def two_day_change(df: DataFrame, day: str, columns: Sequence[str], today: dt.date,

@@ -20,14 +20,15 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_snapshot(df: DataFrame, path: str, timestamp: str = "timestamp") -> None:
-    """Add snapshots to the master table, one partition per hour of capture.
+    """Add snapshots to the master table, a partition for each time of capture.
 
     Writing a snapshot again replaces its partition, so a repeated run does not
-    double it.
+    double it; another one in the same hour has a partition of its own.
     """
-    stamped = df.withColumn("snapshot_hour", hour_stamp(F.col(timestamp)))
+    stamped = df.withColumn("snapshot_hour", hour_stamp(F.col(timestamp))).withColumn(
+        "snapshot_time", F.date_format(F.col(timestamp).cast("timestamp"), "'m'mm's'ss.SSSSSS"))
     (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_hour").parquet(path))
+     .partitionBy("snapshot_hour", "snapshot_time").parquet(path))
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -8,6 +8,7 @@ submission changes only the days from its submission on.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,9 +31,11 @@ def keep_deltas(feed: DataFrame, delta_path: str, checkpoint: str | None = None,
     """Process everything that has landed and stop.
 
     A batch owns one partition of the delta table; a batch that is run again
-    after a failure overwrites its own partition.
+    after a failure overwrites its own partition.  Each delta table has its own
+    default checkpoint.
     """
-    root = checkpoint or shared_folder(feed.sparkSession) + "/feed_deltas"
+    own = hashlib.sha256(delta_path.rstrip("/").encode()).hexdigest()[:16]
+    root = checkpoint or f"{shared_folder(feed.sparkSession)}/feed_deltas-{own}"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         (day_deltas(batch, "collection_date", "submission_date", (), span)

@@ -444,7 +444,8 @@ LAG = """count({x}) AS seq_count, quantile_cont({x}, 0.5) AS lagdays_median,
 LAG_SQL = LAG.format(x="lag_days").replace(
     "count(lag_days)", "count(lag_days)").replace(
     "quantile_cont(lag_days,", "quantile_cont(CAST(lag_days AS DOUBLE),")
-PIVOT = ["Brand#1", "Brand#2", "Brand#20", "Brand#3", "Brand#4", "Brand#5", "Brand#7"]
+PIVOT = ["Brand#1", "Brand#2", *(f"Brand#{i}" for i in range(20, 26)), "Brand#3", "Brand#4", "Brand#5",
+         "Brand#7"]
 
 
 def pivot_columns(alias=lambda x: f'"{x}"') -> str:
@@ -589,7 +590,7 @@ def wide_sql() -> str:
              {week('collect_date')} AS seq_collect_weekstartdate,
              collect_date AS case_date, location AS case_location,
              continent AS case_continent, who_region, population AS case_population,
-             {", ".join(f'"{m}"' for m in WIDE_MEASURES[:9])}, new_cases AS case_new_cases,
+             {", ".join(f'"{m}"' for m in WIDE_MEASURES[:len(PIVOT) + 2])}, new_cases AS case_new_cases,
              round(new_cases_smoothed, 6) AS case_new_cases_smoothed,
              new_people_vaccinated AS case_new_people_vaccinated,
              new_people_fully_vaccinated AS case_new_people_fully_vaccinated,

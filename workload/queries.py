@@ -239,7 +239,10 @@ def submission_day_counts(spark, sf):
         V.coded_list(spark, sf, lineage=False), ["country", "submission_date"])
 
 
-PIVOT_LABELS = ["Brand#1", "Brand#2", "Brand#20", "Brand#3", "Brand#4", "Brand#5", "Brand#7"]
+#: Every label that the patterns select among the 25 brands has a column.
+PIVOT_LABELS = sorted(b for b in (f"Brand#{i}" for i in range(1, 26))
+                      if any(b.startswith(p[:-1]) if p.endswith("*") else b == p
+                             for p in V.KEY_PATTERNS))
 
 
 @query

@@ -72,12 +72,12 @@ def nations(spark, sf) -> DataFrame:
 def order_places(spark, sf) -> DataFrame:
     """Orders with the customer's nation.
 
-    Nations are a fixed list of 25 and are broadcast.  Orders, customers and line
+    Nations are few, so Spark broadcasts them.  Orders, customers and line
     items all grow with the data and meet in merge joins.
     """
     places = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     places = places.join(
-        F.broadcast(nations(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
+        nations(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice",
         F.to_date("o_orderdate").alias("collection_date"))
