@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -41,16 +40,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nothing refers to any more.
-
-    It does so when the driver collects garbage, which a small driver program may not do
-    before the next pass has filled the disks.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def spread(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, also used to split hot groups."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import constants, crc_mod, mix64, pieces, release, spread, stored, texts_of, word_hashes
+from .common import constants, crc_mod, mix64, pieces, spread, stored, texts_of, word_hashes
 
 #: Bytes of text in a batch, about, unless that gives fewer batches than partitions.
 BATCH_BYTES = 8 << 20
@@ -112,7 +113,7 @@ class Batch:
 
     def __init__(self, table: pa.Table):
         self.table = table.combine_chunks()
-        texts = [t for b in self.table.to_batches() for t in texts_of(b)]
+        texts = [zstandard.decompress(t) for t in self.table.column("text").to_pylist()]
         parts, counts = [], []
         for a, b in pieces(texts):
             h, starts = word_hashes([t.lower() for t in texts[a:b]])
@@ -157,6 +158,14 @@ class Batch:
                 np.bincount(self.pair[self.train], minlength=len(self.pairs)))
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, well below what the shuffle's own codec reaches."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array([squeeze(t) for t in texts_of(batch)], pa.binary()))
+
+
 def by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each part and the places of its keys.  ``keys`` ascend and a part is a range of them."""
     part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
@@ -306,10 +315,9 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
     mark = crc_mod(F.col("doc_id"), folds) != held
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("train"),
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch"))
+    rows = rows.mapInArrow(_squeeze, "doc_id long, text binary, train boolean, batch int")
     sent = rows.groupBy("batch").applyInArrow(_send(parts), _SENT_SQL)
     back = stored(sent.groupBy("kind", "part").applyInArrow(_total, _BACK_SQL))
-    del sent
-    release(docs.sparkSession)
     n = DISCOUNTED + 3
     stats = {kind: row for kind, *row in back.filter("batch = -1").groupBy("kind").agg(
         *(F.sum(F.col("stats")[i]) for i in range(n))).collect()}
