@@ -127,12 +127,13 @@ def plain_top(rows, every, k):
     return Counter(out)
 
 
-@pytest.mark.parametrize("spread", [1.0, 0.05, 3e6])
+@pytest.mark.parametrize("spread", [1.0, 0.05, 1e5, 3e6])
 def test_top_k(spark, monkeypatch, spread):
     rng = random.Random(8)
     monkeypatch.setattr(maxscore, "SHARD_ROWS", 60)
     monkeypatch.setattr(maxscore, "BLOCK_QUERIES", 7)
-    monkeypatch.setattr(maxscore, "STRIDE", 16)
+    monkeypatch.setattr(maxscore, "SEEDS", 25)
+    monkeypatch.setattr(maxscore, "PROBED", 2)
     rows = [(i, [rng.gauss(0, spread) for _ in range(9)]) for i in range(300)]
     rows += [(400 + i, rows[0][1]) for i in range(60)]
     rows += [(500, None), (501, [1.0, None] + [0.0] * 7), (502, [math.nan] * 9), (503, [math.inf] * 9), (504, []),

@@ -4,7 +4,7 @@ A dimension is a term.  In a shard, a query's term adds at least ``low`` and at
 ``low + bound`` to a score.  Terms are ordered by bound; those at the low end whose bounds
 together cannot lift a vector over the shard's current k-th score are non-essential.  The
 essential terms' postings are traversed for all vectors of a block; the others are probed
-one after the other, largest bound first, for vectors that can still compete.  Shards'
+a few at a time, largest bounds first, for vectors that can still compete.  Shards'
 best are merged by score, then vec_id.
 """
 
@@ -22,8 +22,8 @@ from .common import batch_of, checkpointed
 K = 20
 #: Vectors of a shard and queries of a block: a task holds one of each.
 SHARD_ROWS, BLOCK_QUERIES = 2048, 256
-#: Vectors that are traversed before the threshold is looked at again.
-STRIDE = 512
+#: Vectors scored in full for a first threshold, and terms probed at a time.
+SEEDS, PROBED = 256, 8
 #: Components saturate here, far above what integers of doubles keep exact.
 LARGEST = float(1 << 53)
 #: Scores are summed exactly and saturate here when they are returned.
@@ -45,51 +45,70 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
 
 
 def top_of_shard(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
-    """(query row, vector row, score) of each query's ``k`` best in a shard.
+    """(query row, vector rows, scores) of each query's ``k`` best in a shard.
 
     ``ids`` ascend, so of equal scores the earlier row wins.  A query's own id is no match.
+    The first ``SEEDS`` vectors are scored in full and set each query's threshold.
     """
     if not len(x) or not len(q):
         return
-    top, bottom = x.max(axis=0), x.min(axis=0)
-    postings = np.ascontiguousarray(x.T)
-    for i, w in enumerate(q):
-        ends = np.stack([w * top, w * bottom])
-        low, bound = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
-        order = np.argsort(-bound, kind="stable")
-        w, low, bound = w[order], low[order], bound[order]
-        rest = np.append(np.cumsum(bound[::-1])[::-1], 0)  # what terms from here on can add
-        floor = low.sum()
-        rows, scores = np.zeros(0, np.int64), np.zeros(0, x.dtype)
-        for at in range(0, len(x), STRIDE):
-            # A score is floor + what the terms add; the k-th so far must be reached.
-            need = scores.min() - floor if len(rows) == k else None
-            essential = len(order) if need is None else int(np.searchsorted(-rest, -need, "right"))
-            essential = min(max(essential, 1), len(order)) if len(order) else 0
-            part = postings[order[:essential], at:at + STRIDE]
-            added = w[:essential] @ part - low[:essential].sum()
-            alive = np.flatnonzero(ids[at:at + STRIDE] != queries[i])
-            added = added[alive]
-            for t in range(essential, len(order)):
-                compete = added + rest[t] >= need
-                if not compete.all():
-                    alive, added = alive[compete], added[compete]
-                if not len(alive):
-                    break
-                added = added + w[t] * postings[order[t], at + alive] - low[t]
-            rows = np.concatenate([rows, at + alive])
-            scores = np.concatenate([scores, added + floor])
-            if len(rows) > k:
-                best = np.lexsort((rows, -scores))[:k]
-                rows, scores = rows[best], scores[best]
-        yield i, rows, scores
+    ends = np.stack([q * x.max(axis=0), q * x.min(axis=0)])
+    low, bound = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
+    order = np.argsort(-bound, axis=1, kind="stable")
+    seeds = x[:SEEDS] @ q.T
+    own = ids[:, None] == queries[None, :]
+    tops = [_best(np.flatnonzero(~own[:SEEDS, i]), seeds[:, i], k) for i in range(len(q))]
+    # What the terms must add to the floor, the sum of the least any vector has of each.
+    floor = low.sum(axis=1)
+    essential = np.full(len(q), x.shape[1])
+    rest = []
+    for i, (rows, scores) in enumerate(tops):
+        rest.append(np.append(np.cumsum(bound[i, order[i]][::-1])[::-1], 0))
+        if len(rows) == k:
+            first = np.searchsorted(-rest[i], -(scores[-1] - floor[i]), "right")
+            essential[i] = min(int(first), x.shape[1])
+    # Traverse the essential postings of all queries: the other terms' weights are left out.
+    chosen = np.zeros(q.shape, bool)
+    for i, e in enumerate(essential):
+        chosen[i, order[i, :e]] = True
+    later = x[SEEDS:]
+    part = later @ np.where(chosen, q, 0).T
+    others = np.where(chosen, 0, low).sum(axis=1)
+    for i, (rows, scores) in enumerate(tops):
+        alive = np.flatnonzero(~own[SEEDS:, i])
+        have = part[alive, i]
+        at = int(essential[i])
+        need = scores[-1] if len(rows) == k else None
+        owed = others[i]
+        while at < x.shape[1] and len(alive):
+            # owed + rest is the most that the terms not yet probed can come to.
+            compete = have + (owed + rest[i][at]) >= need
+            alive, have = alive[compete], have[compete]
+            terms = order[i, at:at + PROBED]
+            have = have + later[np.ix_(alive, terms)] @ q[i, terms]
+            owed = owed - low[i, terms].sum()
+            at += PROBED
+        both = np.concatenate([rows, alive + min(SEEDS, len(x))])
+        all_scores = np.concatenate([scores, have])
+        best = np.lexsort((both, -all_scores))[:k]
+        yield i, both[best], all_scores[best]
+
+
+def _best(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    scores = scores[rows]
+    best = np.lexsort((rows, -scores))[:k]
+    return rows[best], scores[best]
 
 
 def _stack(vectors: list[list[int]], width: int) -> np.ndarray:
-    """Rows of one length, padded with zeros; Python integers if int64 could overflow."""
+    """Rows of one length, padded with zeros.
+
+    Doubles while all sums are integers that doubles hold exactly, else int64, or Python
+    integers where that could overflow.
+    """
     most = max((abs(c) for v in vectors for c in v), default=0)
-    exact = most * most * max(1, width) < 1 << 61
-    out = np.zeros((len(vectors), width), np.int64 if exact else object)
+    sums = 4 * most * most * max(1, width)
+    out = np.zeros((len(vectors), width), np.float64 if sums < 1 << 53 else np.int64 if sums < 1 << 63 else object)
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
