@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import constants, crc_mod, mix64, pieces, spread, stored, texts_of, word_hashes
 
 #: Bytes of text in a batch, about, unless that gives fewer batches than partitions.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 WORDS, PAIRS = 0, 1
@@ -309,7 +309,7 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
     has probability 1.  Repeated rows are learned from and scored as often as they occur; an empty
     table gives an empty result.
     """
-    parts = spread(docs.sparkSession)
+    parts = 2 * spread(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(parts, -(-size // batch_bytes))
     mark = crc_mod(F.col("doc_id"), folds) != held
