@@ -21,9 +21,9 @@ from .common import batch_of, checkpointed
 
 K = 20
 #: Vectors of a shard and queries of a block: a task holds one of each.
-SHARD_ROWS, BLOCK_QUERIES = 2048, 256
+SHARD_ROWS, BLOCK_QUERIES = 4096, 128
 #: Vectors scored in full for a first threshold, and terms probed at a time.
-SEEDS, PROBED = 256, 8
+SEEDS, PROBED = 256, 16
 #: Components saturate here, far above what integers of doubles keep exact.
 LARGEST = float(1 << 53)
 #: Scores are summed exactly and saturate here when they are returned.
@@ -100,16 +100,21 @@ def _best(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.
     return rows[best], scores[best]
 
 
-def _stack(vectors: list[list[int]], width: int) -> np.ndarray:
+def _stack(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
     """Rows of one length, padded with zeros.
 
     Doubles while all sums are integers that doubles hold exactly, else int64, or Python
     integers where that could overflow.
     """
-    most = max((abs(c) for v in vectors for c in v), default=0)
+    rows = vectors.combine_chunks()
+    flat = rows.flatten().to_numpy()
+    most = int(np.abs(flat).max()) if len(flat) else 0
     sums = 4 * most * most * max(1, width)
-    out = np.zeros((len(vectors), width), np.float64 if sums < 1 << 53 else np.int64 if sums < 1 << 63 else object)
-    for i, v in enumerate(vectors):
+    kind = np.float64 if sums < 1 << 53 else np.int64 if sums < 1 << 63 else object
+    if len(flat) == len(rows) * width:
+        return flat.reshape(-1, width).astype(kind)
+    out = np.zeros((len(rows), width), kind)
+    for i, v in enumerate(rows.to_pylist()):
         out[i, :len(v)] = v
     return out
 
@@ -141,7 +146,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, scale: int = 64) ->
     def run(cell: pa.Table) -> pa.Table:
         asks = cell.column("asks").to_numpy()
         ids = cell.column("vec_id").to_numpy()
-        data = _stack(cell.column("v").to_pylist(), width)
+        data = _stack(cell.column("v"), width)
         mine = np.flatnonzero(~asks)
         mine = mine[np.argsort(ids[mine], kind="stable")]
         ask = np.flatnonzero(asks)
