@@ -8,6 +8,7 @@ from tidewatch.operators import (
     calendar, columns, crosswalk, filters, flags, gates, lineage_counts, reconcile, reshape,
     rollups, trailing_counts, windows,
 )
+from tidewatch.plans import summary, toplines
 
 D = dt.date
 
@@ -86,11 +87,42 @@ def test_crosswalk_overrides_and_repeats(frame):
         "Nowhere", None}
 
 
-def test_dimension_join_does_not_multiply(frame):
-    facts = frame([("a",), ("a",), ("b",)], "k string")
+def test_dimension_join_loses_only_identical_rows(frame):
+    facts = frame([("a",), ("b",), (None,)], "k string")
     dim = frame([("a", 1), ("a", 1), ("a", 2), (None, 3)], "key string, v int")
     out = crosswalk.add_dimension(facts, dim, {"k": "key"}, {"v": "v"})
-    assert listed(out, "k", "v") == [("a", 1), ("a", 1), ("b", None)]
+    assert sorted(map(tuple, out.collect()), key=str) == [("a", 1), ("a", 2), ("b", None), (None, None)]
+    one = gates.evaluate(dim.dropna().distinct(), [gates.extra_rows(["key"])]).first()
+    assert (one.observed, one.passed) == (1.0, False)
+
+
+def test_map_keeps_every_shape(frame):
+    shapes = frame([("P1", "Peru", "PER"), ("P2", "Peru", "PER"), ("P2", "Peru", "PER")],
+                   "geometry string, Name string, country_code string")
+    places = frame([("PER", 1.0, 2.0), ("PER", 1.0, 2.0), ("TCD", 3.0, 4.0)],
+                   "country_code string, latitude double, longitude double")
+    out = summary.add_map_columns(frame([("PER", 7)], "country_code string, n int"), shapes, places)
+    assert sorted(map(tuple, out.select("country_code", "geometry", "n").collect()), key=str) == [
+        ("PER", "P1", 7), ("PER", "P2", 7), ("TCD", None, None)]
+
+
+def test_running_total_of_a_shared_code(frame):
+    day = D(2021, 1, 1)
+    for rows in ([("B", "X", day, 5), ("A", "X", day, 2)], [("A", "X", day, 2), ("B", "X", day, 5)]):
+        out = toplines.cumulative_feed(
+            frame(rows, "country string, code string, submission_date date, n bigint"))
+        assert listed(out.select("country", "cum_seq"), "country") == [("A", 2), ("B", 7)]
+
+
+def test_gates_on_condensed_rows(frame):
+    df = frame([("X", "A", D(2021, 1, 1)), ("X", "A", D(2021, 1, 3)), ("X", "B", None)],
+               "code string, country string, day date")
+    small = gates.condensed(df, ["code", "country"], ["day"])
+    assert small.count() == 2
+    assert [(r.observed, r.passed) for r in gates.evaluate(small, [
+        gates.line_list_age("day", D(2021, 1, 8)), gates.codes_match_names("code", "country"),
+        gates.has_rows("n_rows")]).collect()] == [(5.0, True), (-1.0, False), (3.0, True)]
+    assert gates.evaluate(small.limit(0), [gates.has_rows("n_rows")]).first().passed is False
 
 
 def test_densify_fills_gaps_once(frame):

@@ -1,4 +1,4 @@
-"""Queries against their SQL on the smallest tables (all of them: check_oracle.py)."""
+"""Every query against its SQL on the smallest tables."""
 
 import os
 
@@ -11,16 +11,6 @@ import check_oracle
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-SOME = (
-    "line_list_flags", "exclusion_flag", "location_parts", "iso_weeks", "coded_line_list",
-    "lineage_counts_with_totals", "lineage_conditional", "variant_groups", "observed_grid",
-    "case_series", "lag_stats", "regional_lag_stats", "country_day_wide", "merged_series",
-    "centred_mean", "nearest_snapshot", "seq_last_30", "seq_refresh", "country_summary",
-    "summary_gates", "threshold_labels", "topline_table", "vaccination_overwrite",
-    "tracker_table", "flow_diagonal",
-)
-NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else SOME
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -40,7 +30,7 @@ def test_entry(spark):
     assert E.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_as_sql(spark, con, name):
     line, ok = check_oracle.compare(name, spark, con, SF)
     assert ok, line

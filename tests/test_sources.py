@@ -95,6 +95,56 @@ def test_clean_metadata_from_tsv(spark, tmp_path):
         line_list.clean_line_list(df.drop("Host"), flags.exclusion_names(lines), D(2021, 12, 1))
 
 
+CASE_ROW = {"iso_code": "PER", "location": "Peru", "date": "2021-01-01", "population": "33000000",
+            "people_vaccinated": "12", "new_cases": "3"}
+
+
+def case_file(path, header):
+    return put(path, ",".join(header) + "\n" + ",".join(CASE_ROW.get(c, "") for c in header) + "\n")
+
+
+@pytest.mark.parametrize("change", [
+    lambda names: names[::-1], lambda names: ["extra", *names[:9], "other", *names[9:]],
+    lambda names: ["\ufeff" + names[0], *names[1:]]])
+def test_columns_are_read_by_name(spark, tmp_path, change):
+    path = case_file(tmp_path / "c.csv", change(schemas.CASES.fieldNames()))
+    df = readers.read_cases(spark, path)
+    assert df.schema == schemas.CASES
+    row = df.first()
+    assert (row.location, row.date, row.population, row.people_vaccinated, row.new_cases) == (
+        "Peru", D(2021, 1, 1), 33000000.0, 12.0, 3.0)
+
+
+def test_narrow_files(spark, tmp_path):
+    path = case_file(tmp_path / "c.csv", ["date", "iso_code"])
+    assert [tuple(r) for r in readers.read_cases(spark, path, ["iso_code"]).collect()] == [("PER",)]
+    with pytest.raises(ValueError, match="population"):
+        readers.read_cases(spark, path)
+
+
+def test_headers_that_differ_between_files(spark, tmp_path):
+    folder = tmp_path / "two words"
+    folder.mkdir()
+    names = schemas.CASES.fieldNames()
+    for i, header in enumerate((names, names[::-1], ["more", *names])):
+        case_file(folder / f"{i}.csv", header)
+    put(folder / "3.csv", "")
+    rows = readers.read_cases(spark, str(folder)).collect()
+    assert len(rows) == 3 and len(set(rows)) == 1 and rows[0].population == 33000000.0
+
+
+def test_metadata_without_host(spark, tmp_path):
+    names = [c for c in K.METADATA_COLUMNS if c != "Host"]
+    with pytest.raises(ValueError, match="Host"):
+        readers.read_metadata(spark, put(tmp_path / "m.tsv", "\t".join(names) + "\n"))
+
+
+def test_geometry_with_swapped_columns(spark, tmp_path):
+    path = put(tmp_path / "g.txt", "Name\t3-letter ISO code\tgeometry\nPeru\tPER\tPOLY((1,2))\n")
+    assert [tuple(r) for r in readers.read_geometry(spark, path).collect()] == [
+        ("POLY((1,2))", "Peru", "PER")]
+
+
 def test_sinks(spark, frame, tmp_path):
     df = frame([("a", 1), ("b", 2)], "k string, n int")
     writers.write_csv(df, str(tmp_path / "csv"))
@@ -160,6 +210,8 @@ def test_feed_kept_up_incrementally(spark, tmp_path):
     got = live.current_series(spark, deltas, D(2021, 1, 1), D(2021, 3, 1))
     assert got.orderBy("date").collect() == want.orderBy("date").collect()
     assert max(r.n for r in got.collect()) == 3
+    with pytest.raises(ValueError, match="another checkpoint"):
+        live.keep_deltas(live.landed_feed(spark, str(landing)), deltas, str(tmp_path / "new"))
 
 
 def test_shared_folder(spark):

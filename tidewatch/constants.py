@@ -96,7 +96,6 @@ LINE_LIST_CODE_OVERRIDES = {
     "Falkland Islands": "FLK",
 }
 TESTING_CODE_OVERRIDES = {"Kosovo": "XKX", "Namibia": "NAM"}
-SERIES_COUNTRIES = ("USA", "GBR", "DEU")
 
 # --- fixed values: lineages ---------------------------------------------------------
 VARIANT_GROUPS = {
@@ -123,7 +122,6 @@ INSUFFICIENT_SEQUENCING = "not estimated, insufficient recent sequencing"
 MINIMAL_CASES = "minimal recent COVID cases"
 TABLE_END_MARK = "total (worldwide)"
 TABLE_WIDTH = 7
-SNAPSHOT_HOUR = 13
 TOPLINE_LABELS = {
     # type: (metric text, compared with)
     "omicroncases": ("Cumulative confirmed Omicron cases", "Last week"),

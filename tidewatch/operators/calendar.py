@@ -15,17 +15,16 @@ def day_grid(df: DataFrame, keys: Sequence[str], start: dt.date | Column | None,
     """Every day from start to end for every distinct key.
 
     The calendar is generated per key row, so there is no cross join.  Without
-    ``start`` it begins on the first day in the data, found while the keys are
-    collected (the window sees one row per key).
+    ``start`` it begins on the first day in the data.
     """
     known = df.dropna(subset=list(keys))
-    if start is None:
-        first = known.groupBy(*keys).agg(F.min(day).alias("_first"))
-        base = first.withColumn("_start", F.min("_first").over(Window.partitionBy(F.lit(0))))
-        start = F.col("_start")
-    else:
-        base = known.select(*keys).distinct()
-    return base.select(*keys, F.explode(day_sequence(start, end)).alias(day))
+    start = first_day(known, day) if start is None else start
+    return known.select(*keys).distinct().select(*keys, F.explode(day_sequence(start, end)).alias(day))
+
+
+def first_day(df: DataFrame, day: str) -> Column:
+    """The first day in the data, as a scalar subquery."""
+    return df.agg(F.min(day)).scalar()
 
 
 def densify(facts: DataFrame, keys: Sequence[str], start: dt.date | Column | None,
@@ -35,11 +34,11 @@ def densify(facts: DataFrame, keys: Sequence[str], start: dt.date | Column | Non
     Facts are series: a row or few per key and day.  Each row brings the days up
     to the next row of its key, the first one also the days before it.  So the
     facts are read once, and the result is already partitioned by key for the
-    windows that follow.  Without ``start`` the calendar has to be known first and
-    the facts are joined to :func:`day_grid`.
+    windows that follow.  Without ``start`` the calendar begins on the first day in
+    the data, which is worked out from the facts beforehand.
     """
     if start is None:
-        return day_grid(facts, keys, None, end, day).join(facts, [*keys, day], "left")
+        start = first_day(facts.dropna(subset=list(keys)), day)
     here = F.col(day)
     w = Window.partitionBy(*keys).orderBy(here.asc_nulls_first())
     first, last = day_column(start), day_column(end)

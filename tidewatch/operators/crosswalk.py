@@ -60,17 +60,16 @@ def unmatched_names(df: DataFrame, name: str, crosswalk: DataFrame) -> DataFrame
 
 def add_dimension(df: DataFrame, dim: DataFrame, on: Mapping[str, str], keep: Mapping[str, str],
                   how: str = "left") -> DataFrame:
-    """Join attributes of a dimension with one row per key.
+    """Join attributes of a dimension.
 
     ``on`` maps fact columns to dimension columns, ``keep`` maps dimension
-    attributes to output names.  The dimension is reduced to one row per key
-    first, so repeated dimension rows cannot multiply facts.
+    attributes to output names.  Identical dimension rows count once; a key with
+    different attributes keeps them all (see :func:`gates.extra_rows`).
     """
     keys = [F.col(f"`{d}`").alias(f"_k{i}") for i, d in enumerate(on.values())]
     names = [f"_k{i}" for i in range(len(keys))]
     attrs = [F.col(f"`{d}`").alias(out) for d, out in keep.items()]
-    side = dim.select(*keys, *attrs).dropna(subset=names)
-    side = one_per_key(side, names, [F.col(out) for out in keep.values()])
+    side = dim.select(*keys, *attrs).dropna(subset=names).distinct()
     test = None
     for k, fact in zip(names, on):
         t = F.col(f"`{fact}`") == F.col(k)

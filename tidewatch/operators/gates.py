@@ -36,6 +36,16 @@ def evaluate(df: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     return packed.select(F.inline("_g"))
 
 
+def condensed(df: DataFrame, keys: Sequence[str], largest: Sequence[str]) -> DataFrame:
+    """One row per combination of ``keys``, with maxima and the number of rows.
+
+    Gates that count distinct keys run on this small table instead of the records,
+    which several distinct counts would multiply.
+    """
+    return df.groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in largest), F.count("*").alias("n_rows"))
+
+
 def enforce(result: DataFrame) -> DataFrame:
     """Raise when a gate failed.  The result holds a handful of rows."""
     failed = result.filter(~F.col("passed")).collect()
@@ -101,5 +111,12 @@ def snapshot_today(ts: str, as_of: dt.date) -> Gate:
     return Gate("snapshot_age_days", _age(F.to_date(ts), as_of), "==", 0)
 
 
-def has_rows() -> Gate:
-    return Gate("rows", F.count("*"), ">", 0)
+def has_rows(n: str | None = None) -> Gate:
+    """Rows, or the sum of a column that counts them."""
+    return Gate("rows", F.coalesce(F.sum(n), F.lit(0)) if n else F.count("*"), ">", 0)
+
+
+def extra_rows(keys: Sequence[str]) -> Gate:
+    """Different dimension rows beyond one per key."""
+    return Gate("extra_dimension_rows",
+                F.count("*") - F.countDistinct(F.struct(*keys)), "==", 0)

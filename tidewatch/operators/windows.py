@@ -16,9 +16,9 @@ from tidewatch.functions.dates import time_of_day
 from tidewatch.functions.numbers import ratio
 
 
-def ordered(keys: Sequence[str], day: str) -> WindowSpec:
+def ordered(keys: Sequence[str], day: str, *ties: str) -> WindowSpec:
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    return w.orderBy(day)
+    return w.orderBy(day, *ties)
 
 
 def trailing_sum(x: Column, keys: Sequence[str], day: str, width: int) -> Column:
@@ -43,8 +43,9 @@ def lagged(x: Column, keys: Sequence[str], day: str, rows: int) -> Column:
     return F.lag(x, rows).over(ordered(keys, day))
 
 
-def running_total(x: Column, keys: Sequence[str], day: str) -> Column:
-    return F.sum(x).over(ordered(keys, day).rowsBetween(Window.unboundedPreceding, 0))
+def running_total(x: Column, keys: Sequence[str], day: str, *ties: str) -> Column:
+    """Sum up to the row; rows of one key and day follow ``ties``."""
+    return F.sum(x).over(ordered(keys, day, *ties).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def daily_from_cumulative(x: Column, keys: Sequence[str], day: str) -> Column:

@@ -58,7 +58,7 @@ def dashboard_by_region(board: DataFrame) -> DataFrame:
 
 
 def dashboard_geometry(board: DataFrame, geometry: DataFrame) -> DataFrame:
-    """Geometry by code; codes without a value or repeated do not multiply rows."""
+    """Geometry by code; codes without a value and identical rows do not multiply rows."""
     return crosswalk.add_dimension(
         board, geometry, {"iso_code": "code"}, {"geometry": "geometry"})
 

@@ -150,12 +150,13 @@ def label_threshold(summary: DataFrame) -> DataFrame:
 
 def add_map_columns(summary: DataFrame, geometry: DataFrame, lat_long: DataFrame,
                     code: str = "country_code") -> DataFrame:
-    """One row per country of the map dimension, with or without metrics."""
-    places = crosswalk.one_per_key(
-        lat_long.select(code, "latitude", "longitude"), [code],
-        [F.col("latitude"), F.col("longitude")])
-    shapes = geometry.select(code, "geometry", F.col("Name"))
-    shapes = crosswalk.one_per_key(shapes, [code], [F.col("Name"), F.col("geometry")])
+    """Countries of the map dimension, with or without metrics.
+
+    Identical rows of coordinates and shapes count once; a country with several
+    shapes has a row for each.
+    """
+    places = lat_long.select(code, "latitude", "longitude").distinct()
+    shapes = geometry.select(code, "geometry", F.col("Name")).distinct()
     shaped = shapes.join(summary, code, "left")
     return places.join(shaped, code, "left")
 

@@ -43,10 +43,13 @@ def reconcile_summary(recent: DataFrame, rec: DataFrame, code: str = "country_co
 
 
 def cumulative_feed(feed: DataFrame) -> DataFrame:
-    """Running sequences per code; rows before the first count go."""
+    """Running sequences per code; rows before the first count go.
+
+    Countries that share a code and a day follow each other by name.
+    """
     filled = feed.withColumn("n", F.coalesce("n", F.lit(0)))
     return filled.withColumn("cum_seq", windows.running_total(
-        F.col("n"), ["code"], "submission_date")).filter(F.col("cum_seq") != 0)
+        F.col("n"), ["code"], "submission_date", "country")).filter(F.col("cum_seq") != 0)
 
 
 def feed_by_day(cumulative: DataFrame) -> DataFrame:

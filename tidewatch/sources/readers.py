@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewatch.operators.columns import clean_names
 from tidewatch.operators.crosswalk import literal_rows
@@ -15,15 +18,45 @@ from tidewatch.sources import schemas
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: StructType,
                    sep: str = ",", header: bool = True,
                    columns: Sequence[str] | None = None) -> DataFrame:
-    """A file, folder or list of both with a fixed schema.
+    """A file, folder or list of both; columns by name, with the types of ``schema``.
 
-    Only the parser's empty field is null, so codes such as ``NA`` stay text.
-    With ``columns`` the scan parses just those.
+    Files may order their columns differently and have others besides.  Files of one
+    header are one scan, which parses just the columns asked for (all of ``schema``
+    unless ``columns`` are given); a header without one of them raises.  Without a
+    header, columns go by position.  Only the parser's empty field is null, so codes
+    such as ``NA`` stay text.  A value that is not of its type is null.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.schema(schema).option("header", header).option("sep", sep).option(
-        "enforceSchema", True).csv(paths)
-    return df if columns is None else df.select(*(F.col(f"`{c}`") for c in columns))
+    names = schema.fieldNames() if columns is None else list(columns)
+    read = spark.read.option("header", header).option("sep", sep).option("enforceSchema", True)
+    pick = lambda df: df.select(*(F.col(f"`{c}`") for c in names))
+    if not header:
+        return pick(read.schema(schema).csv(paths))
+    scans = []
+    for found, files in _files_by_header(spark, paths, sep).items():
+        missing = [c for c in names if c not in found]
+        if missing:
+            raise ValueError(f"Missing column(s) in {files[0]}: " + ", ".join(missing))
+        fields = [schema[c] if c in schema.names else StructField(c, StringType()) for c in found]
+        scans.append(pick(read.schema(StructType(fields)).csv(files)))
+    return reduce(DataFrame.union, scans) if scans else pick(spark.createDataFrame([], schema))
+
+
+def _files_by_header(spark: SparkSession, paths: list[str],
+                     sep: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``paths`` by their header; files without a line are left out.
+
+    Takes the first line of each file, several files at a time.
+    """
+    files = sorted(unquote(f) for f in spark.read.text(paths).inputFiles())
+    first = spark.read.option("header", True).option("sep", sep)
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: first.csv(f).columns, files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers, strict=True):
+        if header:
+            groups.setdefault(tuple(c.removeprefix("\ufeff") for c in header), []).append(file)
+    return groups
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:

@@ -21,7 +21,9 @@ METADATA = T.StructType([
 FEED = _schema(
     accession_id=_S, country=_S, location=_S, submission_date=_D, collection_date=_D,
     clade=_S, pango_lineage=_S, variant=_S)
-SUBMISSIONS = _schema(accession_id=_S, location=_S, submission_date=_D, lineage=_S)
+SUBMISSIONS = T.StructType([
+    T.StructField("Accession ID", _S), T.StructField("Location", _S),
+    T.StructField("Submission date", _D), T.StructField("Lineage", _S)])
 CASES = _schema(
     iso_code=_S, continent=_S, location=_S, date=_D, total_cases=_F, new_cases=_F,
     new_cases_smoothed=_F, total_deaths=_F, new_deaths=_F, population=_F,

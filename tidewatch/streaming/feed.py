@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -32,11 +33,16 @@ def keep_deltas(feed: DataFrame, delta_path: str, checkpoint: str | None = None,
 
     A batch owns one partition of the delta table; a batch that is run again
     after a failure overwrites its own partition.  Each delta table has its own
-    default checkpoint.
+    default checkpoint.  A table without the checkpoint it was written with raises:
+    a new one would number its batches from 0 again and overwrite some of them.
     """
     own = hashlib.sha256(delta_path.rstrip("/").encode()).hexdigest()[:16]
     root = checkpoint or f"{shared_folder(feed.sparkSession)}/feed_deltas-{own}"
 
+    spark = feed.sparkSession
+    if _has_files(spark, delta_path) and not _has_files(spark, f"{root}/metadata"):
+        raise ValueError(f"{delta_path} was written with another checkpoint than {root}")
+
     def store(batch: DataFrame, batch_id: int) -> None:
         (day_deltas(batch, "collection_date", "submission_date", (), span)
          .withColumn("batch_id", F.lit(batch_id))
@@ -47,6 +53,15 @@ def keep_deltas(feed: DataFrame, delta_path: str, checkpoint: str | None = None,
             .trigger(availableNow=True).start())
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.text(path).inputFiles())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def current_series(spark: SparkSession, delta_path: str, start: dt.date, end: dt.date) -> DataFrame:
     """The series from start to end with lag and ratio, from the delta table."""
     deltas = spark.read.parquet(delta_path).select("date", "delta")

@@ -356,7 +356,7 @@ VIEWS = {
                        WHERE confirmed IS NOT NULL)
         QUALIFY rank() OVER (PARTITION BY date ORDER BY time_diff) = 1""",
     "feed_cum": """
-        SELECT * FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY code ORDER BY submission_date)
+        SELECT * FROM (SELECT *, CAST(sum(n) OVER (PARTITION BY code ORDER BY submission_date, country)
                               AS BIGINT) AS cum_seq FROM feed) WHERE cum_seq <> 0""",
     "rec_daily": """
         SELECT date, count(*) AS n_countries_all,

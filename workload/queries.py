@@ -265,7 +265,7 @@ def variant_groups(spark, sf):
 @query
 def distinct_lineages(spark, sf):
     rows = V.line_list(spark, sf, lineage=True)
-    return rows.groupBy("region").agg(
+    return rows.select("region", "pango_lineage", "country").distinct().groupBy("region").agg(
         F.countDistinct("pango_lineage").alias("n_lineages"),
         F.countDistinct("country").alias("n_countries"),
         F.bool_or(F.col("pango_lineage") == "Brand#2").alias("present"))
@@ -615,10 +615,10 @@ def summary_gates_with_share(spark, sf):
 @query
 def line_list_gates(spark, sf):
     ll = V.line_list(spark, sf).select("submission_date", "code", "country")
-    return gates.evaluate(ll, [
+    return gates.evaluate(gates.condensed(ll, ["code", "country"], ["submission_date"]), [
         gates.line_list_age("submission_date", V.AS_OF),
         gates.codes_match_names("code", "country"),
-        gates.has_rows(),
+        gates.has_rows("n_rows"),
     ])
 
 
@@ -626,6 +626,7 @@ def line_list_gates(spark, sf):
 def series_gates(spark, sf):
     m = merged(spark, sf).withColumn("seq_code", F.when(
         F.col("n_new_sequences") > 0, F.col("country_code")))
+    m = gates.condensed(m, ["seq_code", "country_code"], ["date", "n_new_sequences"])
     return gates.evaluate(m, [
         gates.fewer_sequence_countries("seq_code", "country_code"),
         gates.sequences_age("date", "n_new_sequences", V.AS_OF, 10),
