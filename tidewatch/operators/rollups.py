@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions.text import who_region_label
@@ -78,13 +78,14 @@ def weekly_rollup(df: DataFrame, keys: Sequence[str], measures: Sequence[str], c
                   attributes: Sequence[str]) -> DataFrame:
     """Sums per week and country with the country's attributes attached.
 
-    The attributes come from the same aggregate (one value per country), not
-    from a join of distinct combinations, so they cannot multiply rows.
+    The attributes are one value per country, spread over its weeks by a window, so
+    the series is read once and rows cannot multiply.
     """
     sums = [F.coalesce(F.sum(F.col(f"`{m}`")), F.lit(0)).alias(m) for m in measures]
-    weekly = df.groupBy(*keys, country).agg(*sums)
-    facts = df.groupBy(country).agg(*(F.max(a).alias(a) for a in attributes))
-    return weekly.dropna(subset=[*keys, country]).join(facts, country, "left")
+    weekly = df.groupBy(*keys, country).agg(*sums, *(F.max(a).alias(a) for a in attributes))
+    place = Window.partitionBy(country)
+    return weekly.withColumns({a: F.max(a).over(place) for a in attributes}).dropna(
+        subset=[*keys, country])
 
 
 def overwrite_reported(df: DataFrame, reported: DataFrame, keys: Sequence[str], place: str,

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions.dates import day_column, day_sequence
+from tidewatch.operators.calendar import densify, zero_fill
 from tidewatch.operators.windows import add_lag_ratio, running_total
 
 
@@ -43,12 +44,19 @@ def counts_from_deltas(deltas: DataFrame, start: dt.date | Column, end: dt.date
 
     Openings before ``start`` are folded into the first day, so the balance is
     carried in.  Calendar rows enter as zero deltas, so no join is needed.
-    ``key_rows`` names the keys that must appear; by default those with records.
+    ``key_rows`` names the keys that must appear; by default those with records,
+    and then the calendar is filled in between a key's own days.
     """
     first, last = day_column(start), day_column(end)
+    if keys and key_rows is None:
+        # Later openings are in no day, but their keys have a calendar.
+        day = F.when(F.col("date") <= last, F.greatest(F.col("date"), first))
+        daily = deltas.groupBy(*keys, day.alias("date")).agg(F.sum("delta").alias("delta"))
+        dense = zero_fill(densify(daily, keys, start, end), ["delta"])
+        return dense.select(
+            *keys, "date", running_total(F.col("delta"), keys, "date").alias(value))
     if keys:
-        source = deltas if key_rows is None else key_rows
-        base = source.select(*keys).dropna().distinct()
+        base = key_rows.select(*keys).dropna().distinct()
     else:
         base = deltas.sparkSession.range(1).select()
     zero = base.select(*keys, F.explode(day_sequence(start, end)).alias("date"),
