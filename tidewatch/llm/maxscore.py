@@ -3,9 +3,9 @@
 A dimension is a term.  In a shard, a query's term adds at least ``low`` and at most
 ``low + bound`` to a score.  Terms are ordered by bound; those at the low end whose bounds
 together cannot lift a vector over the shard's current k-th score are non-essential.  The
-essential terms' postings are traversed for all vectors of a block; the others are probed
-a few at a time, largest bounds first, for vectors that can still compete.  Shards'
-best are merged by score, then vec_id.
+essential terms' postings are traversed for all vectors and some queries at once; the
+others are probed a few at a time, largest bounds first, for vectors that can still
+compete.  Shards' best are merged by score, then vec_id.
 """
 
 from __future__ import annotations
@@ -21,9 +21,13 @@ from .common import batch_of, checkpointed
 
 K = 20
 #: Vectors of a shard and queries of a block: a task holds one of each.
-SHARD_ROWS, BLOCK_QUERIES = 4096, 128
+SHARD_ROWS, BLOCK_QUERIES = 8192, 512
+#: Queries that a task handles at once: its scores are a shard's rows times these.
+TOGETHER = 128
 #: Vectors scored in full for a first threshold, and terms probed at a time.
-SEEDS, PROBED = 256, 16
+SEEDS, PROBED = 1024, 16
+#: Probe pairs one by one once fewer than one in so many still compete.
+FEW = 64
 #: Components saturate here, far above what integers of doubles keep exact.
 LARGEST = float(1 << 53)
 #: Scores are summed exactly and saturate here when they are returned.
@@ -45,59 +49,74 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
 
 
 def top_of_shard(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
-    """(query row, vector rows, scores) of each query's ``k`` best in a shard.
+    """(query row, vector row, score) arrays of each query's ``k`` best in a shard.
 
     ``ids`` ascend, so of equal scores the earlier row wins.  A query's own id is no match.
-    The first ``SEEDS`` vectors are scored in full and set each query's threshold.
     """
-    if not len(x) or not len(q):
-        return
+    found = [_top_of_some(ids, x, queries[a:a + TOGETHER], q[a:a + TOGETHER], k)
+             for a in range(0, len(q), TOGETHER)] if len(x) else []
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, x.dtype)
+    rows = [i + n * TOGETHER for n, (i, _, _) in enumerate(found)]
+    return np.concatenate(rows), *(np.concatenate([f[c] for f in found]) for c in (1, 2))
+
+
+def _top_of_some(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
+    """top_of_shard for a few queries; the first ``SEEDS`` vectors set their thresholds."""
     ends = np.stack([q * x.max(axis=0), q * x.min(axis=0)])
     low, bound = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
-    order = np.argsort(-bound, axis=1, kind="stable")
-    seeds = x[:SEEDS] @ q.T
-    own = ids[:, None] == queries[None, :]
-    tops = [_best(np.flatnonzero(~own[:SEEDS, i]), seeds[:, i], k) for i in range(len(q))]
-    # What the terms must add to the floor, the sum of the least any vector has of each.
+    # The least any vector can score: what a query needs until it has k better ones.
     floor = low.sum(axis=1)
-    essential = np.full(len(q), x.shape[1])
-    rest = []
-    for i, (rows, scores) in enumerate(tops):
-        rest.append(np.append(np.cumsum(bound[i, order[i]][::-1])[::-1], 0))
-        if len(rows) == k:
-            first = np.searchsorted(-rest[i], -(scores[-1] - floor[i]), "right")
-            essential[i] = min(int(first), x.shape[1])
-    # Traverse the essential postings of all queries: the other terms' weights are left out.
-    chosen = np.zeros(q.shape, bool)
-    for i, e in enumerate(essential):
-        chosen[i, order[i, :e]] = True
-    later = x[SEEDS:]
-    part = later @ np.where(chosen, q, 0).T
-    others = np.where(chosen, 0, low).sum(axis=1)
-    for i, (rows, scores) in enumerate(tops):
-        alive = np.flatnonzero(~own[SEEDS:, i])
-        have = part[alive, i]
-        at = int(essential[i])
-        need = scores[-1] if len(rows) == k else None
-        owed = others[i]
-        while at < x.shape[1] and len(alive):
-            # owed + rest is the most that the terms not yet probed can come to.
-            compete = have + (owed + rest[i][at]) >= need
-            alive, have = alive[compete], have[compete]
-            terms = order[i, at:at + PROBED]
-            have = have + later[np.ix_(alive, terms)] @ q[i, terms]
-            owed = owed - low[i, terms].sum()
-            at += PROBED
-        both = np.concatenate([rows, alive + min(SEEDS, len(x))])
-        all_scores = np.concatenate([scores, have])
-        best = np.lexsort((both, -all_scores))[:k]
-        yield i, both[best], all_scores[best]
-
-
-def _best(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    scores = scores[rows]
-    best = np.lexsort((rows, -scores))[:k]
-    return rows[best], scores[best]
+    own = list(zip(np.searchsorted(ids, queries), np.searchsorted(ids, queries, "right"), strict=True))
+    seeds = x[:SEEDS] @ q.T
+    for i, (begin, end) in enumerate(own):
+        seeds[begin:end, i] = floor[i] - 1
+    need = floor
+    if len(seeds) >= k:
+        need = np.maximum(floor, np.sort(seeds, axis=0)[-k])
+    row, who = np.nonzero(seeds >= need)
+    found = [(who, row, seeds[row, who])]
+
+    order = np.argsort(-bound, axis=1, kind="stable")
+    place = np.argsort(order, axis=1)
+    ranked = np.take_along_axis(bound, order, axis=1)
+    # rest[:, n]: what the terms from the n-th on can add to the floor.
+    rest = np.concatenate([np.cumsum(ranked[:, ::-1], axis=1)[:, ::-1], np.zeros_like(ranked[:, :1])], axis=1)
+    at = np.minimum((rest >= (need - floor)[:, None]).sum(axis=1), x.shape[1])
+    # Traverse the essential postings, then probe the others while any vector competes.
+    later, rows = x[SEEDS:], np.arange(min(SEEDS, len(x)), len(x))
+    alive = np.ones((len(later), len(q)), bool)
+    for i, (begin, end) in enumerate(own):
+        alive[max(0, begin - SEEDS):max(0, end - SEEDS), i] = False
+    done = place < at[:, None]
+    have = later @ np.where(done, q, 0).T
+    while len(later):
+        most = np.where(done, 0, low).sum(axis=1) + np.take_along_axis(rest, at[:, None], axis=1)[:, 0]
+        alive &= have + most >= need
+        if done.all():
+            row, who = np.nonzero(alive)
+            found.append((who, rows[row], have[row, who]))
+            break
+        if np.count_nonzero(alive) * FEW < alive.size:
+            row, who = np.nonzero(alive)
+            left = np.where(done, 0, q)
+            for a in range(0, len(row), 1 << 15):
+                r, i = row[a:a + (1 << 15)], who[a:a + (1 << 15)]
+                score = have[r, i] + (later[r] * left[i]).sum(axis=1)
+                good = score >= need[i]
+                found.append((i[good], rows[r[good]], score[good]))
+            break
+        stay = np.flatnonzero(alive.any(axis=1))
+        later, rows, alive, have = later[stay], rows[stay], alive[stay], have[stay]
+        at = np.minimum(at + PROBED, x.shape[1])
+        probed = ~done & (place < at[:, None])
+        have += later @ np.where(probed, q, 0).T
+        done |= probed
+    who, row, score = (np.concatenate([f[c] for f in found]) for c in range(3))
+    best = np.lexsort((row, -score, who))
+    who, row, score = who[best], row[best], score[best]
+    top = np.arange(len(who)) - np.searchsorted(who, who) < k
+    return who[top], row[top], score[top]
 
 
 def _stack(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -150,10 +169,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, scale: int = 64) ->
         mine = np.flatnonzero(~asks)
         mine = mine[np.argsort(ids[mine], kind="stable")]
         ask = np.flatnonzero(asks)
-        out = [batch_of(_SCHEMA, np.full(len(r), ids[ask[i]]), ids[mine[r]],
-                        np.clip(s, -LONGEST, LONGEST).astype(np.int64))
-               for i, r, s in top_of_shard(ids[mine], data[mine], ids[ask], data[ask], k)]
-        return pa.Table.from_batches(out, _SCHEMA)
+        who, row, score = top_of_shard(ids[mine], data[mine], ids[ask], data[ask], k)
+        return pa.Table.from_batches([batch_of(
+            _SCHEMA, ids[ask[who]], ids[mine[row]], np.clip(score, -LONGEST, LONGEST).astype(np.int64))])
 
     cells = held.select(F.col("shard").cast("int"), "block", "asks", "vec_id", "v").unionByName(
         asked.select(F.col("shard").cast("int"), "block", "asks", "vec_id", "v"))
