@@ -132,3 +132,24 @@ def test_removal(docs, monkeypatch, letters):
     got = substrings.remove_repeats(docs(rows).repartition(5)).collect()
     assert Counter((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == plain_removal(rows)
     assert substrings.remove_repeats(docs([])).collect() == []
+
+
+def test_removal_of_keys_that_span_batches(spark, docs, monkeypatch):
+    rng = random.Random(12)
+    own = lambda n: ["w%d" % rng.randrange(10**6) for _ in range(n)]
+    short, long = own(9), own(30)
+    rows = []
+    for i in range(120):
+        rows.append((rng.randrange(90), " ".join(own(rng.randint(0, 20)) + short + own(rng.randint(0, 20)))))
+        rows.append((rng.randrange(90), " ".join((own(3) + short) * 4 + (long if i % 3 else own(4) + long[:15]))))
+    rows += [(200, " ".join(short * 30)), (201, " ".join(short * 30)), (200, " ".join(own(2) + short * 20))]
+    monkeypatch.setattr(substrings, "TOGETHER", 50)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for n in (1, 7, 64):
+            spark.conf.set(size, n)
+            got = substrings.remove_repeats(docs(rows).repartition(3)).collect()
+            assert Counter((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in got) == plain_removal(rows)
+    finally:
+        spark.conf.set(size, before)

@@ -130,42 +130,47 @@ def _meet(extend: bool):
     """Over partitions sorted by k, c and doc: which rows are seen, which are to be extended.
 
     With ``extend``, rows that are not seen but share k with other surroundings in another
-    document come out unseen; all others that are not seen are dropped.
+    document come out unseen; all others that are not seen are dropped.  Of a key that
+    spans batches a few witnesses are carried on, and the rows that nothing is decided
+    about yet, which are rows of one document; so a frequent anchor is never held whole.
     """
 
-    def judge(cols: list[np.ndarray]) -> pa.RecordBatch:
-        k, c, doc, row, at, seen = cols
-        n = len(k)
+    def judge(cols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        k, c, doc, _, _, passing = cols
         new_k = np.concatenate([[True], k[1:] != k[:-1]])
         new = new_k | np.concatenate([[True], c[1:] != c[:-1]])
-        passing = seen.copy()
         # Rows that only pass through form no groups; their keys are random.
-        first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        seen = seen | ((doc > doc[first]) & ~passing[first])
-        keep = seen
-        if extend:
-            group = np.cumsum(new_k) - 1
-            kinds = np.bincount(group, weights=new & ~passing)
-            low = np.full(len(kinds), np.iinfo(np.int64).max)
-            high = np.full(len(kinds), np.iinfo(np.int64).min)
-            np.minimum.at(low, group, doc)
-            np.maximum.at(high, group, doc)
-            keep = seen | ((kinds > 1) & (low < high))[group]
-        return batch_of(_ROW, *(x[keep] for x in (k, c, doc, row, at, seen)))
+        first = np.maximum.accumulate(np.where(new, np.arange(len(k)), 0))
+        seen = passing | ((doc > doc[first]) & ~passing[first])
+        if not extend:
+            return seen, seen
+        group = np.cumsum(new_k) - 1
+        begin = np.flatnonzero(new_k)
+        kinds = np.bincount(group, weights=new & ~passing)
+        several = (kinds > 1) & (np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin))
+        return seen, seen | several[group]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        cols = [np.zeros(0, f.type.to_pandas_dtype()) for f in _ROW]
+        out = np.zeros(0, bool)
         for batch in batches:
-            cols = [batch.column(f.name).to_numpy(zero_copy_only=False) for f in _ROW]
-            cols = cols if kept is None else [np.concatenate(x) for x in zip(kept, cols, strict=True)]
-            if not len(cols[0]):
+            if not batch.num_rows:
                 continue
-            cut = int(np.searchsorted(cols[0], cols[0][-1]))
-            if cut:
-                yield judge([x[:cut] for x in cols])
-            kept = [x[cut:] for x in cols]
-        if kept is not None and len(kept[0]):
-            yield judge(kept)
+            cols = [np.concatenate([x, batch.column(f.name).to_numpy(zero_copy_only=False)])
+                    for x, f in zip(cols, _ROW, strict=True)]
+            out = np.concatenate([out, np.zeros(batch.num_rows, bool)])
+            seen, keep = judge(cols)
+            now = keep & ~out
+            yield batch_of(_ROW, *(x[now] for x in (*cols[:5], seen)))
+            # The last key may go on: its first row, its last kind's, its least and greatest doc.
+            begin = int(np.searchsorted(cols[0], cols[0][-1]))
+            c, doc = cols[1][begin:], cols[2][begin:]
+            stay = np.zeros(len(out), bool)
+            stay[begin + np.array([0, np.searchsorted(c, c[-1]), doc.argmin(), doc.argmax()])] = True
+            if extend:
+                stay[begin:] |= ~keep[begin:]
+            out = (keep if extend else np.ones(len(out), bool))[stay]
+            cols = [x[stay] for x in cols]
 
     return run
 
