@@ -38,6 +38,20 @@ def test_quality_flags(frame):
         (False, False, True, False), (True, True, True, False), (True, True, True, False)]
 
 
+def test_testing_metrics_keep_countries_without_code(frame):
+    dim = frame([("Peru", "PER"), ("Nowhere", None)], "name string, code string")
+    names = crosswalk.build_crosswalk(dim, "name", "code", K.TESTING_CODE_OVERRIDES)
+    rows = [(name, "country", D(2021, 1, d), 10.0, 1.0, float(d), n, n * d, 1.0 * d)
+            for d in range(1, 32) for name, n in (("Peru", 10.0), ("Kosovo", 20.0), ("Atlantis", 5.0), ("Utopia", 7.0))]
+    rows += [("Asia", "region", D(2021, 1, 1), 1.0, 1.0, 1.0, 99.0, 99.0, 9.0)]
+    df = frame(rows, "name string, set string, time date, pop_100k double, cap_new_tests double, "
+                     "cap_cum_tests double, all_new_tests double, all_cum_tests double, all_cum_cases double")
+    got = {r.code: r for r in summary.testing_metrics(df, names, D(2021, 2, 1)).collect()}
+    assert set(got) == {"PER", "XKX", None}
+    assert [got[c].tests_in_last_7_days for c in ("PER", "XKX", None)] == [70.0, 140.0, 84.0]
+    assert [got[c].max_new_tests_cap_avg for c in ("PER", "XKX", None)] == [1.0, 2.0, 0.6]
+
+
 def test_exclusions_flag_without_dropping(frame):
     lines = frame([("a/1",), ("",), ("# note",), ("a/1",)], "value string")
     names = flags.exclusion_names(lines)

@@ -27,13 +27,14 @@ def trailing_sum(x: Column, keys: Sequence[str], day: str, width: int) -> Column
 
 
 def centred_mean(x: Column, keys: Sequence[str], day: str, width: int,
-                 digits: int | None = 2) -> Column:
+                 digits: int | None = 2, ties: Sequence[str] = ()) -> Column:
     """Mean of ``width`` rows around the row; null unless all are present.
 
-    An even width reaches one row further forward than back.
+    An even width reaches one row further forward than back.  Rows of one key and
+    day follow ``ties``.
     """
     back, ahead = (width - 1) // 2, width // 2
-    w = ordered(keys, day).rowsBetween(-back, ahead)
+    w = ordered(keys, day, *ties).rowsBetween(-back, ahead)
     mean = F.sum(x).over(w) / F.lit(float(width))
     full = F.when(F.count(x).over(w) == width, mean)
     return full if digits is None else F.round(full, digits)

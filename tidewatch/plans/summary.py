@@ -11,17 +11,21 @@ from tidewatch.functions import dates, numbers
 from tidewatch.operators import calendar, crosswalk, gates, windows
 
 
+#: Stands for a missing code while series are completed; no country has it.
+NO_CODE = ""
+
+
 def _sum_when(test: Column, x: str) -> Column:
     return F.coalesce(F.sum(F.when(test, F.col(x))), F.lit(0))
 
 
 def testing_series(testing: DataFrame, country_codes: DataFrame) -> DataFrame:
-    """Country rows of the testing table with codes, renamed."""
+    """Country rows of the testing table, renamed; the code is null where none is known."""
     rows = testing.filter(F.col("set") == "country").select(
         F.col("name").alias("country"), F.col("time").cast("date").alias("date"),
         "pop_100k", F.col("cap_new_tests").alias("new_tests_cap"), "cap_cum_tests",
         F.col("all_new_tests").alias("new_tests_all"), "all_cum_tests", "all_cum_cases")
-    return crosswalk.add_code(rows, "country", country_codes, drop_unmatched=True)
+    return crosswalk.add_code(rows, "country", country_codes)
 
 
 def testing_metrics(testing: DataFrame, country_codes: DataFrame, as_of: dt.date) -> DataFrame:
@@ -29,16 +33,18 @@ def testing_metrics(testing: DataFrame, country_codes: DataFrame, as_of: dt.date
 
     The calendar runs from the first day in the data to the day before
     ``as_of``.  Gaps count as zero tests but have no population, so they void
-    the centred mean.
+    the centred mean.  Countries without a code share one row, of code null; their
+    rows of one day follow each other by name.
     """
     last = as_of - dt.timedelta(days=1)
-    rows = testing_series(testing, country_codes)
+    rows = testing_series(testing, country_codes).withColumn("code", F.coalesce("code", F.lit(NO_CODE)))
     dense = calendar.zero_fill(
         calendar.densify(rows, ["code"], None, last),
         ["new_tests_cap", "new_tests_all"])
     rate = numbers.ratio(F.col("new_tests_all"), F.col("pop_100k"))
     averaged = dense.withColumn("rate", rate).withColumn(
-        "new_tests_cap_avg", windows.centred_mean(F.col("rate"), ["code"], "date", 30))
+        "new_tests_cap_avg", windows.centred_mean(
+            F.col("rate"), ["code"], "date", 30, ties=["country"]))
     day = F.col("date")
     out = averaged.groupBy("code").agg(
         F.max("new_tests_cap_avg").alias("max_new_tests_cap_avg"),
@@ -50,6 +56,7 @@ def testing_metrics(testing: DataFrame, country_codes: DataFrame, as_of: dt.date
         .alias("tests_in_last_30_days"),
     )
     return out.withColumns({
+        "code": F.nullif(F.col("code"), F.lit(NO_CODE)),
         "max_new_tests_cap_avg": numbers.non_negative(F.col("max_new_tests_cap_avg")),
         "cum_tpr": numbers.unit_interval(F.col("cum_tpr")),
     })

@@ -253,23 +253,29 @@ VIEWS = {
         SELECT *, sum(n) OVER (PARTITION BY code ORDER BY time) AS cum,
                population / 100000 AS pop_100k
         FROM testing_daily JOIN populations ON n_nationkey = c_nationkey""",
+    "regions_as_countries": """
+        SELECT NULL AS code, 'Greater ' || region AS country, time, n, 0 AS n_nationkey,
+               sum(n) OVER (PARTITION BY region ORDER BY time) AS cum, 50 AS pop_100k
+        FROM (SELECT region, time, sum(n) AS n FROM testing_daily GROUP BY 1, 2)""",
     "tests": """
-        SELECT code, time AS date, pop_100k, CAST(n AS DOUBLE) AS new_tests_all,
+        SELECT code, country, time AS date, pop_100k, CAST(n AS DOUBLE) AS new_tests_all,
                CAST(cum AS DOUBLE) / pop_100k AS cap_cum_tests, CAST(cum AS DOUBLE) AS cum_tests,
                floor(CAST(cum * CASE WHEN n_nationkey % 5 = 0 THEN 200 ELSE 30 END AS DOUBLE)
                      / 100) AS cum_cases
-        FROM testing_cum""",
+        FROM (SELECT code, country, time, n, n_nationkey, cum, pop_100k FROM testing_cum
+              UNION ALL
+              SELECT code, country, time, n, n_nationkey, cum, pop_100k FROM regions_as_countries)""",
     "tests_dense": f"""
-        SELECT k.code, d.date, coalesce(new_tests_all, 0) AS new_tests_all,
+        SELECT k.code, d.date, country, coalesce(new_tests_all, 0) AS new_tests_all,
                coalesce(new_tests_all, 0) / pop_100k AS rate, cap_cum_tests, cum_tests, cum_cases
         FROM (SELECT DISTINCT code FROM tests) k
         CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT min(date) FROM tests), {D_LAST},
                     INTERVAL 1 DAY)) AS DATE) AS date) d
-        LEFT JOIN tests USING (code, date)""",
+        LEFT JOIN tests ON tests.code IS NOT DISTINCT FROM k.code AND tests.date = d.date""",
     "tests_avg": """
         SELECT *, CASE WHEN count(rate) OVER w = 30 THEN round(sum(rate) OVER w / 30.0, 2) END
                     AS mean_30
-        FROM tests_dense WINDOW w AS (PARTITION BY code ORDER BY date
+        FROM tests_dense WINDOW w AS (PARTITION BY code ORDER BY date, country
                                       ROWS BETWEEN 14 PRECEDING AND 15 FOLLOWING)""",
     "test_metrics": f"""
         SELECT code, CASE WHEN m >= 0 THEN m END AS max_new_tests_cap_avg, cap_cum_tests,

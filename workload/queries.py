@@ -551,7 +551,9 @@ def codes(spark, sf):
 
 @V.view
 def tests_by_country(spark, sf):
-    return summary.testing_metrics(V.testing(spark, sf), codes(spark, sf), V.AS_OF)
+    names = crosswalk.build_crosswalk(
+        V.country_dimension(spark, sf), "country", "code", K.TESTING_CODE_OVERRIDES)
+    return summary.testing_metrics(V.testing(spark, sf), names, V.AS_OF)
 
 
 TEST_DOUBLES = ("max_new_tests_cap_avg", "cap_cum_tests", "cum_tpr")
