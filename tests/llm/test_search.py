@@ -196,10 +196,11 @@ def test_backoff(docs, size):
     rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30)))) for i in range(size)]
     rows += [(1000, None), (1001, " "), (1002, "the of " * 4000), (None, "no id"), (5, rows[5][1]), (5, rows[5][1])]
     want = plain_katz(rows)
-    got = katz.score_documents(docs(rows), batch_bytes=2000).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        held, known, n, base, score = want[r.doc_id, r.n_tokens]
-        assert (r.held_out, r.n_known, r.train_tokens) == (held, known, n)
-        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
+    for part in (500, katz.PART_BYTES):
+        got = katz.score_documents(docs(rows), batch_bytes=2000, part_bytes=part).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            held, known, n, base, score = want[r.doc_id, r.n_tokens]
+            assert (r.held_out, r.n_known, r.train_tokens) == (held, known, n)
+            assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
     assert katz.score_documents(docs([])).collect() == []

@@ -8,7 +8,9 @@ other words, so the probabilities after any v add up to 1.
 The counts are tables partitioned by the hash of a word or pair.  Documents are scored in
 batches: a batch sends each of its distinct words and pairs once, with its counts, to
 their partition and gets the totals back in the same order.  So a word or pair that is a
-third of all tokens is one entry per batch, not a row per occurrence.
+third of all tokens is one entry per batch, not a row per occurrence.  Batches and parts
+are both of bounded size; a batch sends no row to a part that it has no key for, so rows
+never outnumber the batches' distinct keys.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ from .common import constants, crc_mod, mix64, pieces, spread, stored, texts_of,
 
 #: Bytes of text in a batch, about, unless that gives fewer batches than partitions.
 BATCH_BYTES = 4 << 20
+#: Bytes of text whose words and pairs a part counts at most, about; there are as many parts
+#: as shuffle partitions unless that gives larger ones.
+PART_BYTES = 64 << 20
 #: Counts up to this are discounted.
 DISCOUNTED = 5
 WORDS, PAIRS = 0, 1
@@ -169,10 +174,10 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each part and the places of its keys.  ``keys`` ascend and a part is a range of them."""
     part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    edge = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-    for p in range(parts):
-        if edge[p] < edge[p + 1]:
-            yield p, np.arange(edge[p], edge[p + 1])
+    edge = np.flatnonzero(np.diff(part)) + 1
+    for begin, end in zip([0, *edge], [*edge, len(keys)], strict=True):
+        if begin < end:
+            yield int(part[begin]), np.arange(begin, end)
 
 
 def _lists(rows: list, schema: pa.Schema) -> pa.Table:
@@ -191,19 +196,41 @@ def _send(parts: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def _laid(column: pa.ChunkedArray, turn: list[int], ends: np.ndarray, kind: type) -> np.ndarray:
+    """The numbers of the column's rows in the order ``turn``, one after the other."""
+    out = np.empty(ends[-1], kind)
+    for i, end in zip(turn, ends.tolist(), strict=True):
+        x = unpacked(column[i].as_buffer(), np.uint64 if kind is np.uint64 else np.int64)
+        out[end - len(x):end] = x
+    return out
+
+
 def _total(table: pa.Table) -> pa.Table:
-    """Totals of a part's keys for each batch; a row of batch -1 has the counts of counts."""
+    """Totals of a part's keys for each batch; a row of batch -1 has the counts of counts.
+
+    Of the batches that have a key the first owns it.  Arrays are let go as soon as they
+    have served: a part's keys are what takes most memory of all.
+    """
     kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-    table = table.sort_by("batch")
-    batches, keys = table.column("batch").to_pylist(), _column(table, "keys", np.uint64)
-    ends = np.cumsum([len(k) for k in keys])
-    distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(_column(table, "n", np.int64)),
-                        minlength=len(distinct)).astype(np.int64)
-    owner = np.zeros(len(inverse), bool)
-    owner[first] = True
-    rows = [(kind, part, b, packed(total[inverse[e - len(k):e]]), np.packbits(owner[e - len(k):e]).tobytes(), None)
-            for b, k, e in zip(batches, keys, ends, strict=True)]
+    batches = table.column("batch").to_numpy()
+    turn = np.argsort(batches).tolist()
+    ends = np.cumsum([table.column("keys")[i].as_buffer().size // 8 for i in turn])
+    keys = _laid(table.column("keys"), turn, ends, np.uint64)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])
+    del keys
+    n = _laid(table.column("n"), turn, ends, np.int32)
+    total = np.add.reduceat(n[order], np.flatnonzero(new), dtype=np.int64)
+    del n
+    totals = np.empty(len(order), np.int64)
+    totals[order] = np.repeat(total, np.diff(np.append(np.flatnonzero(new), len(order))))
+    owner = np.empty(len(order), bool)
+    owner[order] = new
+    del order, new
+    rows = [(kind, part, int(batches[i]), packed(totals[begin:end]), np.packbits(owner[begin:end]).tobytes(), None)
+            for i, begin, end in zip(turn, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    del totals, owner
     of = np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
     rows.append((kind, part, -1, None, None, [*of[1:DISCOUNTED + 2].tolist(), int((total > 0).sum()), int(total.sum())]))
     return _lists(rows, _BACK)
@@ -298,7 +325,8 @@ def _scores(model: Model, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table
     return run
 
 
-def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes: int = BATCH_BYTES,
+                    part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``docs`` needs doc_id and text; other columns are ignored.  Tokens are the words in
@@ -309,9 +337,9 @@ def score_documents(docs: DataFrame, folds: int = 5, held: int = 1, batch_bytes:
     has probability 1.  Repeated rows are learned from and scored as often as they occur; an empty
     table gives an empty result.
     """
-    parts = spread(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(parts, -(-size // batch_bytes))
+    parts = max(spread(docs.sparkSession), -(-size // part_bytes))
+    batches = max(spread(docs.sparkSession), -(-size // batch_bytes))
     mark = crc_mod(F.col("doc_id"), folds) != held
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", mark.alias("train"),
                        F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int").alias("batch"))
