@@ -80,31 +80,33 @@ class Index:
         vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
         maybe = np.zeros(1 << 20, bool)
         maybe[(vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        starts = [(k, s) for k, h in enumerate(words) for s in range(0, len(h), STRIDE)]
+        # Walks of all entries at once; one that leaves its item before the last sample is no key.
+        every = np.concatenate([*words, np.zeros(STEPS, np.uint64)])
+        number = np.append(np.searchsorted(vocabulary, every[:len(every) - STEPS]) + 1, np.zeros(STEPS, np.int64))
+        size = np.array([len(h) for h in words], np.int64)
+        first = np.cumsum(size) - size
+        entered = (size + STRIDE - 1) // STRIDE
+        item = np.repeat(np.arange(len(words)), entered)
+        start = STRIDE * (np.arange(len(item)) - np.repeat(np.cumsum(entered) - entered, entered))
+        end = (first + size)[item]
         levels, keys, entries = [], [], []
         for r in range(repetitions):
-            tables = [np.zeros(len(vocabulary) + 1, bool) for _ in range(SAMPLES)]
-            found: list[tuple[int, int, int]] = []
-            coins = [_coins(h, r).tolist() for h in words]
-            numbers = [(np.searchsorted(vocabulary, h) + 1).tolist() for h in words]
-            steps = sampled_steps(r)
-            for k, s in starts:
-                at, key, path = s, 0, []
-                for t in range(steps[-1] + 1):
-                    if at >= len(words[k]):
-                        break
-                    if t in steps:
-                        path.append(numbers[k][at])
-                    at += coins[k][at] >> t & 1
-                if len(path) == SAMPLES:
-                    for table, n in zip(tables, path, strict=True):
-                        table[n] = True
-                    key = cls.key(np.array([path], np.uint64))[0]
-                    found.append((int(key), k, s))
-            found.sort()
+            coins, steps = _coins(every, r), sampled_steps(r)
+            at, path = first[item] + start, []
+            for t in range(steps[-1] + 1):
+                if t in steps:
+                    path.append(at)
+                at = at + ((coins[at] >> np.uint64(t)) & np.uint64(1)).astype(np.int64)
+            whole = path[-1] < end
+            sampled = [number[p[whole]] for p in path]
+            tables = [np.zeros(len(vocabulary) + 1, bool) for _ in path]
+            for table, n in zip(tables, sampled, strict=True):
+                table[n] = True
+            key = cls.key(np.stack(sampled, axis=1).astype(np.uint64))
+            order = np.lexsort((start[whole], item[whole], key))
             levels.append(tables)
-            keys.append(np.array([x[0] for x in found], np.uint64))
-            entries.append(np.array([x[1:] for x in found], np.int64).reshape(-1, 2))
+            keys.append(key[order])
+            entries.append(np.column_stack([item[whole], start[whole]])[order])
         return cls([i for i, _ in kept], words, vocabulary, maybe, levels, keys, entries)
 
     @staticmethod
