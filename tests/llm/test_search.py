@@ -1,7 +1,9 @@
 """Decontamination, top-k search and backoff scoring against plain versions."""
 
 import math
+import os
 import random
+import statistics
 import zlib
 from collections import Counter
 
@@ -204,3 +206,74 @@ def test_backoff(docs, size):
             assert (r.held_out, r.n_known, r.train_tokens) == (held, known, n)
             assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
     assert katz.score_documents(docs([])).collect() == []
+
+
+def good_turing(of):
+    """Katz's discounts up to 5 from a line through log n_r, written out step by step."""
+    seen = [r for r in range(1, 7) if of[r]]
+    x, y = [], []
+    for i, r in enumerate(seen):
+        below = seen[i - 1] if i else 0
+        above = seen[i + 1] if i + 1 < len(seen) else 2 * r - below
+        x.append(math.log(r))
+        y.append(math.log(of[r] / (0.5 * (above - below))))
+    line = statistics.linear_regression(x, y)
+    smooth = {r: math.exp(line.intercept + line.slope * math.log(r)) for r in range(1, 7)}
+    lost = 6 * smooth[6] / smooth[1]
+    star = {r: (r + 1) * smooth[r + 1] / smooth[r] for r in range(1, 6)}
+    return [0.0, *((star[r] / r - lost) / (1 - lost) for r in range(1, 6)), 1.0]
+
+
+def test_copies_leave_good_turing():
+    # Doubled documents: no odd count but of new words, and more things seen twice than once.
+    for of in ([900, 1000, 0, 300, 0, 90], [0, 500, 0, 120, 0, 50], [100, 10, 10, 60, 5, 5]):
+        d = katz.discounts(of)
+        assert d.tolist() == pytest.approx(good_turing(dict(enumerate(of, 1))))
+        assert 0 < d[1] and (np.diff(d[1:]) > 0).all()
+    # No line falls faster than 1 / r: nothing to discount by Good-Turing.
+    for of in ([0] * 6, [7, 0, 0, 0, 0, 0], [10, 10, 10, 10, 10, 10]):
+        d = katz.discounts(of)
+        assert (0 < d[1:6]).all() and (d[1:6] < 1).all()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_backoff_is_good_turing_on_given_tables(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words, pairs, train, held = Counter(), Counter(), 0, []
+    for i, text in table.collect():
+        w = (text or "").encode().lower().split() + [0]
+        two = list(zip([1, *w], w, strict=False))
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1:
+            held.append((i, two))
+        else:
+            words.update(w)
+            pairs.update(two)
+            train += len(w)
+    of = [Counter(c.values()) for c in (words, pairs)]
+    assert [[n[r] for r in range(1, 7)] for n in of] == [
+        [47735, 12166, 4990, 2407, 2203, 1012], [184712, 23127, 5984, 1951, 2262, 607]]
+    d1, d2 = map(good_turing, of)
+    one = {w: d1[min(c, 6)] * c / train for w, c in words.items()}
+    unknown = 1 - sum(one.values())
+    kept, left, lower = Counter(), Counter(), Counter()
+    for (v, w), c in pairs.items():
+        kept[v] += c
+        left[v] += (1 - d2[min(c, 6)]) * c
+        lower[v] += one[w]
+    plain = {}
+    for i, two in held:
+        p = []
+        for v, w in two:
+            if (v, w) in pairs:
+                c = pairs[v, w]
+                # All of a head's pairs above 5: one more count leaves a share.
+                p.append(d2[min(c, 6)] * c / (kept[v] + (left[v] < 1e-9 * kept[v])))
+            elif kept[v]:
+                share = left[v] / kept[v] if left[v] >= 1e-9 * kept[v] else 1 / (kept[v] + 1)
+                p.append(share / (1 - lower[v]) * one.get(w, unknown))
+            else:
+                p.append(one.get(w, unknown))
+        plain[i, len(two)] = sum(map(math.log10, p))
+    got = katz.score_documents(table).filter("held_out").collect()
+    assert len(got) == len(held)
+    assert all(r.score == pytest.approx(plain[r.doc_id, r.n_tokens]) for r in got)

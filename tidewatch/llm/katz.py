@@ -65,20 +65,38 @@ def _column(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
     return [unpacked(x, kind) for x in table.column(name).to_pylist()]
 
 
+def slope(of: list[int]) -> float:
+    """Slope of the line through the logarithms of the counts of counts; not finite without two of them.
+
+    As in Simple Good-Turing, a count of counts is spread over the gap between its neighbours
+    that are not zero, so that zeros in between weigh on the line.
+    """
+    r = np.array([i for i, n in enumerate(of, 1) if n], float)
+    if len(r) < 2:
+        return np.inf
+    below = np.append(0.0, r[:-1])
+    above = np.append(r[1:], 2 * r[-1] - r[-2])
+    x, y = np.log(r), np.log(2 * np.array([n for n in of if n]) / (above - below))
+    x -= x.mean()
+    return float((x * y).sum() / (x * x).sum())
+
+
 def discounts(of: list[int]) -> np.ndarray:
     """Factors d(r) by count r, the last for all larger ones.
 
-    ``of[r - 1]`` is the number of things seen r times, up to ``DISCOUNTED`` + 1.  Good-Turing's
-    where all its estimates are in (0, 1), else absolute discounting of the same counts.
+    ``of[r - 1]`` is the number of things seen r times, up to ``DISCOUNTED`` + 1.  Katz's
+    Good-Turing discounts of smoothed counts of counts: copies of documents bump the raw
+    ones.  On a line of slope b, r* / r is ((r + 1) / r) ** (1 + b), so below -1 all factors
+    are in (0, 1) and rise with r.  Any other line has no Good-Turing discount: then absolute
+    discounting of the same counts.
     """
-    k, of = DISCOUNTED, [0, *of]
-    if all(of[r] for r in range(1, k + 2)):
-        tail = (k + 1) * of[k + 1] / of[1]
-        d = [((r + 1) * of[r + 1] / (r * of[r]) - tail) / (1 - tail) if tail < 1 else 2.0 for r in range(1, k + 1)]
-        if all(0 < x < 1 for x in d):
-            return np.array([0.0, *d, 1.0])
-    off = of[1] / (of[1] + 2 * of[2]) if of[1] and of[2] else 0.5
-    return np.array([0.0, *((r - off) / r for r in range(1, k + 1)), 1.0])
+    k, b = DISCOUNTED, slope(of)
+    r = np.arange(1, k + 1)
+    if b < -1:
+        tail = (k + 1.0) ** (1 + b)
+        return np.array([0.0, *(((r + 1) / r) ** (1 + b) - tail) / (1 - tail), 1.0])
+    off = of[0] / (of[0] + 2 * of[1]) if of[0] and of[1] else 0.5
+    return np.array([0.0, *((r - off) / r), 1.0])
 
 
 def factor(table: np.ndarray, c: np.ndarray) -> np.ndarray:
