@@ -103,6 +103,21 @@ def test_leaks(docs, spark):
     assert deco.find_leaks(docs(rows), table.limit(0)).collect() == []
 
 
+def test_short_items_word_for_word(docs, spark):
+    items = [(1, "What is the capital of Peru?"), (2, "name two  primes"), (3, "name two primes"), (4, "yes"),
+             (5, "one two three four five six seven"), (6, "a b a"), (None, "a b a")]
+    rows = [(10, "x WHAT is the\ncapital of Peru? y"), (11, "what is the capital of Chile?"), (12, "we name two"),
+            (13, "primes then Name two primes, or name two primes"), (14, "yes " * 5000), (15, "a b a b a"),
+            (16, "one two three four five six eight"), (17, "one two three four five six seven"), (18, None), (19, ""),
+            (20, "name two"), (21, "primes yesterday"), (10, "x WHAT is the\ncapital of Peru? y")]
+    want = Counter({(10, 1, 0, 1, 7): 2, (13, 2, 0, 6, 9): 1, (13, 3, 0, 6, 9): 1, (14, 4, 0, 0, 1): 1,
+                    (15, 6, 0, 0, 3): 1, (15, None, 0, 0, 3): 1, (17, 5, 0, 0, 7): 1})
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for size in (10, deco.BLOCK_BYTES):
+        assert Counter(map(tuple, deco.find_leaks(docs(rows).coalesce(1), table, block_bytes=size).collect())) == want
+    assert {r.doc_id for r in deco.drop_leaks(docs(rows), table).collect()} == {11, 12, 16, 18, 19, 20, 21}
+
+
 def test_recall_at_the_most_edits():
     rng = random.Random(7)
     hit = n = 0

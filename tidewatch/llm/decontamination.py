@@ -11,6 +11,9 @@ stands for the item-sized window that begins as many words earlier.
 A key is compared sample by sample: a window leaves as soon as a sampled word is none that
 any item has there.  What is left is looked up whole, and candidates are verified by the
 exact edit distance over words.
+
+Items too short for a walk are entered whole, under one key of all their words, and match
+only word for word.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, constants, kept_rows, mix64, pieces, word_hashes
+from .common import batch_of, constants, kept_rows, mix64, pieces, rolled, word_hashes
 
 #: Steps of a walk; one sample is taken from each quarter.
 STEPS, SAMPLES = 16, 4
@@ -33,7 +36,7 @@ STEPS, SAMPLES = 16, 4
 REPETITIONS = 8
 #: Words between the starts at which an item is entered.
 STRIDE = 2
-#: Items with fewer words are no evidence of a leak and are not searched.
+#: Items with fewer words have one key of all their words and are found without edits only.
 LEAST_WORDS = 8
 #: One edit is allowed for so many words of an item.
 WORDS_PER_EDIT = 6
@@ -61,9 +64,29 @@ def _coins(h: np.ndarray, repetition: int) -> np.ndarray:
     return mix64(h ^ constants(200 + repetition, 1)[0])
 
 
+@dataclass
+class Short:
+    """Items of one size below ``LEAST_WORDS``, in the order of their keys."""
+
+    ids: list[int]
+    words: np.ndarray
+    keys: np.ndarray
+
+    @classmethod
+    def build(cls, items: list[tuple[int, np.ndarray]]) -> Short:
+        words = np.stack([h for _, h in items])
+        keys = cls.key(words.ravel(), words.shape[1])[::words.shape[1]]
+        order = np.argsort(keys, kind="stable")
+        return cls([items[k][0] for k in order.tolist()], words[order], keys[order])
+
+    @staticmethod
+    def key(h: np.ndarray, size: int) -> np.ndarray:
+        return rolled(h, size, 8)
+
+
 @dataclass
 class Index:
-    """LSH tables of a block of items."""
+    """LSH tables of a block of items, and the items that are too short for them."""
 
     ids: list[int]
     words: list[np.ndarray]
@@ -72,10 +95,13 @@ class Index:
     levels: list[list[np.ndarray]]
     keys: list[np.ndarray]
     entries: list[np.ndarray]
+    short: list[Short]
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], repetitions: int) -> Index:
-        kept = [(i, h) for i, t in items if t for h in [word_hashes([normalised(t)])[0]] if len(h) >= LEAST_WORDS]
+        every = [(i, h) for i, t in items if t for h in [word_hashes([normalised(t)])[0]]]
+        kept = [(i, h) for i, h in every if len(h) >= LEAST_WORDS]
+        short = [Short.build(same) for n in range(1, LEAST_WORDS) if (same := [x for x in every if len(x[1]) == n])]
         words = [h for _, h in kept]
         vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
         maybe = np.zeros(1 << 20, bool)
@@ -107,7 +133,7 @@ class Index:
             levels.append(tables)
             keys.append(key[order])
             entries.append(np.column_stack([item[whole], start[whole]])[order])
-        return cls([i for i, _ in kept], words, vocabulary, maybe, levels, keys, entries)
+        return cls([i for i, _ in kept], words, vocabulary, maybe, levels, keys, entries, short)
 
     @staticmethod
     def key(path: np.ndarray) -> np.ndarray:
@@ -185,8 +211,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, repetitions: int = REPETITIONS
     ``docs`` needs doc_id and text, ``items`` item_id and text; other columns are ignored.
     Words are compared lower-cased.  begin and end count the document's words; edits is the
     least edit distance over words of the item to any place near a window that shares an
-    LSH key, at most one for ``WORDS_PER_EDIT`` words of the item.  Null or empty texts and
-    items below ``LEAST_WORDS`` words match nothing.  Repeated rows count one by one.
+    LSH key, at most one for ``WORDS_PER_EDIT`` words of the item.  An item below
+    ``LEAST_WORDS`` words matches without edits only, at its first place.  Null or empty
+    texts match nothing.  Repeated rows count one by one.
     Items are read in blocks of bounded size; each block is a pass over the documents.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()),
@@ -236,8 +263,30 @@ def _leaks(index: Index, batch: pa.RecordBatch) -> Iterator[tuple]:
     """(row, (item_id, edits, begin, end)) of the best match of each row and item."""
     texts = [normalised(t or "") for t in batch.column("text").to_pylist()]
     for a, b in pieces(texts):
-        for d, found in _verified(index, *word_hashes(texts[a:b])):
-            yield a + d, found
+        h, starts = word_hashes(texts[a:b])
+        for search in (_verified, _word_for_word):
+            for d, found in search(index, h, starts):
+                yield a + d, found
+
+
+def _word_for_word(index: Index, h: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+    """(text, (item_id, 0, begin, end)) of the first copy of each short item in each text."""
+    for short in index.short:
+        size = short.words.shape[1]
+        key = Short.key(h, size)
+        at = np.minimum(np.searchsorted(short.keys, key), len(short.keys) - 1)
+        place = np.flatnonzero(short.keys[at] == key)
+        own = np.searchsorted(starts, place, "right") - 1
+        inside = place + size <= starts[own + 1]
+        place, own = place[inside], own[inside]
+        if not len(place):
+            continue
+        _, first = np.unique(np.column_stack([own, at[place]]), axis=0, return_index=True)
+        for d, p in zip(own[first].tolist(), place[first].tolist(), strict=True):
+            begin = p - int(starts[d])
+            for k in range(int(at[p]), int(np.searchsorted(short.keys, key[p], "right"))):
+                if (short.words[k] == h[p:p + size]).all():
+                    yield d, (short.ids[k], 0, begin, begin + size)
 
 
 def _verified(index: Index, h: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
