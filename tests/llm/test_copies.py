@@ -88,6 +88,25 @@ def test_links_connect_what_is_near(spark, monkeypatch, crowd, segments):
     assert union(links, values) == union(pairs, values)
 
 
+@pytest.mark.parametrize("bits", [1, 3, 4])
+def test_crowds_under_any_number_of_bits(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "segments_for", lambda n, bits: 2)
+    rng = random.Random(bits)
+    values = set()
+    for _ in range(20):
+        x = rng.getrandbits(64)
+        for _ in range(15):
+            values.add(x)
+            for _ in range(rng.randint(1, bits + 2)):
+                x ^= 1 << rng.randrange(64)
+    signed = np.array(sorted(values), np.uint64).view(np.int64).tolist()
+    got = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), bits, 4).collect()
+    links = {tuple(int(np.array([v]).view(np.uint64)[0]) for v in r) for r in got}
+    assert links and all((a ^ b).bit_count() <= bits for a, b in links)
+    pairs = [(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= bits]
+    assert union(links, values) == union(pairs, values)
+
+
 def plain_removal(rows, window=13):
     words = [(d, (t or "").encode().split()) for d, t in rows]
     first = {}

@@ -9,8 +9,9 @@ exact copies cost one row.
 A table entry that many fingerprints share would mean a quadratic number of comparisons.
 Entries above ``CROWD`` are joined through midpoints instead: two fingerprints differ in
 at most ``bits`` bits exactly if some value lies within half of them of both, and a value
-has a bounded number of fingerprints around it.  A comparison costs about a nanosecond and
-a midpoint a microsecond, hence the limit.
+has a bounded number of fingerprints around it.  If ``bits`` is odd, the value lies within
+the lesser half of one and the greater half of the other.  A comparison costs about a
+nanosecond and a midpoint a microsecond, hence the limit.
 """
 
 from __future__ import annotations
@@ -195,20 +196,28 @@ def _compare(bits: int):
 
 
 def _midpoint_links(fps: DataFrame, bits: int) -> DataFrame:
-    """Links among ``fps`` through the values around each fingerprint."""
-    if bits % 2:
-        raise ValueError("midpoints need an even number of bits")
-    ball = _ball(64, bits // 2)
+    """Links among ``fps`` through the values around each fingerprint.
+
+    All around a value are linked to the least of those within half of ``bits`` of it.
+    """
+    half = bits // 2
+    ball = _ball(64, bits - half)
+    near = popcount(ball) <= half
+    schema = pa.schema([*_LINK, ("near", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column("fp").to_numpy().view(np.uint64)
             for i in range(0, len(fp), 64):
-                around = (fp[i:i + 64, None] ^ ball).ravel()
-                yield batch_of(_LINK, around.view(np.int64), np.repeat(fp[i:i + 64], len(ball)).view(np.int64))
-
-    around = fps.mapInArrow(run, "a long, b long")
-    least = around.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("x")).filter("m < x")
+                some = fp[i:i + 64]
+                around = (some[:, None] ^ ball).ravel()
+                yield batch_of(schema, around.view(np.int64), np.repeat(some, len(ball)).view(np.int64),
+                               np.tile(near, len(some)))
+
+    around = fps.mapInArrow(run, "a long, b long, near boolean")
+    # For an even number of bits all are near.
+    least = around.groupBy("a").agg(F.min(F.when(F.col("near"), F.col("b"))).alias("m"), F.min("b").alias("n"),
+                                    F.max("b").alias("x")).filter("m is not null and n < x")
     return (around.join(least.select("a", "m"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .filter("a <> b").distinct())
 
