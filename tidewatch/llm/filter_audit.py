@@ -10,16 +10,20 @@ Filters, by the condition on which a text fails: A under ``LEAST_WORDS`` words;
 ``DISTINCT_SHARE`` % of its words distinct; C more than ``UPPER_SHARE`` % capital letters A-Z;
 D holds one of ``MARKS``; E a row of smaller doc_id has the same text.
 
-A shard's tasks hold ``SHARD_BYTES`` of text or one text; only distinct words of a shard are
-shuffled to the dictionary, and copies meet as counts, after they are summed where they are.
+A task holds ``SHARD_BYTES`` of text or one text.  Each shard sends its distinct words once, by
+hash buckets, to the tasks that number them, so that frequent words weigh no more than others;
+a task keeps the words of one bucket, of which there are as many as shuffle partitions.  Copies
+meet as counts, after they are summed where they are.
 """
 
 from __future__ import annotations
 
 import itertools
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,21 +46,32 @@ _NOT_UPPER = bytes(sorted(set(range(256)) - set(range(65, 91))))
 _FOLLOWING = bytes(range(0x80, 0xC0))
 _NOT_MARKS = bytes(sorted(set(range(256)) - set(MARKS)))
 
-_SHARD = ("shard long, doc_ids array<long>, parts array<string>, digests array<binary>, "
-          "flags array<int>, indptr array<int>, indices array<int>, counts array<int>, "
-          "words array<string>")
-_SHARD_ARROW = pa.schema([
-    ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
-    ("digests", pa.list_(pa.binary())), ("flags", pa.list_(pa.int32())),
-    ("indptr", pa.list_(pa.int32())), ("indices", pa.list_(pa.int32())),
-    ("counts", pa.list_(pa.int32())), ("words", pa.list_(pa.string()))])
-_MATRIX = ("doc_ids", "parts", "digests", "flags", "indptr", "indices", "counts")
+_ROWS = "doc_ids array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr array<int>"
+_ROWS_ARROW = [
+    ("doc_ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
+    ("digests", pa.list_(pa.binary())), ("flags", pa.list_(pa.int32())), ("indptr", pa.list_(pa.int32()))]
+_LOCAL = f"shard long, bucket int, words binary, {_ROWS}, indices binary, counts binary"
+_LOCAL_ARROW = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), *_ROWS_ARROW,
+                          ("indices", pa.binary()), ("counts", pa.binary())])
+_CODED = "shard long, bucket int, words binary, ids binary"
+_CODED_ARROW = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("ids", pa.binary())])
+_SHARD = f"shard long, {_ROWS}, indices array<long>, counts array<int>"
+_SHARD_ARROW = pa.schema([("shard", pa.int64()), *_ROWS_ARROW, ("indices", pa.list_(pa.int64())),
+                          ("counts", pa.list_(pa.int32()))])
 _FLAGGED = "doc_id long, part string, digest binary, n_words long, n_distinct long, fails int"
 _FLAGGED_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()),
     ("n_words", pa.int64()), ("n_distinct", pa.int64()), ("fails", pa.int32())])
 
 
+class _Codes(dict):
+    """Numbers words from 0 as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 def word_counts(text: bytes, piece: int = PIECE_BYTES) -> Counter:
     """How often each word stands in the text, which is cut in pieces in front of white space."""
     if len(text) <= piece:
@@ -79,69 +94,120 @@ def text_flags(text: bytes) -> int:
     return 4 * (100 * upper > UPPER_SHARE * points) + 8 * bool(text.translate(None, _NOT_MARKS))
 
 
-def _local_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shards whose indices are places in their own list of words."""
-    base, numbers = TaskContext.get().partitionId() << 32, itertools.count()
-    rows: list[tuple] = []
-    codes: dict[bytes, int] = {}
-    indices: list[int] = []
-    counts: list[int] = []
-    indptr, size = [0], 0
-
-    def shard() -> pa.RecordBatch:
-        ids, parts, digests, flags = map(list, zip(*rows, strict=True))
-        return batch_of(_SHARD_ARROW, [base + next(numbers)], [ids], [parts], [digests], [flags],
-                        [indptr], [indices], [counts], [[w.decode() for w in codes]])
+def _local_shards(buckets: int):
+    """Shards whose indices are places in their own words, which are listed by bucket.
 
-    for batch in batches:
-        for doc_id, part, text in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(),
-                                      texts_of(batch), strict=True):
-            if rows and size + len(text) > SHARD_BYTES:
-                yield shard()
-                rows, codes, indices, counts, indptr, size = [], {}, [], [], [0], 0
-            found = word_counts(text)
-            indices.extend([codes.setdefault(w, len(codes)) for w in found])
-            counts.extend(found.values())
-            indptr.append(len(indices))
-            rows.append((doc_id, part, sha256(text).digest(), text_flags(text)))
-            size += len(text) + 64
-    if rows:
-        yield shard()
-
-
-def global_dictionary(words: DataFrame) -> DataFrame:
-    """(word, id): ids from 0 without gaps, in order of hash buckets and words."""
-    n = spread(words.sparkSession)
-    dealt = words.select("word").distinct().withColumn(
-        "bucket", F.pmod(F.xxhash64("word"), F.lit(8 * n)))
-    dealt = stored(dealt.withColumn("nth", F.row_number().over(
-        Window.partitionBy("bucket").orderBy("word")) - 1))
-    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n"))  # 8 a shuffle partition
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return dealt.join(offsets, "bucket").select("word", (F.col("nth") + F.col("offset")).alias("id"))
+    A shard gives one row for its matrix (bucket -1) and one for the words of each bucket,
+    separated by the white space that no word has.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, numbers = TaskContext.get().partitionId() << 32, itertools.count()
+        rows, codes, indptr, size = [], _Codes(), [0], 0
+        indices, counts = array("i"), array("i")
+
+        def shard() -> pa.RecordBatch:
+            number, words = base + next(numbers), list(codes)
+            bucket = np.fromiter(map(crc32, words), np.uint32, len(words)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(words), np.int32)
+            place[order] = np.arange(len(words), dtype=np.int32)
+            used, first = np.unique(bucket[order], return_index=True)
+            lists = [b"\n".join([words[i] for i in part]) for part in np.split(order, first[1:])] if words else []
+            n = len(lists)
+            own = [[x, *[None] * n] for x in (*map(list, zip(*rows, strict=True)), indptr)]
+            return batch_of(
+                _LOCAL_ARROW, [number] * (n + 1), [-1, *used.tolist()], [None, *lists], *own,
+                [place[np.frombuffer(indices, np.int32)].tobytes(), *[None] * n],
+                [counts.tobytes(), *[None] * n])
+
+        for batch in batches:
+            for doc_id, part, text in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(),
+                                          texts_of(batch), strict=True):
+                if rows and size + len(text) > SHARD_BYTES:
+                    yield shard()
+                    rows, codes, indptr, size = [], _Codes(), [0], 0
+                    indices, counts = array("i"), array("i")
+                found = word_counts(text)
+                indices.extend(map(codes.__getitem__, found))
+                counts.extend(found.values())
+                indptr.append(len(indices))
+                rows.append((doc_id, part, sha256(text).digest(), text_flags(text)))
+                size += len(text) + 64
+        if rows:
+            yield shard()
+
+    return run
+
+
+def _coded(buckets: int):
+    """Global ids for the words of each shard and bucket, and the bucket's dictionary.
+
+    A word's id is its place among the words of its bucket, in order of shards, times the number
+    of buckets, plus the bucket.  A row without a shard lists a bucket's words and ids.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(
+            *(batch.column(c).to_pylist() for c in ("bucket", "shard", "words")), strict=True))
+        for bucket, run in itertools.groupby(rows, lambda r: r[0]):
+            codes = _Codes()
+            for _, shard, words in run:
+                found = words.split(b"\n")
+                ids = np.fromiter(map(codes.__getitem__, found), np.int64, len(found)) * buckets + bucket
+                yield batch_of(_CODED_ARROW, [shard], [bucket], [None], [ids.tobytes()])
+            ids = np.arange(len(codes), dtype=np.int64) * buckets + bucket
+            yield batch_of(_CODED_ARROW, [None], [bucket], [b"\n".join(codes)], [ids.tobytes()])
+
+    return run
+
+
+def _global_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The matrix row of each shard with global ids, from it and its lists of ids in order."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for shard, (matrix, *lists) in itertools.groupby(rows, lambda r: r["shard"]):
+        ids = np.frombuffer(b"".join(x["ids"] for x in lists), np.int64)
+        indices = ids[np.frombuffer(matrix["indices"], np.int32)]
+        yield batch_of(
+            _SHARD_ARROW, [shard], *([matrix[name]] for name, _ in _ROWS_ARROW),
+            _one_list(indices), _one_list(np.frombuffer(matrix["counts"], np.int32)))
+
+
+def _one_list(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
+
+def _coded_shards(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The shards' matrices and lists of ids, those of a shard together, and the dictionary."""
+    n = spread(docs.sparkSession)
+    local = stored(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce("lang", F.lit("")).alias("part"), "text").mapInArrow(_local_shards(n), _LOCAL))
+    words = (local.filter("bucket >= 0").select("shard", "bucket", "words")
+             .repartition(n, F.xxhash64("bucket")).sortWithinPartitions("bucket", "shard"))
+    coded = stored(words.mapInArrow(_coded(n), _CODED))
+    parts = (local.filter("bucket = -1").drop("words").unionByName(
+        coded.filter("shard is not null").select("shard", "bucket", "ids"), allowMissingColumns=True))
+    return (parts.repartition(n, F.xxhash64("shard")).sortWithinPartitions("shard", "bucket"),
+            coded.filter("shard is null").select("bucket", "words", "ids"))
 
 
 def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The CSR shards (indices are global ids, array<long>) and the dictionary (word, id).
+    """The CSR shards (one row each, indices are global ids) and the dictionary (word, id).
 
-    ``docs`` needs doc_id, lang and text; other columns are ignored.  Besides the matrix a shard
-    has doc_ids, parts, digests (of texts) and flags (filters C and D) of its rows.  A null text
-    is an empty row.  An empty table has no shards.
+    ``docs`` needs doc_id, lang and text; other columns are ignored.  Besides indptr, indices
+    and counts a shard has doc_ids, parts, digests (of texts) and flags (filters C and D) of its
+    rows.  A null text is an empty row.  An empty table has no shards.
     """
-    local = stored(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("lang", F.lit("")).alias("part"), "text").mapInArrow(_local_shards, _SHARD))
-    used = local.select("shard", F.posexplode("words").alias("place", "word"))
-    dictionary = stored(global_dictionary(used))
-    ids = (used.join(dictionary, "word").groupBy("shard")
-           .agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("ids"))
-           .select(F.col("shard").alias("own"), F.col("ids.id").alias("ids")))  # words of one shard
-    encoded = F.when(F.size("indices") == 0, F.array().cast("array<long>")).otherwise(
-        F.transform("indices", lambda i: F.get("ids", i)))
-    shards = local.join(ids, F.col("shard") == F.col("own"), "left").select(
-        "shard", "doc_ids", "parts", "digests", "flags", "indptr", encoded.alias("indices"), "counts")
-    return shards, dictionary
+    parts, dictionary = _coded_shards(docs)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, ids in zip(batch.column("words").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w.decode() for w in words.split(b"\n")], pa.string()),
+                     pa.array(np.frombuffer(ids, np.int64))], ["word", "id"])
+
+    return (parts.mapInArrow(_global_shards, _SHARD),
+            dictionary.mapInArrow(listed, "word string, id long"))
 
 
 def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +218,7 @@ def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             ids, parts, digests, flags, indptr, indices, counts = (
-                batch.column(c)[i].values for c in _MATRIX)
+                batch.column(c)[i].values for c in (*(name for name, _ in _ROWS_ARROW), "indices", "counts"))
             at = indptr.to_numpy().astype(np.int64)
             sums = np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])
             words = sums[at[1:]] - sums[at[:-1]]
@@ -166,8 +232,8 @@ def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def filter_flags(docs: DataFrame) -> DataFrame:
     """doc_id, part, digest, n_words, n_distinct and fails (bits of A, B, C, D) of each row."""
-    shards, _ = document_term_matrix(docs)
-    return shards.select(*_MATRIX).mapInArrow(_flagged, _FLAGGED)
+    parts, _ = _coded_shards(docs)
+    return parts.mapInArrow(lambda batches: _flagged(_global_shards(batches)), _FLAGGED)
 
 
 def flag_histogram(docs: DataFrame, labels: DataFrame) -> DataFrame:
