@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, filter_audit, katz, language, manifest, maxscore, mixing, sharding,
-               simhash, substrings, tokens, toxicity)
+from . import (decontamination, filter_audit, katz, language, licenses, manifest, maxscore, mixing,
+               sharding, simhash, substrings, tokens, toxicity)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,11 +67,15 @@ def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op13_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate_cgk, op2_language_bitmask, op3_shard_lpt, op4_simhash_near_copies,
         op5_maxscore_topk, op6_katz_backoff, op7_toxicity_lexicon, op8_token_counts,
         op9_mix_pareto, op10_substring_dedup, op11_merkle_manifest,
-        op12_filter_audit)
+        op12_filter_audit, op13_license_scan)
 }
 SQL: dict[str, str] = {"op11_merkle_manifest": manifest.SQL, "op12_filter_audit": filter_audit.SQL}
