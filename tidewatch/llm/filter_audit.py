@@ -37,7 +37,7 @@ FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_SHARE, UPPER_SHARE = 100, 80, 10
 MARKS = b"#$%&*|"
 #: Texts of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 #: Long texts are cut into words in pieces of this size.
 PIECE_BYTES = 1 << 20
 
@@ -94,6 +94,15 @@ def text_flags(text: bytes) -> int:
     return 4 * (100 * upper > UPPER_SHARE * points) + 8 * bool(text.translate(None, _NOT_MARKS))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The values as bytes, in the narrowest unsigned type that holds them all."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, np.dtype(f"u{len(data) // n if n else 1}"))
+
+
 def _local_shards(buckets: int):
     """Shards whose indices are places in their own words, which are listed by bucket.
 
@@ -117,8 +126,8 @@ def _local_shards(buckets: int):
             own = [[x, *[None] * n] for x in (*map(list, zip(*rows, strict=True)), indptr)]
             return batch_of(
                 _LOCAL_ARROW, [number] * (n + 1), [-1, *used.tolist()], [None, *lists], *own,
-                [place[np.frombuffer(indices, np.int32)].tobytes(), *[None] * n],
-                [counts.tobytes(), *[None] * n])
+                [_packed(place[np.frombuffer(indices, np.int32)]), *[None] * n],
+                [_packed(np.frombuffer(counts, np.int32)), *[None] * n])
 
         for batch in batches:
             for doc_id, part, text in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(),
@@ -165,10 +174,11 @@ def _global_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     rows = (row for batch in batches for row in batch.to_pylist())
     for shard, (matrix, *lists) in itertools.groupby(rows, lambda r: r["shard"]):
         ids = np.frombuffer(b"".join(x["ids"] for x in lists), np.int64)
-        indices = ids[np.frombuffer(matrix["indices"], np.int32)]
+        entries = matrix["indptr"][-1]
         yield batch_of(
             _SHARD_ARROW, [shard], *([matrix[name]] for name, _ in _ROWS_ARROW),
-            _one_list(indices), _one_list(np.frombuffer(matrix["counts"], np.int32)))
+            _one_list(ids[_unpacked(matrix["indices"], entries)]),
+            _one_list(_unpacked(matrix["counts"], entries).astype(np.int32)))
 
 
 def _one_list(values: np.ndarray) -> pa.Array:
@@ -223,8 +233,8 @@ def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])
             words = sums[at[1:]] - sums[at[:-1]]
             row = np.repeat(np.arange(len(words)), np.diff(at))
-            entries = np.unique(row << 44 | indices.to_numpy())
-            distinct = np.bincount(entries >> 44, minlength=len(words))
+            entries = np.sort(row << 44 | indices.to_numpy())
+            distinct = np.bincount(entries[np.diff(entries, prepend=-1) != 0] >> 44, minlength=len(words))
             fails = (flags.to_numpy() + (words < LEAST_WORDS)
                      + 2 * (100 * distinct < DISTINCT_SHARE * words))
             yield batch_of(_FLAGGED_ARROW, ids, parts, digests, words, distinct, fails.astype(np.int32))
