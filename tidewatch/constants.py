@@ -97,6 +97,77 @@ LINE_LIST_CODE_OVERRIDES = {
 }
 TESTING_CODE_OVERRIDES = {"Kosovo": "XKX", "Namibia": "NAM"}
 
+# --- fixed values: country names -----------------------------------------------------
+NAME_ABBREVIATIONS = {
+    "st": "saint", "ste": "saint", "dem": "democratic", "rep": "republic", "fed": "federated",
+    "sts": "states", "pdr": "democratic",
+}
+NAME_CONNECTORS = ("and", "the", "of", "island", "islands", "isl", "is")
+# Ways to name a country: words that a name holds, in any order; words with - bar it.
+COUNTRY_NAME_RULES = {
+    "ARE": ("united arab emirates", "emirates", "uae"),
+    "ATG": ("antigua", "barbuda"),
+    "BES": ("bonaire", "caribbean netherlands"),
+    "BIH": ("bosnia", "herzegovina"),
+    "BLR": ("belarus", "byelorussia", "belorussia"),
+    "BRN": ("brunei",),
+    "CAF": ("central african",),
+    "CHN": ("china -taiwan -taipei -hong -hongkong -macao -macau",),
+    "CIV": ("ivoire", "divoire", "ivory coast"),
+    "COD": ("congo democratic", "congo kinshasa", "congo dr", "congo drc", "drc", "zaire"),
+    "COG": ("congo", "congo brazzaville"),
+    "CPV": ("cape verde", "cabo verde"),
+    "CZE": ("czechia", "czech -slovak -slovakia"),
+    "DOM": ("dominican",),
+    "FLK": ("falkland", "falklands", "malvinas"),
+    "FRA": ("france -reunion -martinique -guadeloupe -guiana -mayotte -polynesia -caledonia",),
+    "FRO": ("faroe", "faeroe", "faroes"),
+    "FSM": ("micronesia",),
+    "GBR": ("united kingdom", "uk", "britain"),
+    "HKG": ("hong kong", "hongkong"),
+    "IRL": ("ireland -northern -north",),
+    "JEY": ("jersey -new",),
+    "KGZ": ("kyrgyzstan", "kyrgyz", "kirghizia"),
+    "KHM": ("cambodia", "kampuchea"),
+    "KNA": ("saint kitts", "saint christopher nevis"),
+    "KOR": ("korea -north -democratic -peoples -dprk", "korea south", "korea republic -democratic -peoples"),
+    "LAO": ("lao", "laos"),
+    "LBY": ("libya", "libyan"),
+    "LKA": ("sri lanka", "ceylon"),
+    "MAC": ("macao", "macau"),
+    "MDA": ("moldova", "moldavia"),
+    "MEX": ("mexico -new",),
+    "MKD": ("macedonia",),
+    "MMR": ("myanmar", "burma"),
+    "MNP": ("northern mariana", "marianas"),
+    "NLD": ("netherlands -antilles", "holland"),
+    "PRK": ("korea north", "korea democratic", "korea peoples", "dprk"),
+    "PSE": ("palestine", "palestinian", "west bank", "gaza"),
+    "ROU": ("romania", "rumania", "roumania"),
+    "RUS": ("russia", "russian"),
+    "SGS": ("south georgia",),
+    "SJM": ("svalbard", "jan mayen"),
+    "STP": ("sao tome",),
+    "SVK": ("slovakia", "slovak -czech"),
+    "SWZ": ("eswatini", "swaziland"),
+    "SXM": ("sint maarten", "saint maarten"),
+    "SYR": ("syria", "syrian"),
+    "TLS": ("timor",),
+    "TTO": ("trinidad", "tobago"),
+    "TUR": ("turkey", "turkiye"),
+    "TWN": ("taiwan", "taipei"),
+    "UMI": ("united states outlying", "us outlying"),
+    "USA": ("united states", "usa", "us"),
+    "VAT": ("vatican", "holy see"),
+    "VCT": ("saint vincent",),
+    "VGB": ("british virgin", "virgin uk"),
+    "VIR": ("us virgin", "united states virgin"),
+    "VNM": ("vietnam", "viet nam"),
+    "WLF": ("wallis", "futuna"),
+}
+# The continents of the case file that are one in the country list.
+CONTINENT_MERGES = {"North America": "Americas", "South America": "Americas"}
+
 # --- fixed values: lineages ---------------------------------------------------------
 VARIANT_GROUPS = {
     "who_alpha": ("B.1.1.7", "Q.*"),

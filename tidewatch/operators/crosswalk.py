@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewatch.functions.text import name_key
+from tidewatch.functions import places
+from tidewatch.functions.text import lookup, name_key
+from tidewatch import constants as K
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -44,17 +46,49 @@ def build_crosswalk(
 
 
 def add_code(df: DataFrame, name: str, crosswalk: DataFrame, code: str = "code",
-             drop_unmatched: bool = False) -> DataFrame:
-    """Look up the code of a country name; unmatched names give null or go."""
-    side = crosswalk.select(F.col("name_key").alias("_key"), F.col("code").alias(code))
-    how = "inner" if drop_unmatched else "left"
-    return df.join(side, name_key(F.col(name)) == F.col("_key"), how).drop("_key")
+             drop_unmatched: bool = False, by_words: bool = True) -> DataFrame:
+    """Look up the code of a country name; unmatched names give null or go.
+
+    The crosswalk decides first, by equal normalised names.  With ``by_words`` the words of a
+    name that it does not list decide (see :func:`places.country_by_words`), in the same pass.
+    """
+    side = crosswalk.select(F.col("name_key").alias("_key"), F.col("code").alias("_exact"))
+    listed = df.join(side, name_key(F.col(name)) == F.col("_key"),
+                     "inner" if drop_unmatched and not by_words else "left")
+    found = F.col("_exact")
+    if by_words:
+        found = F.coalesce(found, places.country_by_words(F.col(name)))
+    coded = listed.withColumn(code, found).drop("_key", "_exact")
+    return coded.filter(F.col(code).isNotNull()) if drop_unmatched and by_words else coded
+
+
+def add_name(df: DataFrame, code: str, name: str = "country_name") -> DataFrame:
+    """The English name of a country code; null for codes that no country has."""
+    side = places.country_names(df.sparkSession).select(
+        F.col("code").alias("_code"), F.col("name").alias(name))
+    return df.join(side, F.col(code) == F.col("_code"), "left").drop("_code")
+
+
+def continents(series: DataFrame, code: str = "iso_code", continent: str = "continent") -> DataFrame:
+    """(code, continent), one row per code of a case series; the Americas are one continent.
+
+    Of several continents the first in order counts.
+    """
+    merged = F.coalesce(lookup(F.col(continent), K.CONTINENT_MERGES), F.col(continent))
+    return series.groupBy(F.col(code).alias("code")).agg(F.min(merged).alias("continent")).dropna()
+
+
+def add_continent(df: DataFrame, code: str, by_code: DataFrame, continent: str = "continent") -> DataFrame:
+    """The continent of each row's code, also of rows that came without one."""
+    side = by_code.select(F.col("code").alias("_code"), F.col("continent").alias("_continent"))
+    return (df.drop(continent).join(side, F.col(code) == F.col("_code"), "left")
+            .withColumnRenamed("_continent", continent).drop("_code"))
 
 
-def unmatched_names(df: DataFrame, name: str, crosswalk: DataFrame) -> DataFrame:
+def unmatched_names(df: DataFrame, name: str, crosswalk: DataFrame, by_words: bool = True) -> DataFrame:
     """Names without a code, with the number of rows that carry them."""
     counts = df.groupBy(name).agg(F.count("*").alias("n_rows"))
-    return add_code(counts, name, crosswalk, "_code").filter(
+    return add_code(counts, name, crosswalk, "_code", by_words=by_words).filter(
         F.col("_code").isNull()).drop("_code")
 
 

@@ -70,6 +70,11 @@ def codes_match_names(code: str, name: str) -> Gate:
     return Gate("codes_minus_names", gap, "==", 0)
 
 
+def coded_share(code: str, least: float = 0.95) -> Gate:
+    """Rows that have a country code, as a share of all rows."""
+    return Gate("coded_share", F.count(code) / F.count("*"), ">=", least)
+
+
 def fewer_sequence_countries(seq_code: str, case_code: str) -> Gate:
     gap = F.countDistinct(case_code) - F.countDistinct(seq_code)
     return Gate("case_minus_sequence_countries", gap, ">", 0)

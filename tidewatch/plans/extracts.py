@@ -13,11 +13,14 @@ from tidewatch.operators import columns, crosswalk, filters, reshape
 
 
 def capture_snapshot(pages: DataFrame, country_codes: DataFrame, taken: str,
-                     cells: str = "cells") -> DataFrame:
-    """Tracker pages to snapshot rows (location, counts, code, timestamp)."""
+                     cells: str = "cells", by_words: bool = True) -> DataFrame:
+    """Tracker pages to snapshot rows (location, counts, code, timestamp).
+
+    ``by_words`` as in :func:`crosswalk.add_code`.
+    """
     rows = reshape.tracker_table(pages, cells).withColumn(
         "location", text.value_map(F.col("location"), K.TRACKER_NAME_FIXES))
-    return crosswalk.add_code(rows, "location", country_codes).withColumnRenamed(
+    return crosswalk.add_code(rows, "location", country_codes, by_words=by_words).withColumnRenamed(
         taken, "timestamp")
 
 

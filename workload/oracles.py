@@ -144,12 +144,27 @@ VIEWS = {
         SELECT name_key, min(code) AS code FROM (
           SELECT {key_of('name')} AS name_key, code FROM (VALUES
             {", ".join(f"({quoted([k])}, {quoted([v])})" for k, v in
-                       K.LINE_LIST_CODE_OVERRIDES.items())}) o(name, code)
+                       K.LINE_LIST_CODE_OVERRIDES.items())}, ('Denmark', 'DNK')) o(name, code)
           UNION ALL
           SELECT {key_of('name')}, code FROM (
             SELECT {plain(RAW)} AS name, upper(left({plain(RAW)}, 3)) AS code FROM nation)
           WHERE name NOT IN ('Kosovo', 'Timor', 'Denmark'))
         GROUP BY name_key""",
+    "written_names": f"""
+        SELECT n_nationkey, p.name, p.code, p.english FROM nation JOIN (VALUES
+          (0, 'United States of America', 'USA', 'United States'), (1, 'Puerto Rico', 'PRI', 'Puerto Rico'),
+          (2, 'U.S. Virgin Islands', 'VIR', 'U.S. Virgin Islands'), (3, 'Czechia', 'CZE', 'Czechia'),
+          (4, 'Antigua & Barbuda', 'ATG', 'Antigua & Barbuda'), (5, 'Dem. Rep. Congo', 'COD', 'Congo - Kinshasa'),
+          (6, 'Congo (Brazzaville)', 'COG', 'Congo - Brazzaville'), (7, 'Faeroe Islands', 'FRO', 'Faroe Islands'),
+          (8, 'Guinea Bissau', 'GNB', 'Guinea-Bissau'), (9, 'Niger', 'NER', 'Niger'),
+          (10, 'Bosnia', 'BIH', 'Bosnia & Herzegovina'), (11, 'UK', 'GBR', 'United Kingdom'),
+          (12, 'Bahamas, The', 'BHS', 'Bahamas'), (13, 'Côte d’Ivoire', 'CIV', 'Côte d’Ivoire'),
+          (14, 'Republic of Korea', 'KOR', 'South Korea'), (15, 'Iran (Islamic Republic of)', 'IRN', 'Iran'),
+          (16, 'Laos', 'LAO', 'Laos'), (17, 'Syria', 'SYR', 'Syria'), (18, 'Russian Federation', 'RUS', 'Russia'),
+          (19, 'Cape Verde', 'CPV', 'Cape Verde'), (20, 'Burma', 'MMR', 'Myanmar (Burma)'),
+          (21, 'Swaziland', 'SWZ', 'Eswatini'), (22, 'Macedonia', 'MKD', 'North Macedonia'),
+          (23, 'Réunion (France)', 'REU', 'Réunion'), (24, 'Nowhere Land', NULL, NULL)) p(k, name, code, english)
+        ON n_nationkey = k""",
     "populations": """
         SELECT c_nationkey, CAST(count(*) * 1000 AS DOUBLE) AS population
         FROM customer GROUP BY 1""",
@@ -727,6 +742,25 @@ QUERIES = {
         FROM (SELECT '  ' || upper({plain(RAW)}) AS country, count(*) AS n
               FROM order_places GROUP BY 1) c
         LEFT JOIN name_codes ON {key_of('c.country')} = name_key""",
+    "coded_written_names": f"""
+        SELECT w.code, name AS country, count(*) AS n, max(CAST(l_shipdate AS DATE)) AS last_submission
+        FROM lineitem JOIN order_places ON l_orderkey = o_orderkey JOIN written_names w USING (n_nationkey)
+        WHERE w.code IS NOT NULL AND collection_date BETWEEN {D_FIRST} AND {D_ASOF}
+        GROUP BY 1, 2""",
+    "unmatched_written_names": """
+        SELECT name AS country, count(*) AS n_rows FROM order_places JOIN written_names USING (n_nationkey)
+        WHERE written_names.code IS NULL GROUP BY 1""",
+    "names_of_codes": """
+        SELECT name AS country, count(*) AS n, written_names.code, english AS country_name
+        FROM order_places JOIN written_names USING (n_nationkey) GROUP BY 1, 3, 4""",
+    "coded_share_gate": """
+        SELECT 'coded_share' AS gate, round(x, 6) AS observed, 0.95::DOUBLE AS threshold, x >= 0.95 AS passed
+        FROM (SELECT count(written_names.code) / count(*) AS x
+              FROM order_places JOIN written_names USING (n_nationkey))""",
+    "continents_by_code": """
+        SELECT country_code, date, r.continent, new_cases FROM merged
+        LEFT JOIN (SELECT iso_code, min(continent) AS continent FROM cases GROUP BY 1) r
+        ON country_code = r.iso_code""",
     "unmatched_names": f"""
         SELECT country, n_rows FROM (SELECT {plain(RAW)} AS country, count(*) AS n_rows
               FROM order_places GROUP BY 1)

@@ -156,6 +156,62 @@ def country_crosswalk(spark, sf):
     return crosswalk.add_code(counts, "country", name_codes(spark, sf))
 
 
+def written_feed(spark, sf):
+    """The line-list feed with country names as other files write them."""
+    places = V.order_places(spark, sf)
+    day = F.col("collection_date").cast("string")
+    return V.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate").join(
+        places, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws(" / ", "region", V.written(F.col("n_nationkey")), "division").alias("location"),
+        F.to_date("l_shipdate").cast("string").alias("submission_date"), day.alias("collection_date"))
+
+
+def shipped_codes(spark, sf):
+    """A country table in the spelling of statistics files, with the line list's overrides."""
+    rows = crosswalk.literal_rows(spark, [
+        ("Korea, Rep.", "KOR"), ("United States", "USA"), ("Russian Federation", "RUS"),
+        ("Puerto Rico", "PRI"), ("Guinea-Bissau", "GNB")], ["name", "code"])
+    return crosswalk.build_crosswalk(rows, "name", "code", K.LINE_LIST_CODE_OVERRIDES)
+
+
+@query
+def coded_written_names(spark, sf):
+    """Records per code of a line list whose spellings the country table does not have."""
+    coded = line_list.code_line_list(written_feed(spark, sf), shipped_codes(spark, sf), V.AS_OF, V.FIRST)
+    return coded.groupBy("code", "country").agg(
+        F.count("*").alias("n"), F.max("submission_date").alias("last_submission"))
+
+
+@query
+def unmatched_written_names(spark, sf):
+    rows = V.order_places(spark, sf).select(V.written(F.col("n_nationkey")).alias("country"))
+    return crosswalk.unmatched_names(rows, "country", shipped_codes(spark, sf))
+
+
+@query
+def names_of_codes(spark, sf):
+    """Orders per code, with the code's English name."""
+    rows = V.order_places(spark, sf).select(V.written(F.col("n_nationkey")).alias("country"))
+    counts = rows.groupBy("country").agg(F.count("*").alias("n"))
+    coded = crosswalk.add_code(counts, "country", shipped_codes(spark, sf))
+    return crosswalk.add_name(coded, "code")
+
+
+@query
+def coded_share_gate(spark, sf):
+    rows = V.order_places(spark, sf).select(V.written(F.col("n_nationkey")).alias("country"))
+    coded = crosswalk.add_code(rows, "country", shipped_codes(spark, sf))
+    return digits(gates.evaluate(coded, [gates.coded_share("code")]), "observed")
+
+
+@query
+def continents_by_code(spark, sf):
+    """The merged series with each day's continent taken from its code."""
+    by_code = crosswalk.continents(V.case_series(spark, sf, aggregates=False))
+    return crosswalk.add_continent(merged(spark, sf), "country_code", by_code).select(
+        "country_code", "date", "continent", "new_cases")
+
+
 @query
 def unmatched_names(spark, sf):
     rows = V.order_places(spark, sf).select(
@@ -810,7 +866,7 @@ def capture_snapshot(spark, sf):
         F.explode(F.split("text", "\\s+")).alias("name")).filter("name <> ''").select(
         "name", F.upper(F.substring("name", 1, 3)).alias("code"))
     out = extracts.capture_snapshot(
-        pages, crosswalk.build_crosswalk(known, "name", "code"), "taken")
+        pages, crosswalk.build_crosswalk(known, "name", "code"), "taken", by_words=False)
     return out.groupBy("code", F.to_date("timestamp").alias("date")).agg(
         F.count("*").alias("n_rows"), F.sum("confirmed").alias("confirmed"),
         F.sum("probable").alias("probable"))

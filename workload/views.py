@@ -32,6 +32,15 @@ SPELLINGS = (
     "Timor", "Czech republic", "Jonavos apskritis", "Usa", "Cote dIvoire", "canada",
 )
 
+# The same nations as other files write them, for the lookup by words.
+WRITTEN = (
+    "United States of America", "Puerto Rico", "U.S. Virgin Islands", "Czechia", "Antigua & Barbuda",
+    "Dem. Rep. Congo", "Congo (Brazzaville)", "Faeroe Islands", "Guinea Bissau", "Niger", "Bosnia",
+    "UK", "Bahamas, The", "Côte d’Ivoire", "Republic of Korea", "Iran (Islamic Republic of)", "Laos",
+    "Syria", "Russian Federation", "Cape Verde", "Burma", "Swaziland", "Macedonia", "Réunion (France)",
+    "Nowhere Land",
+)
+
 # Lineage groups over the brand names; `Brand#2*` is a prefix of Brand#2, #20 ...
 GROUPS = {
     "who_first": ("Brand#1",),
@@ -59,6 +68,10 @@ def spelling(key):
     return F.get(F.array(*(F.lit(x) for x in SPELLINGS)), key)
 
 
+def written(key):
+    return F.get(F.array(*(F.lit(x) for x in WRITTEN)), key)
+
+
 @view
 def nations(spark, sf) -> DataFrame:
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
