@@ -8,7 +8,7 @@ from tidewatch.operators import (
     calendar, columns, crosswalk, filters, flags, gates, lineage_counts, reconcile, reshape,
     rollups, trailing_counts, windows,
 )
-from tidewatch.plans import summary, toplines
+from tidewatch.plans import country_day, summary, toplines
 
 D = dt.date
 
@@ -273,6 +273,53 @@ def test_variant_groups_add_up(frame):
     assert sum(r[g] for g in K.VARIANT_GROUPS) + r["who_other"] == r["All lineages"]
 
 
+def line_rows(frame, *names):
+    day = D(2021, 1, 1)
+    return frame([(day, "Peru", n, f"E{i}") for i, n in enumerate(names)],
+                 "collect_date date, country string, pango_lineage string, accession_id string")
+
+
+def test_lineage_columns_come_from_the_data(frame):
+    rows = line_rows(frame, "BA.2", "BA.5", "XX", None, "BA.2")
+    wide = country_day.wide_counts(rows, patterns=["BA.*"])
+    assert wide.columns == ["collect_date", "country", "All lineages", "BA.2", "BA.5", "Other lineages"]
+    assert tuple(wide.first())[2:] == (5, 2, 1, 1)
+    more = country_day.wide_counts(rows.union(line_rows(frame, "BA.7")), patterns=["BA.*"])
+    assert set(more.columns) - set(wide.columns) == {"BA.7"}
+
+
+def test_a_lineage_without_a_column_raises(frame):
+    rows = line_rows(frame, "BA.2", "BA.5", "XX")
+    with pytest.raises(Exception, match="label without a column: BA.5"):
+        country_day.wide_counts(rows, ["BA.2"], ["BA.*"]).collect()
+    listed_all = country_day.wide_counts(rows, ["BA.2", "BA.5", "BA.9"], ["BA.*"]).first()
+    assert tuple(listed_all)[2:] == (3, 1, 1, None, 1)
+
+
+def test_pivot_of_present_labels(frame):
+    long = frame([("a", "BA.2", 1), ("a", "x", 2), ("b", None, 4), ("b", "x", 5)],
+                 "k string, key_lineages string, n long")
+    wide = lineage_counts.pivot_lineages(long, ["k"])
+    assert wide.columns == ["k", "BA.2", "x"]
+    assert listed(wide, "k") == [("a", 1, 2), ("b", None, 5)]
+    back = reshape.melt(wide, ["k"], ["BA.2", "x"]).dropna()
+    assert listed(back, "k", "variable") == [("a", "BA.2", 1), ("a", "x", 2), ("b", "x", 5)]
+    with pytest.raises(ValueError, match="more than 1 labels"):
+        lineage_counts.present_labels(long, most=1)
+    assert lineage_counts.pivot_lineages(long.limit(0), ["k"]).collect() == []
+
+
+def test_wide_table_of_unknown_lineages(frame):
+    clean = line_rows(frame, "BA.2", "XY.1", None).withColumn("submit_date", F.lit(D(2021, 1, 5)))
+    cases = frame([(D(2021, 1, 1), "Peru", "South America", 10.0, 1.0, 1.0, 1.0, 1.0)],
+                  "date date, location string, continent string, population double, new_cases double, "
+                  "new_cases_smoothed double, new_people_vaccinated double, new_people_fully_vaccinated double")
+    regions = frame([("Peru", "AMRO")], "Entity string, `WHO region` string")
+    out = country_day.country_day_wide(clean, cases, regions, patterns=["BA.*", "XY.*"])
+    row = out.filter("seq_country = 'Peru'").first().asDict()
+    assert (row["All lineages"], row["BA.2"], row["XY.1"], row["Other lineages"]) == (3, 1, 1, None)
+
+
 def test_lineage_order():
     assert lineage_counts.lineage_order(["BA.2", "x", "AY.4"]) == [
         "All lineages", "AY.4", "BA.2", "Other lineages"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions.lineages import key_lineage, match_names
+from tidewatch.session import stored
 
 
 def count_by(df: DataFrame, keys: Sequence[str], counted: str | None = None,
@@ -62,21 +63,34 @@ def lineage_order(columns: Sequence[str]) -> list[str]:
     return [K.ALL_LINEAGES, *dotted, K.OTHER_LINEAGES]
 
 
-def pivot_lineages(long: DataFrame, index: Sequence[str], values: Sequence[str],
-                   label: str = "key_lineages", measure: str = "n") -> DataFrame:
-    """One column per listed label.  The list is explicit, so no extra job runs."""
-    return long.groupBy(*index).pivot(label, list(values)).agg(F.sum(measure))
+#: Labels that become columns at most; a table with more is not one to pivot.
+MOST_LABELS = 5000
+
 
+def present_labels(long: DataFrame, label: str = "key_lineages", most: int = MOST_LABELS) -> list[str]:
+    """The labels that occur, sorted; raises if there are more than ``most``."""
+    found = long.select(label).dropna().distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} labels in {label}")
+    return sorted(r[0] for r in found)
 
-def present_labels(long: DataFrame, label: str = "key_lineages",
-                   patterns: Sequence[str] | None = None) -> list[str]:
-    """Labels that occur, for callers who do not know them.
 
-    Labels are names the patterns can produce, so the list is bounded by the
-    number of known lineages, not by the data.
+def pivot_lineages(long: DataFrame, index: Sequence[str], values: Sequence[str] | None = None,
+                   label: str = "key_lineages", measure: str = "n") -> DataFrame:
+    """One column per label, in the order of ``values``; no label is lost.
+
+    Without ``values`` the columns are the labels of the data: ``long``, which is to be
+    aggregated already, is stored once and read for its labels and for the pivot.  With
+    ``values`` no extra job runs, and a label that they do not list raises.
     """
-    rows = long.select(label).dropna().distinct().collect()
-    return sorted(r[0] for r in rows)
+    if values is None:
+        long = stored(long)
+        values = present_labels(long, label)
+    kept = F.col(label).isNull() | F.col(label).isin(list(values))
+    named = F.when(kept, F.col(label)).otherwise(
+        F.raise_error(F.concat(F.lit("label without a column: "), F.col(label))))
+    return (long.withColumn(label, named).groupBy(*index).pivot(label, list(values))
+            .agg(F.sum(measure)))
 
 
 def variant_group_columns(

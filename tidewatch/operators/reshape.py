@@ -44,7 +44,8 @@ def tracker_table(pages: DataFrame, cells: str = "cells") -> DataFrame:
 
 def melt(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
          variable: str = "variable", value: str = "value") -> DataFrame:
-    return df.unpivot(list(ids), list(columns), variable, value)
+    quoted = lambda names: [F.col(f"`{c}`") for c in names]
+    return df.unpivot(quoted(ids), quoted(columns), variable, value)
 
 
 def metrics_by_type(df: DataFrame, metrics: Sequence[str], types: Sequence[str],

@@ -13,6 +13,7 @@ from tidewatch.operators import (
     calendar, columns, crosswalk, filters, lineage_counts, reconcile, rollups,
     trailing_counts, windows,
 )
+from tidewatch.session import stored
 
 CASE_COLUMNS = (
     "date", "location", "iso_code", "continent", "new_cases", "new_cases_smoothed",
@@ -34,26 +35,31 @@ def load_cases(series: DataFrame, first: dt.date = K.FIRST_DATE,
     return columns.prefix_columns(daily, prefix)
 
 
-REST = "unlisted"
+NO_LINEAGE = "no lineage"
 
 
-def wide_counts(clean: DataFrame, labels: Sequence[str], patterns: Sequence[str] | None = None,
+def wide_counts(clean: DataFrame, labels: Sequence[str] | None = None,
+                patterns: Sequence[str] | None = None,
                 lineage: str = "pango_lineage", counted: str = "accession_id") -> DataFrame:
-    """One row per (collect_date, country): total, listed lineages, other lineages.
+    """One row per (collect_date, country): total, a column per key lineage, other lineages.
 
-    Lineages become pivot slots before the records are aggregated, so a task
-    sends at most one row per country, day and slot.  Records without a lineage
-    and unlisted key lineages share one extra slot; the total is the row sum.
+    Lineages become pivot slots before the records are aggregated, so a task sends at most
+    one row per country, day and slot.  Records without a lineage have a slot of their own,
+    which counts in the total only.  Without ``labels`` the columns are the key lineages of
+    the data, found in the aggregated slots; with them, another key lineage raises.
     """
-    listed = [*sorted(labels), K.OTHER_LINEAGES]
     own = lineages.key_lineage(F.col(lineage), patterns)
-    slot = F.when(F.col(lineage).isNotNull() & own.isin(listed), own).otherwise(REST)
+    slot = F.when(F.col(lineage).isNotNull(), own).otherwise(NO_LINEAGE)
     slots = clean.dropna(subset=["collect_date", "country"]).groupBy(
         "collect_date", "country", slot.alias("slot")).agg(F.count(counted).alias("n"))
+    if labels is None:
+        slots = stored(slots)
+        labels = lineage_counts.present_labels(slots, "slot")
+    listed = [*sorted(set(labels) - {K.OTHER_LINEAGES, NO_LINEAGE}), K.OTHER_LINEAGES]
     wide = lineage_counts.pivot_lineages(
-        slots, ["collect_date", "country"], [*listed, REST], "slot")
+        slots, ["collect_date", "country"], [*listed, NO_LINEAGE], "slot")
     total = F.lit(0).cast("bigint")
-    for c in [*listed, REST]:
+    for c in [*listed, NO_LINEAGE]:
         total = total + F.coalesce(F.col(f"`{c}`"), F.lit(0))
     return wide.select("collect_date", "country", total.alias(K.ALL_LINEAGES),
                        *(F.col(f"`{c}`") for c in listed))
@@ -80,18 +86,21 @@ def wide_cases(wide: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 def country_day_wide(
-    clean: DataFrame, cases: DataFrame, regions: DataFrame, labels: Sequence[str],
+    clean: DataFrame, cases: DataFrame, regions: DataFrame, labels: Sequence[str] | None = None,
     patterns: Sequence[str] | None = None, region_key: str = "Entity",
     region_name: str = "WHO region", seq_prefix: str = "seq_", case_prefix: str = "case_",
 ) -> DataFrame:
-    """The wide country-day table with regional rows and lag statistics."""
-    wide = wide_cases(wide_counts(clean, labels, patterns), cases)
+    """The wide country-day table with regional rows and lag statistics.
+
+    ``labels`` as in :func:`wide_counts`.
+    """
+    counts = wide_counts(clean, labels, patterns)
+    wide = wide_cases(counts, cases)
     wide = crosswalk.add_dimension(
         wide, regions, {"location": region_key}, {region_name: "who_region"})
     keys = ["collect_date", "collect_yearweek", "collect_weekstartdate", "date"]
-    measures = [K.ALL_LINEAGES, *sorted(labels), K.OTHER_LINEAGES, "new_cases",
-                "new_cases_smoothed", "new_people_vaccinated",
-                "new_people_fully_vaccinated", "population"]
+    measures = [*counts.columns[2:], "new_cases", "new_cases_smoothed",
+                "new_people_vaccinated", "new_people_fully_vaccinated", "population"]
     regional = rollups.location_rollup(wide, keys, measures)
     rows = columns.bind_rows(wide, regional)
     lags = rollups.lag_stats(clean.withColumn(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,3 +39,17 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is not set and no folder was given")
     return fallback
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, for tables that several plans read.
+
+    What was written needs no lineage: a lost executor costs its tasks, not the table.  Only a
+    session on one machine that names no folder gets a temporary one.
+    """
+    spark = df.sparkSession
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    folder = shared_folder(spark, tempfile.gettempdir() if local else None)
+    path = f"{folder}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -808,6 +808,10 @@ QUERIES = {
         SELECT country, submission_date, count(*) AS n FROM line_list GROUP BY 1, 2""",
     "lineage_pivot": f"""
         SELECT collect_date, country, {pivot_columns()} FROM cube_long GROUP BY 1, 2""",
+    "lineage_columns": """
+        SELECT collect_date, country, label AS variable, n AS value FROM cube_long
+        UNION ALL
+        SELECT collect_date, country, 'All lineages', CAST(sum(n) AS BIGINT) FROM cube_long GROUP BY 1, 2""",
     "variant_groups": """
         SELECT collect_date, country,
                count(*) FILTER (pango_lineage = 'Brand#1') AS who_first,

@@ -295,25 +295,25 @@ def submission_day_counts(spark, sf):
         V.coded_list(spark, sf, lineage=False), ["country", "submission_date"])
 
 
-#: Every label that the patterns select among the 25 brands has a column.
-PIVOT_LABELS = sorted(b for b in (f"Brand#{i}" for i in range(1, 26))
-                      if any(b.startswith(p[:-1]) if p.endswith("*") else b == p
-                             for p in V.KEY_PATTERNS))
-
-
 @query
 def lineage_pivot(spark, sf):
     long = lineage_counts.counts_with_lineage(
         V.clean_list(spark, sf), ["collect_date", "country"], patterns=V.KEY_PATTERNS)
-    return lineage_counts.pivot_lineages(
-        long, ["collect_date", "country"],
-        [K.ALL_LINEAGES, *PIVOT_LABELS, K.OTHER_LINEAGES])
+    return lineage_counts.pivot_lineages(long, ["collect_date", "country"])
+
+
+@query
+def lineage_columns(spark, sf):
+    """The columns that the wide table takes from the data, as rows again."""
+    wide = country_day.wide_counts(V.clean_list(spark, sf), patterns=V.KEY_PATTERNS)
+    keys = ["collect_date", "country"]
+    return reshape.melt(wide, keys, [c for c in wide.columns if c not in keys]).filter(
+        F.col("value").isNotNull())
 
 
 @query
 def variant_groups(spark, sf):
-    brands = [f"Brand#{i}" for i in range(1, 26)]
-    wide = country_day.wide_counts(V.clean_list(spark, sf), brands, brands)
+    wide = country_day.wide_counts(V.clean_list(spark, sf), patterns=["Brand#*"])
     return lineage_counts.variant_group_columns(wide, V.GROUPS).select(
         "collect_date", "country", *V.GROUPS, "who_other")
 
@@ -459,7 +459,7 @@ def weekly_rollup(spark, sf):
 def country_day_wide(spark, sf):
     cases = country_day.load_cases(V.case_series(spark, sf, aggregates=False), V.FIRST)
     out = country_day.country_day_wide(
-        V.clean_list(spark, sf), cases, V.regions(spark, sf), PIVOT_LABELS, V.KEY_PATTERNS)
+        V.clean_list(spark, sf), cases, V.regions(spark, sf), patterns=V.KEY_PATTERNS)
     return digits(out, "case_new_cases_smoothed")
 
 
