@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 
@@ -133,6 +134,54 @@ def test_headers_that_differ_between_files(spark, tmp_path):
     assert len(rows) == 3 and len(set(rows)) == 1 and rows[0].population == 33000000.0
 
 
+def jobs_of(spark, name, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        run()
+        return len(sc.statusTracker().getJobIdsForGroup(name))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def many_case_files(folder, n, headers):
+    folder.mkdir()
+    names = schemas.CASES.fieldNames()
+    for i in range(n):
+        case_file(folder / f"{i:03d}.csv", names[i % headers:] + names[:i % headers])
+    return str(folder)
+
+
+@pytest.mark.parametrize("headers, sizes", [(1, (50, 100)), (3, (100, 150))])
+def test_jobs_do_not_grow_with_files(spark, tmp_path, headers, sizes):
+    few, many = (many_case_files(tmp_path / str(n), n, headers) for n in sizes)
+    jobs = [jobs_of(spark, path, lambda: readers.read_cases(spark, path)) for path in (few, many)]
+    assert jobs[0] == jobs[1] <= 4 + headers
+    start = time.perf_counter()
+    df = readers.read_cases(spark, many)
+    assert time.perf_counter() - start < 10
+    assert df.count() == sizes[1] and df.distinct().count() == 1
+
+
+def test_headers_of_split_and_odd_files(spark, tmp_path):
+    names = schemas.CASES.fieldNames()
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    body = ",".join(CASE_ROW.get(c, "") for c in names) + "\n"
+    put(folder / "long.csv", ",".join(names) + "\n" + body * 40_000)
+    put(folder / "longer.csv", "\n" + ",".join(names[::-1]) + "\n"
+        + ",".join(CASE_ROW.get(c, "") for c in names[::-1]) + "\n" + "," * (len(names) - 1) + "\n"
+        + (" " * 1000 + "," * (len(names) - 1) + "\n") * 5000)
+    put(folder / "blank first.csv", "\n\n" + ",".join(f'"{c}"' for c in names) + "\n" + body)
+    put(folder / "blank.csv", "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        df = readers.read_cases(spark, str(folder))
+        assert df.filter("location = 'Peru'").count() == 40_002
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_metadata_without_host(spark, tmp_path):
     names = [c for c in K.METADATA_COLUMNS if c != "Host"]
     with pytest.raises(ValueError, match="Host"):

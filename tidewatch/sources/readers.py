@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,21 +43,47 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
     return reduce(DataFrame.union, scans) if scans else pick(spark.createDataFrame([], schema))
 
 
+#: Files up to this size are read whole to learn their header.
+SMALL_FILE = 4 << 20
+
+
 def _files_by_header(spark: SparkSession, paths: list[str],
                      sep: str) -> dict[tuple[str, ...], list[str]]:
     """The files under ``paths`` by their header; files without a line are left out.
 
-    Takes the first line of each file, several files at a time.
+    Two jobs whatever the number of files.  Small files are packed and read through.  Of the
+    others each split is a task of its own, which takes one batch of lines and stops, so some
+    kilobytes are read; only the split at a file's beginning answers.
     """
-    files = sorted(unquote(f) for f in spark.read.text(paths).inputFiles())
-    first = spark.read.option("header", True).option("sep", sep)
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda f: first.csv(f).columns, files))
+    def lines(session: SparkSession) -> DataFrame:
+        return session.read.text(paths).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+            F.col("_metadata.file_block_start").alias("start"))
+
+    small = (lines(spark).filter((F.col("size") <= SMALL_FILE) & F.col("value").rlike("[^\ufeff\\s]"))
+             .withColumn("line", F.monotonically_increasing_id())
+             .groupBy("file").agg(F.min_by("value", F.struct("start", "line")).alias("value")))
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    large = lines(own).filter(F.col("size") > SMALL_FILE).drop("size").mapInArrow(
+        _first_line, "value string, file string")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, headers, strict=True):
-        if header:
-            groups.setdefault(tuple(c.removeprefix("\ufeff") for c in header), []).append(file)
-    return groups
+    for found in (small, large):
+        for line, files in found.groupBy("value").agg(F.sort_array(F.collect_list("file"))).collect():
+            header = tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep)))
+            groups.setdefault(header, []).extend(unquote(f) for f in files)
+    return dict(sorted(groups.items(), key=lambda g: min(g[1])))
+
+
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows and batch.column("start")[0].as_py():
+            return
+        for i, line in enumerate(batch.column("value").to_pylist()):
+            if line.strip("\ufeff \t\r"):
+                yield batch.select(["value", "file"]).slice(i, 1)
+                return
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
