@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -14,6 +15,10 @@ from tidewatch import constants as K
 D = dt.date
 
 
+def listed(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
 def put(path, text):
     path.write_text(text, encoding="utf-8")
     return str(path)
@@ -263,6 +268,97 @@ def test_feed_kept_up_incrementally(spark, tmp_path):
         live.keep_deltas(live.landed_feed(spark, str(landing)), deltas, str(tmp_path / "new"))
 
 
+@pytest.mark.parametrize("compact_every", [100, 2])
+def test_series_of_three_countries_kept_up(spark, tmp_path, compact_every):
+    landing, deltas, root = tmp_path / "in", str(tmp_path / "deltas"), str(tmp_path / "checkpoint")
+    landing.mkdir()
+    line = "E,{0},A / {0},{1},{2},G,BA.2\n"
+    start, end, keys = D(2021, 1, 1), D(2021, 3, 1), ["country"]
+
+    def run():
+        live.keep_deltas(live.landed_feed(spark, str(landing), files_per_batch=1), deltas, root, keys=keys,
+                         compact_every=compact_every).awaitTermination(120)
+
+    def check():
+        feed = readers.read_feed(spark, str(landing))
+        want = trailing_counts.with_lag_30(trailing_counts.trailing_counts(
+            feed, "collection_date", "submission_date", start, end, keys), keys=keys)
+        got = live.current_series(spark, deltas, start, end, keys)
+        assert listed(got, "country", "date") == listed(want.select(got.columns), "country", "date")
+        assert {r.country for r in got.collect()} <= {"Peru", "Chad", "Iran"}
+
+    files = [[("Peru", "2021-01-05", "2021-01-01"), ("Chad", "2021-01-09", "2021-01-02")],
+             [("Iran", "2021-01-20", "2021-01-18"), ("Peru", "2021-01-20", "2021-01-03")],
+             [("Chad", "2021-02-25", "2021-01-30")],
+             [("Peru", "2021-01-21", "2021-01-02"), ("Iran", "2021-02-02", "2021-02-01")],  # late
+             [("Chad", "2021-02-01", "2021-01-30")]]
+    for i, rows in enumerate(files):
+        put(landing / f"{i}.csv", "".join(line.format(*r) for r in rows))
+        if i != 2:
+            run()
+            check()
+    run()
+    live.compact_deltas(spark, deltas)
+    live.compact_deltas(spark, deltas)
+    check()
+    put(landing / "9.csv", line.format("Peru", "2021-02-21", "2021-02-20"))
+    run()
+    check()
+    live.compact_deltas(spark, deltas)
+    check()
+    left = [f for f in os.listdir(deltas) if f.startswith("batch_id=")]
+    assert len(left) <= 2 + compact_every and "batch_id=0" not in left
+
+
+def test_a_batch_run_again_after_a_compaction(spark, tmp_path):
+    """The newest batch may be stored twice; a compaction must not hold it."""
+    landing, deltas = tmp_path / "in", str(tmp_path / "deltas")
+    landing.mkdir()
+    for i in range(3):
+        put(landing / f"{i}.csv", f"E{i},Peru,A / Peru,2021-01-0{i + 1},2021-01-01,G,BA.2\n")
+    feed = live.landed_feed(spark, str(landing), files_per_batch=1)
+    live.keep_deltas(feed, deltas, str(tmp_path / "checkpoint")).awaitTermination(120)
+    before = listed(live.current_series(spark, deltas, D(2021, 1, 1), D(2021, 1, 9)), "date")
+    newest = spark.read.parquet(deltas).filter("batch_id = 2").cache()
+    newest.count()
+    live.compact_deltas(spark, deltas, 99)
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(deltas)
+    assert listed(live.current_series(spark, deltas, D(2021, 1, 1), D(2021, 1, 9)), "date") == before
+    assert [r[1] for r in before][-1] == 3
+
+
+def test_master_of_day_partitions(spark, frame, tmp_path):
+    path, other = str(tmp_path / "snap"), str(tmp_path / "compacted")
+    at = lambda day, hour, n, place="Peru": (place, n, None if day is None else dt.datetime(2021, 12, day, hour, n % 60))
+    schema = "location string, confirmed int, timestamp timestamp"
+    scrapes = [[at(1, h, h), at(1, h, h, "Chad")] for h in (9, 12, 12, 23)] + [[at(2, 0, 5), at(1, 9, 10)]] + [[at(None, 0, 0)]] * 2
+    for rows in scrapes + scrapes:
+        writers.write_snapshot(frame(rows, schema), path)
+    want = sorted({r for rows in scrapes for r in rows}, key=str)
+    for where in (path, other):
+        got = spark.read.parquet(where).select("location", "confirmed", "timestamp")
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        days = [f for f in os.listdir(where) if f.startswith("snapshot_day=")]
+        assert len(days) == 3
+        assert all(len([f for f in os.listdir(f"{where}/{d}") if f.endswith(".parquet")]) == 1 for d in days)
+        writers.compact_snapshots(spark, path, other)
+    with pytest.raises(ValueError):
+        writers.compact_snapshots(spark, path, path + "/")
+
+
+def test_compaction_of_one_partition_a_scrape(spark, frame, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    rows = frame([("Peru", h, dt.datetime(2021, 12, 1 + h % 2, h)) for h in range(20)],
+                 "location string, confirmed int, timestamp timestamp")
+    rows.selectExpr("*", "date_format(timestamp, 'yyyy-MM-dd-HH') AS snapshot_hour", "'m00s00' AS snapshot_time").write.partitionBy(
+        "snapshot_hour", "snapshot_time").parquet(old)
+    writers.compact_snapshots(spark, old, new)
+    got = spark.read.parquet(new)
+    assert sorted(r.confirmed for r in got.collect()) == list(range(20))
+    assert got.filter("snapshot_hour = '2021-12-02-13'").count() == 1
+    assert len([f for f in os.listdir(new) if f.startswith("snapshot_day=")]) == 2
+
+
 def test_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark, "/tmp/x") == (named or "/tmp/x")
