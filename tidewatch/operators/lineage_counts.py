@@ -46,17 +46,47 @@ def counts_with_lineage(
 
 
 def family_counts(df: DataFrame, keys: Sequence[str], families: Mapping[str, Column],
-                  total: str = "n_new_sequences", rest: str = "other") -> DataFrame:
-    """All records, records per family and the remainder, in one aggregate."""
-    counts = df.groupBy(*keys).agg(
-        F.count("*").alias(total),
-        *(F.count_if(test).alias(name) for name, test in families.items()))
+                  total: str = "n_new_sequences", rest: str = "other",
+                  weight: str | None = None) -> DataFrame:
+    """All records, records per family and the remainder, in one aggregate.
+
+    With ``weight`` a row of ``df`` stands for that many records: it is a row of
+    :func:`record_cube`, which has the families as columns.
+    """
+    if weight is None:
+        counts = df.groupBy(*keys).agg(
+            F.count("*").alias(total),
+            *(F.count_if(test).alias(name) for name, test in families.items()))
+    else:
+        counts = df.groupBy(*keys).agg(
+            F.sum(weight).alias(total), *(F.sum(name).alias(name) for name in families))
     remainder = F.col(total)
     for name in families:
         remainder = remainder - F.col(name)
     return counts.withColumn(rest, remainder)
 
 
+CUBE_KEYS = ("country", "code", "collection_date", "submission_date")
+
+
+def record_cube(records: DataFrame, families: Mapping[str, Column], keys: Sequence[str] = CUBE_KEYS,
+                name: str = "n") -> DataFrame:
+    """Records and records per family by country and both dates, stored once.
+
+    Counts by collection day, by submission day and by both come from this small table, so a
+    job with several of them reads its records once.  It lies in the shared folder: a lost
+    executor costs no second read either.
+    """
+    return stored(records.groupBy(*keys).agg(
+        F.count("*").alias(name), *(F.count_if(test).alias(f) for f, test in families.items())))
+
+
+def submissions(cube: DataFrame, keys: Sequence[str] = ("country", "code", "submission_date"),
+                name: str = "n") -> DataFrame:
+    """Records per country and submission day, from a cube."""
+    return cube.groupBy(*keys).agg(F.sum(name).alias(name))
+
+
 def lineage_order(columns: Sequence[str]) -> list[str]:
     """All lineages, dotted names sorted, other lineages."""
     dotted = sorted(c for c in columns if "." in c)

@@ -21,13 +21,17 @@ from tidewatch.operators.windows import add_lag_ratio, running_total
 
 
 def day_deltas(records: DataFrame, collected: str, submitted: str, keys: Sequence[str] = (),
-               span: int = K.MONTH_SPAN) -> DataFrame:
-    """(keys, date, delta): net openings per day, pre-aggregated map side."""
+               span: int = K.MONTH_SPAN, weight: str | None = None) -> DataFrame:
+    """(keys, date, delta): net openings per day, pre-aggregated map side.
+
+    With ``weight`` a row stands for that many records.
+    """
+    one = F.lit(1) if weight is None else F.col(weight)
     opens = F.greatest(collected, submitted)
     closes = F.date_add(F.col(collected), span + 1)
     events = F.array(
-        F.struct(opens.alias("date"), F.lit(1).alias("delta")),
-        F.struct(closes.alias("date"), F.lit(-1).alias("delta")),
+        F.struct(opens.alias("date"), one.alias("delta")),
+        F.struct(closes.alias("date"), (-one).alias("delta")),
     )
     return (
         records.filter(F.col(collected).isNotNull() & F.col(submitted).isNotNull())
@@ -70,12 +74,13 @@ def counts_from_deltas(deltas: DataFrame, start: dt.date | Column, end: dt.date
 
 def trailing_counts(records: DataFrame, collected: str, submitted: str, start: dt.date,
                     end: dt.date, keys: Sequence[str] = (), span: int = K.MONTH_SPAN,
-                    value: str = "n", key_rows: DataFrame | None = None) -> DataFrame:
+                    value: str = "n", key_rows: DataFrame | None = None,
+                    weight: str | None = None) -> DataFrame:
     """The full series.  Records that can reach no day of it are not read further."""
     needed = records.filter(
         (F.col(collected) >= F.lit(start - dt.timedelta(days=span)))
         & (F.col(collected) <= F.lit(end)) & (F.col(submitted) <= F.lit(end)))
-    deltas = day_deltas(needed, collected, submitted, keys, span)
+    deltas = day_deltas(needed, collected, submitted, keys, span, weight)
     return counts_from_deltas(deltas, start, end, keys, value, key_rows)
 
 

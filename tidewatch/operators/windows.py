@@ -72,8 +72,14 @@ def add_lag_ratio(df: DataFrame, x: str, keys: Sequence[str], day: str, rows: in
 
 
 def latest_snapshot(df: DataFrame, ts: str) -> DataFrame:
-    """Rows that carry the newest timestamp of the table."""
-    return df.filter(F.col(ts) == df.agg(F.max(ts)).scalar())
+    """Rows that carry the newest timestamp of the table.
+
+    The table is read once: every partition keeps its own newest rows, ties included, and
+    just those are compared with each other.
+    """
+    name = "_newest"
+    place = F.rank().over(Window.orderBy(F.col(ts).desc_nulls_last()))
+    return df.filter(F.col(ts).isNotNull()).withColumn(name, place).filter(F.col(name) == 1).drop(name)
 
 
 def daily_snapshot(df: DataFrame, ts: str, pick: str, hour: float = 13.0,

@@ -146,19 +146,51 @@ def reported_vaccination(series: DataFrame, weekly: bool = True,
     return filters.sundays(region, "date") if weekly else region
 
 
+def weekly_vaccination(series: DataFrame, own: Column, columns: Sequence[str],
+                       names: Mapping[str, str] = K.REGION_OF_AGGREGATE_CODE) -> DataFrame:
+    """Weekly maxima per place, replaced by reported values where the place reports.
+
+    ``own`` names the place of a row; rows of aggregate codes report for the place of their
+    code, by the Sunday of each week.  A place that reports at all loses its own values, and
+    weeks it does not report are null.  Own and reported values meet in one aggregate over
+    one read; whether a place reports is spread over its weeks by a window.
+    """
+    day = F.col("date")
+    reports = F.when(dates.is_sunday(day), text.lookup(F.col("iso_code"), names))
+    place = lambda where, own_row: F.struct(
+        where.alias("aggregate_location"), F.lit(own_row).alias("_own"))
+    rows = series.select(
+        dates.week_start(day).alias("collect_weekstartdate"), *columns,
+        F.inline(F.filter(F.array(place(own, True), place(reports, False)),
+                          lambda x: x["_own"] | x["aggregate_location"].isNotNull())))
+    best = lambda c, is_own: F.max(F.when(F.col("_own") == is_own, F.col(c)))
+    weeks = rows.groupBy("aggregate_location", "collect_weekstartdate").agg(
+        F.bool_or("_own").alias("_own"), F.bool_and("_own").alias("_only_own"),
+        *(best(c, True).alias(c) for c in columns),
+        *(best(c, False).alias(f"_reported_{c}") for c in columns))
+    reporting = ~F.min("_only_own").over(Window.partitionBy("aggregate_location"))
+    return weeks.withColumn("_reporting", reporting).filter("_own").select(
+        "aggregate_location", "collect_weekstartdate",
+        *(F.when(F.col("_reporting"), F.col(f"_reported_{c}")).otherwise(F.col(c)).alias(c)
+          for c in columns))
+
+
 def merged_series(
     coded: DataFrame, cases: DataFrame, families: Mapping[str, Column], as_of: dt.date,
     first: dt.date = K.FIRST_DATE, aggregate_codes: Sequence[str] = K.AGGREGATE_CODES_15,
+    weight: str | None = None,
 ) -> DataFrame:
     """Cases per country and day, completed, with lineage-family counts.
 
+    With ``weight``, ``coded`` is a cube of the records (see ``lineage_counts.record_cube``).
+
     ``coded`` needs ``code`` and ``collection_date``.  Counts and new cases are
     zero in gaps; population and the other attributes stay null there.
     """
     last = as_of - dt.timedelta(days=1)
     counts = lineage_counts.family_counts(
         filters.in_dates(coded, "collection_date", first, last),
-        ["code", "collection_date"], families,
+        ["code", "collection_date"], families, weight=weight,
     ).withColumnsRenamed({"code": "country_code", "collection_date": "date"})
     series = filters.without_values(
         filters.in_dates(cases, "date", first, last), "iso_code", aggregate_codes,

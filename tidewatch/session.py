@@ -42,18 +42,21 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one.  Only a session on one machine that names none gets a
+    temporary one."""
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    return f"{shared_folder(spark, tempfile.gettempdir() if local else None)}/tidewatch-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, for tables that several plans read.
 
-    What was written needs no lineage: a lost executor costs its tasks, not the table.  Only a
-    session on one machine that names no folder gets a temporary one.
+    What was written needs no lineage: a lost executor costs its tasks, not the table.
     """
-    spark = df.sparkSession
-    local = spark.sparkContext.master.split("[")[0] == "local"
-    folder = shared_folder(spark, tempfile.gettempdir() if local else None)
-    path = f"{folder}/stored-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(df.sparkSession)}/table"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:

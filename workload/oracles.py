@@ -949,6 +949,37 @@ QUERIES = {
                  AS change_customers
         FROM (SELECT day, count(*) AS o, count(DISTINCT o_custkey) AS c
               FROM {ORDER_DAYS} GROUP BY day)""",
+    "metadata_files": """
+        SELECT location, collected, count(*) AS n, CAST(sum(len) AS BIGINT) AS total_length,
+               count(n_content) AS n_content, max(submitted) AS last_submission
+        FROM metadata GROUP BY 1, 2""",
+    "case_files": "SELECT iso_code, date, new_cases FROM cases",
+    "submission_files": """
+        SELECT region || ' / ' || country AS location, submission_date, count(*) AS n,
+               count(DISTINCT pango_lineage) AS n_lineages
+        FROM line_list GROUP BY 1, 2""",
+    "geometry_files": """
+        SELECT geometry, name AS "Name", country_code FROM shapes WHERE geometry IS NOT NULL""",
+    "country_files": """
+        SELECT n_name AS country, n_nationkey * 1.5::DOUBLE AS longitude,
+               CAST(n_nationkey * 1000 AS BIGINT) AS population_2019,
+               CASE WHEN n_nationkey = 12 THEN 'NA' ELSE lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS x2_letter_iso_code,
+               'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS x3_letter_iso_code
+        FROM nation""",
+    "csv_sink": "SELECT country, code, submission_date, n FROM feed",
+    "snapshot_master": """
+        SELECT code, 'place ' || code AS location, confirmed, probable, timestamp,
+               CAST(timestamp AS DATE) AS snapshot_day, strftime(timestamp, '%Y-%m-%d-%H') AS snapshot_hour
+        FROM snaps""",
+    "seq_kept_up": """
+        SELECT country, date, n, lag(n, 30) OVER w AS n_lag_30,
+               round(n / NULLIF(CAST(lag(n, 30) OVER w AS DOUBLE), 0), 6) AS r
+        FROM (SELECT k.country, date, count(l.country) AS n
+              FROM (SELECT DISTINCT country FROM line_list) k CROSS JOIN calendar
+              LEFT JOIN line_list l ON l.country = k.country
+                   AND l.collection_date BETWEEN date - 29 AND date AND l.submission_date <= date
+              GROUP BY 1, 2)
+        WINDOW w AS (PARTITION BY country ORDER BY date)""",
     "seq_last_30": "SELECT date, n, n_lag_30, round(r, 6) AS r FROM thirty",
     "seq_last_30_by_country": """
         SELECT k.code, date, count(l.code) AS n

@@ -13,6 +13,9 @@ from tidewatch.operators import (
     rollups, trailing_counts, windows,
 )
 from tidewatch.plans import country_day, extracts, line_list, summary, toplines
+from tidewatch.session import scratch_folder, stored
+from tidewatch.sources import readers, schemas, writers
+from tidewatch.streaming import feed as live
 from workload import views as V
 
 QUERIES = {}
@@ -798,10 +801,26 @@ def topline_series(spark, sf):
     return toplines.topline_series(global_totals(spark, sf), thirty_day(spark, sf))
 
 
-@V.view
+def line_cube(spark, sf, lineage=True):
+    """The line list as a stored cube; a job reads its records through it once."""
+    families = V.families() if lineage else {}
+    return lineage_counts.record_cube(V.coded_list(spark, sf, lineage), families), families
+
+
+def merged_from(spark, sf, cube, families):
+    return country_day.merged_series(
+        cube, V.case_series(spark, sf, aggregates=False), families, V.AS_OF, V.FIRST, weight="n")
+
+
 def series_by_day(spark, sf):
-    return toplines.global_series(
-        reconciled_days(spark, sf), global_totals(spark, sf), thirty_day(spark, sf))
+    cube, _ = line_cube(spark, sf, lineage=False)
+    daily = toplines.reconcile_daily(
+        toplines.cumulative_feed(lineage_counts.submissions(cube)), daily_snapshots(spark, sf))
+    totals = toplines.global_daily(
+        country_day.rolling_series(merged_from(spark, sf, cube, {})), V.LAST)
+    recent = trailing_counts.with_lag_30(trailing_counts.trailing_counts(
+        cube, "collection_date", "submission_date", V.FIRST, V.LAST, weight="n"))
+    return toplines.global_series(daily, totals, recent)
 
 
 @query
@@ -837,16 +856,8 @@ def reported_vaccination_daily(spark, sf):
 
 @query
 def vaccination_overwrite(spark, sf):
-    weekly = V.case_series(spark, sf).groupBy(
-        F.initcap(F.coalesce("continent", "location")).alias("aggregate_location"),
-        dates.week_start(F.col("date")).alias("collect_weekstartdate"),
-    ).agg(F.max("people_vaccinated_per_hundred").alias("people_vaccinated_per_hundred"),
-          F.max("people_fully_vaccinated_per_hundred")
-          .alias("people_fully_vaccinated_per_hundred"))
-    reported = country_day.reported_vaccination(V.case_series(spark, sf))
-    return rollups.overwrite_reported(
-        weekly, reported, ["aggregate_location", "collect_weekstartdate"],
-        "aggregate_location",
+    return country_day.weekly_vaccination(
+        V.case_series(spark, sf), F.initcap(F.coalesce("continent", "location")),
         ["people_vaccinated_per_hundred", "people_fully_vaccinated_per_hundred"])
 
 
@@ -928,9 +939,11 @@ def places(spark, sf):
 
 @query
 def map_attributes(spark, sf):
-    recent = summary.recent_metrics(merged(spark, sf), V.AS_OF).select(
+    cube, families = line_cube(spark, sf, lineage=False)
+    recent = summary.recent_metrics(merged_from(spark, sf, cube, families), V.AS_OF).select(
         "country_code", "max_prevalence_variant_pct")
-    out = extracts.map_attributes(recent, places(spark, sf).drop("id"), V.feed_counts(spark, sf))
+    out = extracts.map_attributes(
+        recent, places(spark, sf).drop("id"), lineage_counts.submissions(cube))
     return digits(out, "log10_max_prevalence_variant_pct")
 
 
@@ -940,10 +953,11 @@ def map_polygons(spark, sf):
     vertices = V.table(spark, sf, "customer").select(
         F.col("c_nationkey").cast("string").alias("id"), F.col("c_acctbal").alias("long"),
         F.col("c_custkey").alias("vertex"))
-    recent = summary.recent_metrics(merged(spark, sf), V.AS_OF).select(
+    cube, families = line_cube(spark, sf, lineage=False)
+    recent = summary.recent_metrics(merged_from(spark, sf, cube, families), V.AS_OF).select(
         "country_code", "sequences_in_last_30_days")
     return extracts.map_polygons(
-        vertices, places(spark, sf), recent, V.feed_counts(spark, sf))
+        vertices, places(spark, sf), recent, lineage_counts.submissions(cube))
 
 
 @query
@@ -953,7 +967,7 @@ def flow_table(spark, sf):
 
 @query
 def flow_diagonal(spark, sf):
-    return extracts.flow_diagonal(V.flows(spark, sf), 50, seed=7)
+    return extracts.flow_diagonal(stored(V.flows(spark, sf)), 50, seed=7)  # flows are landed files
 
 
 @query
@@ -1088,3 +1102,101 @@ def first_per_key(spark, sf):
 @query
 def sorted_series(spark, sf):
     return V.feed_counts(spark, sf).orderBy("country", "submission_date")
+
+
+# --- files and sinks: the given tables as landed files, read back by the library ------------------
+
+def landed(df: DataFrame, name: str, sep: str = ",", header: bool = True) -> str:
+    """``df`` as delimited files in a new folder."""
+    path = f"{scratch_folder(df.sparkSession)}/{name}"
+    df.write.option("header", header).option("sep", sep).csv(path)
+    return path
+
+
+@query
+def metadata_files(spark, sf):
+    """The metadata extract from files whose columns differ in order and number."""
+    rows = V.metadata(spark, sf)
+    first = F.pmod(F.crc32(F.col("Accession ID").cast("binary")), F.lit(2)) == 0
+    one = landed(rows.filter(first), "given", "\t")
+    other = rows.filter(~first).select(*(F.col(f"`{c}`") for c in rows.columns[::-1]), F.lit(1).alias("extra"))
+    back = readers.read_delimited(spark, [one, landed(other, "turned", "\t")], schemas.METADATA, sep="\t")
+    return back.groupBy(F.col("Location").alias("location"), F.col("Collection date").alias("collected")).agg(
+        F.count("*").alias("n"), F.sum("Sequence length").alias("total_length"),
+        F.count("N-Content").alias("n_content"), F.max("Submission date").alias("last_submission"))
+
+
+@query
+def case_files(spark, sf):
+    """The case series from a file, three of its columns."""
+    series = V.case_series(spark, sf)
+    wide = series.select(*(F.col(f.name) if f.name in series.columns else F.lit(None).cast("string").alias(f.name)
+                           for f in schemas.CASES))
+    return readers.read_cases(spark, landed(wide, "cases"), ["iso_code", "date", "new_cases"])
+
+
+@query
+def submission_files(spark, sf):
+    """Submissions per place and day from a folder of tab-separated files."""
+    rows = V.line_list(spark, sf, lineage=True).select(
+        F.col("accession_id").alias("Accession ID"), F.concat_ws(" / ", "region", "country").alias("Location"),
+        F.col("submission_date").alias("Submission date"), F.col("pango_lineage").alias("Lineage"))
+    back = readers.read_submissions(spark, landed(rows.repartition(20), "submissions", "\t"))
+    return back.groupBy("location", "submission_date").agg(
+        F.count("*").alias("n"), F.countDistinct("lineage").alias("n_lineages"))
+
+
+@query
+def geometry_files(spark, sf):
+    shapes = V.geometry(spark, sf).withColumnRenamed("country_code", "3-letter ISO code")
+    return readers.read_geometry(spark, landed(shapes.select("Name", "3-letter ISO code", "geometry"), "shapes", "\t"))
+
+
+@query
+def country_files(spark, sf):
+    """The country dimension, with a code that must not be read as null."""
+    n = V.nations(spark, sf)
+    rows = n.select(
+        F.col("country").alias("Country"), (F.col("n_nationkey") * 1.5).alias("Longitude"),
+        (F.col("n_nationkey") * -2.25).alias("Latitude"), F.col("region").alias("World Bank region"),
+        (F.col("n_nationkey") * 1000).alias("Population (2019)"), F.substring("region", 1, 3).alias("World Bank region (short)"),
+        F.when(F.col("n_nationkey") == 12, "NA").otherwise(F.substring("code", 2, 2)).alias("2-letter ISO code"),
+        F.col("code").alias("3-letter ISO code"))
+    return readers.read_countries(spark, landed(rows, "countries")).select(
+        "country", "longitude", "population_2019", "x2_letter_iso_code", "x3_letter_iso_code")
+
+
+@query
+def csv_sink(spark, sf):
+    """Daily submissions written twice as CSV and read back."""
+    path = f"{scratch_folder(spark)}/out"
+    for _ in range(2):
+        writers.write_csv(V.feed_counts(spark, sf), path)
+    return readers.read_delimited(spark, path, schemas.FEED_COUNTS)
+
+
+@query
+def snapshot_master(spark, sf):
+    """Scrapes added to the master in two overlapping runs; each counts once."""
+    path = f"{scratch_folder(spark)}/master"
+    rows = V.snapshots(spark, sf)
+    day = F.dayofmonth("timestamp")
+    for part in (day <= 20, day >= 10, day >= 25):
+        writers.write_snapshot(rows.filter(part), path)
+    return spark.read.parquet(path).select(
+        "code", "location", "confirmed", "probable", "timestamp", "snapshot_day", "snapshot_hour")
+
+
+@query
+def seq_kept_up(spark, sf):
+    """The 30-day series of every country, kept up as feed files land, with compactions."""
+    folder = scratch_folder(spark)
+    rows = V.line_list(spark, sf, lineage=True).select(
+        "accession_id", "country", F.concat_ws(" / ", "region", "country").alias("location"), "submission_date",
+        "collection_date", F.lit("G").alias("clade"), "pango_lineage")
+    rows.repartition(6).write.csv(f"{folder}/landing")
+    feed = live.landed_feed(spark, f"{folder}/landing", files_per_batch=1)
+    live.keep_deltas(feed, f"{folder}/deltas", f"{folder}/checkpoint", keys=["country"],
+                     compact_every=2).awaitTermination()
+    out = live.current_series(spark, f"{folder}/deltas", V.FIRST, V.LAST, ["country"])
+    return digits(out.select("country", "date", "n", "n_lag_30", "r"), "r")
