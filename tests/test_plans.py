@@ -30,7 +30,8 @@ def scans(plan, table):
     ("topline_table", "lineitem", 0), ("topline_table", "orders", 1), ("global_series", "lineitem", 0),
     ("map_attributes", "lineitem", 0), ("map_polygons", "lineitem", 0), ("map_polygons", "orders", 1),
     ("latest_snapshot", "events", 1), ("reconciled_summary", "events", 1),
-    ("flow_diagonal", "lineitem", 0), ("vaccination_overwrite", "orders", 1)])
+    ("nearest_snapshot", "events", 1), ("nearest_event", "events", 1), ("topline_table", "events", 1),
+    ("seq_refresh", "lineitem", 1), ("submission_grid", "lineitem", 0), ("flow_diagonal", "lineitem", 0), ("vaccination_overwrite", "orders", 1)])
 def test_scans(spark, plan_of, name, table, most):
     """The line list is read by the job that stores its cube, and not again."""
     assert scans(plan_of(E.queries()[name](spark, SF)), table) <= most

@@ -87,9 +87,9 @@ def daily_snapshot(df: DataFrame, ts: str, pick: str, hour: float = 13.0,
     """Per day, the rows of one snapshot; ties stay.
 
     ``pick='nearest'`` takes the time closest to ``hour``; ``pick='earliest'``
-    the first of the day, which is what ``abs(time) - hour`` selects.  The
-    minimum per day is joined back, so a busy day is never sorted; Spark broadcasts
-    the minima if their size allows.
+    the first of the day, which is what ``abs(time) - hour`` selects.  The table is read
+    once: every partition keeps its own best rows of a day, ties included, and just those
+    are dealt out by day, however busy it is.
     """
     clock = time_of_day(F.col(ts))
     if pick == "nearest":
@@ -99,8 +99,9 @@ def daily_snapshot(df: DataFrame, ts: str, pick: str, hour: float = 13.0,
     else:
         raise ValueError(f"unknown pick: {pick}")
     rows = df.withColumn(day, F.to_date(ts)).withColumn("time_diff", diff)
-    best = rows.groupBy(day).agg(F.min("time_diff").alias("time_diff"))
-    return rows.join(best, [day, "time_diff"], "left_semi")
+    place = F.rank().over(Window.partitionBy(day).orderBy("time_diff"))
+    return rows.filter(F.col(ts).isNotNull()).withColumn("_nth", place).filter(
+        F.col("_nth") == 1).drop("_nth")
 
 
 def two_day_change(df: DataFrame, day: str, columns: Sequence[str], today: dt.date,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewatch import constants as K
 from tidewatch.functions import dates, text
 from tidewatch.operators import calendar, crosswalk, flags, lineage_counts
+from tidewatch.session import stored
 
 CLEAN_COLUMNS = (
     "collection_date_text", "accession_id", "pango_lineage", "location_text",
@@ -82,11 +83,14 @@ def code_line_list(feed: DataFrame, country_codes: DataFrame, as_of: dt.date,
 
 
 def submission_grid(feed: DataFrame, country_codes: DataFrame) -> DataFrame:
-    """Records per country and submission day, completed over observed values."""
+    """Records per country and submission day, completed over observed values.
+
+    The counts are stored, since days and countries are read from them again.
+    """
     counted = feed.groupBy(
         text.location_part(F.col("location"), 1).alias("country"), "submission_date",
     ).agg(F.count("*").alias("n")).dropna(subset=["country", "submission_date"])
-    return complete_submissions(counted, country_codes)
+    return complete_submissions(stored(counted), country_codes)
 
 
 def complete_submissions(counts: DataFrame, country_codes: DataFrame) -> DataFrame:

@@ -38,8 +38,11 @@ def testing_metrics(testing: DataFrame, country_codes: DataFrame, as_of: dt.date
     """
     last = as_of - dt.timedelta(days=1)
     rows = testing_series(testing, country_codes).withColumn("code", F.coalesce("code", F.lit(NO_CODE)))
+    # the first day needs no code, so the names are not looked up for it
+    first = calendar.first_day(testing.filter(F.col("set") == "country").select(
+        F.col("time").cast("date").alias("date")), "date")
     dense = calendar.zero_fill(
-        calendar.densify(rows, ["code"], None, last),
+        calendar.densify(rows, ["code"], first, last),
         ["new_tests_cap", "new_tests_all"])
     rate = numbers.ratio(F.col("new_tests_all"), F.col("pop_100k"))
     averaged = dense.withColumn("rate", rate).withColumn(

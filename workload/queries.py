@@ -594,9 +594,9 @@ def submission_aware_series(spark, sf):
 @query
 def seq_refresh(spark, sf):
     """Series stored up to the end of 2000, brought up to date."""
-    stored = thirty_day(spark, sf, dt.date(2000, 12, 31))
+    master = stored(thirty_day(spark, sf, dt.date(2000, 12, 31)))
     out = trailing_counts.refresh_series(
-        stored, V.line_list(spark, sf).select("collection_date", "submission_date"),
+        master, V.line_list(spark, sf).select("collection_date", "submission_date"),
         "collection_date", "submission_date", V.LAST)
     return digits(out, "r")
 
