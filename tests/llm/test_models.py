@@ -1,11 +1,14 @@
 """Language and toxicity: hand-made cases, and accuracy on rows that were held out."""
 
+import math
 import os
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import language, toxicity
 
@@ -96,3 +99,79 @@ def test_toxicity_accuracy(spark):
     hit, toxic, false, clean = got.selectExpr(
         "sum(toxic * predicted)", "sum(toxic)", "sum((1 - toxic) * predicted)", "sum(1 - toxic)").first()
     assert hit > 0.9 * toxic and false < 0.01 * clean
+
+
+def alone(spark, docs, n, toxic, clean_words, toxic_words):
+    """``n`` documents of plain words, the first ``toxic`` of every part with a toxic word."""
+    rng = random.Random(n)
+    plain = ["".join(rng.choice("bcdfglmnr") + rng.choice("aou") for _ in range(3)) for _ in range(600)]
+    rows, marks = [], []
+    for i in range(n):
+        w = [rng.choice(plain) for _ in range(rng.randint(8, 40))]
+        w.insert(rng.randrange(1, len(w)), rng.choice(toxic_words if toxic(i) else clean_words))
+        rows.append((i, " ".join(w)))
+        marks.append((i, 0, int(toxic(i))))
+    return rows, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def caught(docs, rows, labels, toxic):
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs(rows), labels).collect()}
+    return sum(got[i] for i, _ in rows if toxic(i)), sum(got[i] for i, _ in rows if not toxic(i))
+
+
+def test_short_words_are_entries(docs, spark):
+    toxic = lambda i: i % 5 == 0
+    rows, labels = alone(spark, docs, 3000, toxic, ["mild"], ["ugh"])
+    assert caught(docs, rows, labels, toxic) == (600, 0)
+
+
+def test_a_word_whose_clean_documents_are_one_phrase(docs, spark):
+    toxic = lambda i: i % 15 == 0
+    rows, labels = alone(spark, docs, 1500, toxic, ["pond scum"], ["scum"])
+    assert caught(docs, rows, labels, toxic) == (100, 0)
+
+
+def test_matching_is_linear_and_exact():
+    lexicon = toxicity.Lexicon({" scum": 3.0, " scumb": 4.0, " ugh ": 2.5}, (" pond scum ", " scum pond "))
+    matcher = lexicon.matcher()
+    start = time.perf_counter()
+    assert toxicity.hits(toxicity.fold("pond scum " * 200_000), matcher) == []
+    assert len(toxicity.hits(toxicity.fold("scum " * 200_000), matcher)) == 200_000
+    assert time.perf_counter() - start < 20
+
+
+def plain_strength(text, lexicon):
+    """Every entry and exception tried at every word."""
+    folded = toxicity.fold(text)
+    free = [(i, i + len(p) - 1) for p in lexicon.exceptions
+            for i in range(len(folded)) if folded.startswith(p, i)]
+    total = 0.0
+    for i, c in enumerate(folded):
+        found = [w for k, w in lexicon.weights.items() if c == " " and folded.startswith(k, i)]
+        if found and not any(a <= i < b for a, b in free):
+            total += max(found)
+    return total / (1 + math.log1p(folded.count(" ") / 100)) if total else 0.0
+
+
+def test_scores_are_those_of_a_plain_search(docs, spark):
+    rows, labels = labelled(spark)
+    rng = random.Random(8)
+    rows += [(5000 + i, " ".join(rng.choice(["pond", "scum", "scums", "idiot", "1diot", "x", "pond scum"])
+                                 for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    lexicon = toxicity.learn_from(docs(rows), labels)
+    assert lexicon.weights and lexicon.exceptions
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs(rows), labels).collect()}
+    for i, text in rows:
+        assert abs(got[i] - lexicon.score(plain_strength(text, lexicon))) < 1e-9
+
+
+def test_toxicity_stage_on_odd_tables(docs, spark):
+    rows, labels = labelled(spark)
+    rows += [(None, None), (7000, None), (7001, ""), (7002, "you idiot"), (7002, "you idiot")]
+    made = docs(rows).withColumn("toxic", F.lit(1)).withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    kept = toxicity.drop_toxic(made, labels)
+    assert kept.columns == made.columns
+    left = [r.doc_id for r in kept.collect()]
+    assert {None, 7000, 7001} <= set(left) and 7002 not in left
+    assert toxicity.drop_toxic(made.limit(0), labels).collect() == []
+    assert toxicity.drop_toxic(made, labels.limit(0)).count() == len(rows)

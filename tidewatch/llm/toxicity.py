@@ -17,22 +17,24 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batch_of, crc_mod, kept_rows, rolled, word_hashes
 
 #: Labelled documents that the lexicon is learned from, about.
 SAMPLE_DOCS = 40_000
-#: Lengths of word beginnings that may become lexicon entries.
+#: Lengths of word beginnings that may become lexicon entries; shorter words enter whole.
 STEMS = (4, 5, 6, 7, 8, 12)
 #: Least log odds of an entry, and entries at most.
 LEAST_WEIGHT, MOST_ENTRIES = 2.0, 20_000
-#: Log odds from which a word is looked at for exceptions.
-MAYBE_WEIGHT = 0.3
+#: Log odds from which a key is counted again without exceptions; toxic documents it needs.
+MAYBE_WEIGHT, LEAST_DOCS = 0.3, 3
 #: An exception is a two-word phrase seen in this many clean documents, and in no more
 #: than a tenth as many toxic ones.
 EXCEPTION_DOCS = 3
+#: Phrases, the most frequent ones, that are taken off a word before its odds are judged.
+PHRASES_OFF = 8
 
 #: Letters that look like Latin ones, and digits and signs used for letters.
 LOOK_ALIKES = {
@@ -73,7 +75,10 @@ class Lexicon:
 
 
 def hits(folded: str, matcher: ahocorasick.Automaton) -> list[tuple[int, float]]:
-    """Begin and weight of each word that an entry begins, without those in exceptions."""
+    """Begin and weight of each word that an entry begins, without those in exceptions.
+
+    Both come in the order of the text and are merged, so time is linear in its length.
+    """
     best: dict[int, float] = {}
     free: list[tuple[int, int]] = []
     if not len(matcher):
@@ -84,7 +89,18 @@ def hits(folded: str, matcher: ahocorasick.Automaton) -> list[tuple[int, float]]
             best[begin] = max(weight, best.get(begin, 0.0))
         else:
             free.append((begin, end))
-    return [(b, w) for b, w in best.items() if not any(x <= b < y for x, y in free)]
+    return [(b, best[b]) for b in _outside(sorted(best), free)]
+
+
+def _outside(places: list[int], free: list[tuple[int, int]]) -> Iterator[int]:
+    """Those of the ascending ``places`` that lie in none of the ranges."""
+    ranges, at, reach = sorted(free), 0, -1
+    for place in places:
+        while at < len(ranges) and ranges[at][0] <= place:
+            reach = max(reach, ranges[at][1])
+            at += 1
+        if place >= reach:
+            yield place
 
 
 def strength(folded: str, matcher: ahocorasick.Automaton) -> float:
@@ -93,15 +109,23 @@ def strength(folded: str, matcher: ahocorasick.Automaton) -> float:
     return sum(w for _, w in found) / (1 + math.log1p(folded.count(" ") / 100)) if found else 0.0
 
 
+def _stems_of(word: str) -> list[str]:
+    """The entries that could find a word: its beginnings, or all of a short word."""
+    if len(word) < STEMS[0]:
+        return [f" {word} "]
+    return [" " + word[:n] for n in STEMS if len(word) >= n]
+
+
 def _stems(folded: str) -> set[str]:
-    out = set()
-    for w in set(folded.split()):
-        out.update(" " + w[:n] for n in STEMS if len(w) >= n)
-    return out
+    return {k for w in set(folded.split()) for k in _stems_of(w)}
+
 
+def _stems_and_words(folded: str) -> set[str]:
+    return _stems(folded) | {f" {w} " for w in set(folded.split())}
 
-def _counted(rows: DataFrame, keys, least: int) -> dict[str, tuple[int, int]]:
-    """(clean, toxic) documents of each key that has ``least`` documents of either kind."""
+
+def _counted(rows: DataFrame, keys) -> DataFrame:
+    """(key, clean, toxic): documents of both kinds that have the key."""
     schema = pa.schema([("key", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,12 +136,34 @@ def _counted(rows: DataFrame, keys, least: int) -> dict[str, tuple[int, int]]:
             for toxic, t in enumerate(tally):
                 yield batch_of(schema, list(t), [toxic] * len(t), list(t.values()))
 
-    counted = (rows.mapInArrow(run, "key string, toxic int, n long").groupBy("key").agg(
+    return rows.mapInArrow(run, "key string, toxic int, n long").groupBy("key").agg(
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean"),
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic")))
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"))
+
+
+def _told(counted: DataFrame, least: str) -> dict[str, tuple[int, int]]:
     return {k: (c, t) for k, c, t in counted.filter(least).collect()}
 
 
+def _clean_phrases(rows: DataFrame, words: dict[str, tuple[int, int]]) -> DataFrame:
+    """(word, phrase, clean, toxic): the most frequent harmless phrases of each of ``words``.
+
+    A phrase is the word and a neighbour.  Phrases are counted where the texts are, whatever
+    the odds of the word, and the ``PHRASES_OFF`` of a word with most clean documents stay.
+    """
+    wanted = set(words)
+
+    def phrases(folded: str) -> set[str]:
+        ws = folded.split()
+        return {f" {a} {b} " for a, b in zip(ws, ws[1:]) if a in wanted or b in wanted}
+
+    counted = _counted(rows, phrases).filter(f"clean >= {EXCEPTION_DOCS} and toxic * 10 <= clean")
+    each = counted.select(F.explode(F.array_distinct(F.split(F.trim("key"), " "))).alias("word"),
+                          F.col("key").alias("phrase"), "clean", "toxic")
+    nth = F.row_number().over(Window.partitionBy("word").orderBy(F.col("clean").desc(), "phrase"))
+    return each.withColumn("nth", nth).filter(F.col("nth") <= PHRASES_OFF).drop("nth")
+
+
 def _least_shingle(docs: DataFrame) -> DataFrame:
     """``docs`` with the least hash of the text's four-word shingles: near copies agree."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("like", pa.int64())])
@@ -158,6 +204,8 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
         def strong(found: dict[str, tuple[int, int]], least: float) -> dict[str, float]:
             out = {}
             for k, (c, t) in found.items():
+                if t < LEAST_DOCS:
+                    continue
                 share = t / (c + t)
                 weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
                 surprise = t * math.log(share / p) + (c * math.log((1 - share) / (1 - p)) if c else 0)
@@ -165,38 +213,33 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
                     out[k] = weight
             return out
 
-        # Candidates may owe their clean documents to exceptions: they are counted again.
-        found = _counted(one, _stems, "toxic >= 3 and toxic * 3 > clean")
-        maybe = strong(found, MAYBE_WEIGHT)
+        found = _told(_counted(one, _stems_and_words), f"toxic >= {LEAST_DOCS}")
+        # Words that could be entries if their clean documents were due to harmless phrases: for
+        # those the phrases are counted, and the odds are judged without them.
+        words = {k.strip(): v for k, v in found.items()
+                 if k.endswith(" ") and strong({k: (0, v[1])}, LEAST_WEIGHT)}
+        harmless: dict[str, list[tuple[str, int, int]]] = {}
+        for word, phrase, c, t in _rescuing(one, words, clean, toxic).collect():
+            harmless.setdefault(word, []).append((phrase, c, t))
+        rescued = {w for w, ps in harmless.items() if strong(
+            {w: (max(0, words[w][0] - sum(c for _, c, _ in ps)), max(0, words[w][1] - sum(t for *_, t in ps)))},
+            LEAST_WEIGHT)}
+        exceptions = tuple(sorted({p for w in rescued for p, _, _ in harmless[w]}))
+        maybe = {k for k, _ in strong(found, MAYBE_WEIGHT).items()} | {
+            k for w in rescued for k in _stems_of(w)}
         made: list = []
 
-        def matcher():
+        def unspared(folded: str) -> set[str]:
             if not made:
-                made.append(Lexicon(maybe).matcher())
-            return made[0]
-
-        def phrases(folded: str) -> set[str]:
-            out, words = set(), folded.split(" ")
-            starts = {b: i for i, b in enumerate(np.cumsum([0, *(len(w) + 1 for w in words)]).tolist())}
-            for b, _ in hits(folded, matcher()):
-                i = starts.get(b + 1, 0)
-                if i > 1:
-                    out.add(f" {words[i - 1]} {words[i]} ")
-                if 0 < i < len(words) - 2:
-                    out.add(f" {words[i]} {words[i + 1]} ")
-            return out
-
-        spared = _counted(one, phrases, f"clean >= {EXCEPTION_DOCS} and toxic * 10 <= clean")
-        exceptions = tuple(sorted(spared, key=lambda k: (-spared[k][0], k))[:MOST_ENTRIES])
+                made.append(Lexicon({}, exceptions).matcher())
+            ws = folded.split()
+            begins = np.cumsum([0, *(len(w) + 1 for w in ws[:-1])]).tolist()
+            free = [(end - length + 1, end) for end, (length, _) in made[0].iter(folded)] if exceptions else []
+            left = set(_outside(begins, free))
+            return {k for w, b in zip(ws, begins) if b in left for k in _stems_of(w)} & maybe
+
+        weights = strong(_told(_counted(one, unspared), f"toxic >= {LEAST_DOCS}"), LEAST_WEIGHT)
         made.clear()
-
-        def unspared(folded: str) -> set[str]:
-            for k in (k for k in exceptions if k in folded):
-                folded = folded.replace(k, " ")
-            return _stems(folded) & maybe.keys()
-
-        weights = strong(_counted(one, unspared, "toxic >= 3") if exceptions else
-                         {k: v for k, v in found.items() if k in maybe}, LEAST_WEIGHT)
         kept: dict[str, float] = {}
         for k in sorted(weights, key=lambda k: (len(k), -weights[k], k))[:MOST_ENTRIES]:
             if not any(weights[k] < 1.2 * kept[k[:m]] for m in range(2, len(k)) if k[:m] in kept):
@@ -217,6 +260,22 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
         one.unpersist()
 
 
+def _rescuing(one: DataFrame, words: dict[str, tuple[int, int]], clean: int, toxic: int) -> DataFrame:
+    """Harmless phrases of the words whose log odds without them are those of an entry.
+
+    Judged in Spark, so only these, few of all words, reach the driver.
+    """
+    spark = one.sparkSession
+    counts = spark.createDataFrame([(w, c, t) for w, (c, t) in words.items()] or [("", 0, 0)],
+                                   "word string, all_clean long, all_toxic long")
+    phrases = _clean_phrases(one, words)
+    whole = Window.partitionBy("word")
+    left = lambda have, off: F.greatest(F.col(have) - F.sum(off).over(whole), F.lit(0))
+    odds = (F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
+    return (phrases.join(counts, "word").withColumns({"c": left("all_clean", "clean"), "t": left("all_toxic", "toxic")})
+            .filter(odds >= LEAST_WEIGHT).select("word", "phrase", "clean", "toxic"))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
     """Slope and offset of a logistic regression, by Newton steps."""
     a = np.stack([x, np.ones_like(x)], axis=1)
