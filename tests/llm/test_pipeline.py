@@ -4,6 +4,7 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewatch.llm import mixing, simhash, toxicity
@@ -48,6 +49,42 @@ def test_mix_repeats_rows(docs):
     assert mixing.repeat_mixed(docs([])).collect() == []
 
 
+CLASHING = ("mix_times", "n_rows", "n_taken", "mix_nth", "mix_key", "key", "row", "row_key", "times", "copies",
+            "toxic", "component_id", "fp", "a.b", "first", "drawn", "whole", "u")
+
+
+def odd_table(docs):
+    """Nulls, empty and repeated rows, clashing names and a map."""
+    rows = [(None, None, None, None)] * 3 + [(1, "", "en", "s"), (1, "", "en", "s"), (2, None, "en", "s")] + [
+        (i, f"some words of text number {i} that is its own " * 3, "en", "st"[i % 2]) for i in range(10, 60)]
+    made = docs(rows).withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    for i, c in enumerate(CLASHING):
+        made = made.withColumn(c, F.lit(i))
+    return made
+
+
+def test_stages_keep_any_column(docs, spark, tmp_path):
+    made = odd_table(docs)
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, made, str(tmp_path))
+        assert got.columns == made.columns, name
+        rows = got.collect()
+        assert rows and all(r["m"] == {"a": 1} and [r[c] for c in CLASHING] == list(range(len(CLASHING)))
+                            for r in rows), name
+        assert {r.doc_id for r in rows} <= {r.doc_id for r in made.collect()}
+        assert stage(spark, made.limit(0), str(tmp_path)).collect() == []
+    assert corpus_pipeline.STAGES[-1][1](spark, made, str(tmp_path)).count() == made.count()
+
+
+def test_empty_pipeline(spark, docs, tmp_path):
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in docs.collect()}

@@ -160,11 +160,17 @@ def rolled(h: np.ndarray, width: int, seed: int) -> np.ndarray:
 
 
 def with_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a column, of the name returned, that equal rows and only they share."""
+    """``docs`` with a column, of the name returned, that equal rows and only they share.
+
+    Columns that hold maps, which have no hash, enter as JSON.
+    """
     name = "row_key"
     while name in docs.columns:
         name += "_"
-    return docs.withColumn(name, F.xxhash64(*docs.columns)), name
+    quoted = [F.col("`" + f.name.replace("`", "``") + "`") for f in docs.schema]
+    values = [F.to_json(F.struct(c)) if "map<" in f.dataType.simpleString() else c
+              for c, f in zip(quoted, docs.schema, strict=True)]
+    return docs.withColumn(name, F.xxhash64(*values)), name
 
 
 def kept_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
@@ -173,7 +179,11 @@ def kept_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) ->
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # mapInArrow resolves names as expressions, so names that are none stand back meanwhile
+    plain = [c if c.isidentifier() else f"{i} {c}".replace(".", " ").replace("`", " ")
+             for i, c in enumerate(docs.columns)]
+    named = docs.toDF(*plain)
+    return named.mapInArrow(run, named.schema).toDF(*docs.columns)
 
 
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:

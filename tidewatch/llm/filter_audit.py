@@ -37,7 +37,7 @@ FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_SHARE, UPPER_SHARE = 100, 80, 10
 MARKS = b"#$%&*|"
 #: Texts of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 #: Long texts are cut into words in pieces of this size.
 PIECE_BYTES = 1 << 20
 

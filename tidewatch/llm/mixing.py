@@ -70,22 +70,27 @@ def mix_documents(docs: DataFrame, seed: str = "mix", most: int = MOST_COPIES) -
 
 
 def repeat_mixed(docs: DataFrame, seed: str = "mix", most: int = MOST_COPIES) -> DataFrame:
-    """The mix itself: each row of ``docs``, all columns, as often as it is taken."""
-    docs, key = with_key(docs)
-    taken = (_allocated(docs.withColumn("mix_key", F.col(key)), seed, most)
-             .groupBy(F.col("key").alias(key)).agg(F.sum("copies").alias("n_taken"), F.count("*").alias("n_rows"))
-             .filter("n_taken > 0"))
-    taken = checkpointed(taken)
-    once = docs.join(taken.filter("n_rows = 1").select(key, F.col("n_taken").alias("mix_times")), key)
-    # Rows that are alike share what was drawn for them.
-    alike = (docs.join(taken.filter("n_rows > 1"), key)
-             .withColumn("mix_nth", F.row_number().over(Window.partitionBy(key).orderBy(key)))
-             .withColumn("mix_times", F.expr(
-                 "n_taken div n_rows + int(mix_nth <= n_taken % n_rows)").cast("long"))
-             .drop("mix_nth", "n_taken", "n_rows"))
-    return (once.unionByName(alike).filter("mix_times > 0")
-            .withColumn("mix_times", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_times"))))
-            .drop("mix_times", key))
+    """The mix itself: each row of ``docs``, all columns, as often as it is taken.
+
+    ``docs`` needs doc_id, text and source and may have any other columns, of any name and
+    type.  Nulls, empty texts and ties are as in :func:`mix_documents`; rows that are alike
+    share what was drawn for them.  An empty table gives an empty result.
+    """
+    keyed, key = with_key(docs)
+    names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    rows = keyed.select(F.col(key).alias("key"), F.struct(*names).alias("row"))
+    taken = checkpointed(
+        _allocated(keyed.select("doc_id", "text", "source", F.col(key).alias("mix_key")), seed, most)
+        .groupBy("key").agg(F.sum("copies").alias("n_taken"), F.count("*").alias("n_rows"))
+        .filter("n_taken > 0"))
+    once = rows.join(taken.filter("n_rows = 1").select("key", F.col("n_taken").alias("times")), "key")
+    alike = (rows.join(taken.filter("n_rows > 1"), "key")
+             .withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+             .withColumn("times", F.expr("n_taken div n_rows + int(nth <= n_taken % n_rows)").cast("long"))
+             .drop("nth", "n_taken", "n_rows"))
+    return (once.unionByName(alike).filter("times > 0")
+            .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+            .select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))
 
 
 def _allocated(docs: DataFrame, seed: str, most: int) -> DataFrame:
