@@ -175,3 +175,59 @@ def test_toxicity_stage_on_odd_tables(docs, spark):
     assert {None, 7000, 7001} <= set(left) and 7002 not in left
     assert toxicity.drop_toxic(made.limit(0), labels).collect() == []
     assert toxicity.drop_toxic(made, labels.limit(0)).count() == len(rows)
+
+
+@pytest.mark.parametrize("text", ["ab", "Ab c1", "", "x", "ΑΣ word ñandú " * 9, "字" * 40, " a  b ", "one two, three! " * 30])
+def test_long_texts_have_the_same_grams(text):
+    want, _, lettered = language.grams([text])
+    for size in (1, 2, 3, 7, 64, 10**6):
+        parts = list(language.long_grams(text, size))
+        assert sorted(np.concatenate([h for h, _ in parts])) == sorted(want)
+        assert any(x for _, x in parts) == lettered[0]
+
+
+def test_memory_of_a_long_text():
+    import tracemalloc
+    text = "the thing and that other thing " * (20_000_000 // 31)
+    language._letters()
+    tracemalloc.start()
+    assert sum(len(h) for h, _ in language.long_grams(text)) > 20_000_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200_000_000
+
+
+def test_languages_of_long_texts(docs, monkeypatch):
+    rows = [(i, "the thing and that other thing " * 3, "en") for i in range(40)]
+    rows += [(100 + i, "ñandú el niño y la niña " * 3, "es") for i in range(40)]
+    rows += [(200 + i, "the thing that " * 50_000, "en") for i in range(3)]
+    rows += [(500, "that thing " * 90_000, None), (501, "niño niña " * 90_000, None), (502, "1 " * 600_000, None)]
+    got = {r.doc_id: r.lang_pred for r in language.identify_languages(docs(rows)).collect()}
+    assert (got[500], got[501], got[502]) == ("en", "es", "und")
+
+
+def test_language_scores_are_those_of_sets(docs):
+    """The same scores from plain sets of n-grams, when no filter answers falsely."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["the", "thing", "that", "ñandú", "niño"][:3] if i % 2 else ["ñandú", "niño", "el"])
+                         for _ in range(12)), "en" if i % 2 else "es") for i in range(200)]
+    model = language.learn(docs(rows))
+    sets = {lang: set() for lang in model.languages}
+    h, owner, _ = language.grams([t for _, t, _ in rows])
+    counts = {lang: {} for lang in model.languages}
+    for gram, i in zip(h.tolist(), owner.tolist()):
+        c = counts[rows[i][2]]
+        c[gram] = c.get(gram, 0) + 1
+    rate = lambda lang, g: counts[lang].get(g, 0) / sum(counts[lang].values())
+    for lang, c in counts.items():
+        for g, n in c.items():
+            if n >= language.MIN_COUNT and rate(lang, g) >= language.KEEP * max(rate(x, g) for x in counts):
+                sets[lang].add(g)
+    false = dict(zip(model.languages, model.false_rates()))
+    got = {r.doc_id: r for r in language.predict(docs(rows), model).collect()}
+    for (i, text, _), seen in zip(rows, np.bincount(owner)):
+        hs, _, _ = language.grams([text])
+        left = {x: max(0, (sum(g in sets[x] for g in hs.tolist()) - seen * false[x]) / (1 - false[x])) for x in sets}
+        best = max(sorted(left), key=lambda x: left[x])
+        assert got[i].lang_pred == best
+        assert abs(got[i].score - left[best] / sum(left.values())) < 0.02

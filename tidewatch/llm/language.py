@@ -28,6 +28,8 @@ MOST_GRAMS = 50_000
 #: frequency in the language where it is most frequent, and was seen MIN_COUNT times.
 KEEP, MIN_COUNT = 0.4, 3
 ORDERS = (2, 3)
+#: Longer texts are taken in ranges of this many characters.
+RANGE_CHARS = 1 << 19
 HASHES = 3
 UNKNOWN = "und"
 
@@ -40,6 +42,26 @@ def _letters() -> np.ndarray:
     return _LETTER["is"]
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _ngrams(code: np.ndarray, n: int, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams at the first ``starts`` places, and which of them count."""
+    letter = _letters()[code]
+    symbol = np.where(letter, code, 0).astype(np.uint64)
+    if n == 2:
+        valid = letter[:starts] | letter[1:starts + 1]
+    else:
+        valid = np.ones(starts, bool)
+        for j in range(1, n - 1):
+            valid &= letter[j:j + starts]
+    h = np.full(starts, n, np.uint64)
+    for j, factor in enumerate(constants(11, 4)[:n]):
+        h += symbol[j:j + starts] * factor
+    return h, valid
+
+
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the texts' n-grams, the text of each, and whether a text has a letter.
 
@@ -47,34 +69,39 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     which an n-gram may begin or end but not continue.
     """
     lowered = [t.lower() for t in texts]
-    code = np.frombuffer("\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    code = _codes("\n".join([*lowered, ""]))
     owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])
-    letter = _letters()[code]
-    symbol = np.where(letter, code, 0).astype(np.uint64)
-    factors = constants(11, 4)
-    hashes, owners = [], []
+    lettered = np.bincount(owner[_letters()[code]], minlength=len(texts)) > 0
+    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n in ORDERS:
         m = len(code) - n + 1
-        if m <= 0:
-            continue
-        if n == 2:
-            valid = letter[:-1] | letter[1:]
-        else:
-            valid = np.ones(m, bool)
-            for j in range(1, n - 1):
-                valid &= letter[j:j + m]
-        valid &= owner[:m] == owner[n - 1:]
-        h = np.full(m, n, np.uint64)
-        for j in range(n):
-            h += symbol[j:j + m] * factors[j]
-        hashes.append(mix64(h[valid]))
-        owners.append(owner[:m][valid])
-    lettered = np.bincount(owner[letter], minlength=len(texts)) > 0
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), lettered
+        if m > 0:
+            h, valid = _ngrams(code, n, m)
+            valid &= owner[:m] == owner[n - 1:]
+            hashes.append(mix64(h[valid]))
+            owners.append(owner[:m][valid])
     return np.concatenate(hashes), np.concatenate(owners), lettered
 
 
+def long_grams(text: str, size: int = RANGE_CHARS) -> Iterator[tuple[np.ndarray, bool]]:
+    """The n-grams of one text, as :func:`grams` has them, and whether letters were seen, by ranges.
+
+    A range has the n-grams that begin in it, so neighbours overlap by one character less than
+    the longest n-gram; a task holds a range's arrays, whatever the length of the text.
+    """
+    full = text.lower() + "\n"
+    for at in range(0, len(full), size):
+        code = _codes(full[at:at + size + max(ORDERS) - 1])
+        found = []
+        for n in ORDERS:
+            m = min(size, len(full) - at - n + 1)
+            if m > 0:
+                h, valid = _ngrams(code, n, m)
+                found.append(mix64(h[valid]))
+        yield (np.concatenate(found) if found else np.zeros(0, np.uint64),
+               bool(_letters()[code[:size]].any()))
+
+
 @dataclass
 class Filter:
     """Bitmasks of languages, 64 a word: row r of word w is ``masks[w][r]``."""
@@ -136,6 +163,13 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Filter:
             names = sorted(set(langs))
             which = np.array([names.index(x) for x in langs])
             for a, b in pieces(texts):
+                if len(texts[a]) > RANGE_CHARS:
+                    for h, _ in long_grams(texts[a]):
+                        g, n = np.unique(h, return_counts=True)
+                        yield batch_of(schema, [langs[a]] * len(g), g.view(np.int64), n)
+                    a += 1
+                if a == b:
+                    continue
                 h, owner, _ = grams(texts[a:b])
                 lang = which[a:b][owner] if len(owner) else owner
                 for i in range(len(names)):
@@ -169,11 +203,18 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
             for a, b in pieces(texts):
-                h, owner, lettered = grams(texts[a:b])
                 if not model.languages:
                     continue
-                seen = np.bincount(owner, minlength=b - a)[:, None]
-                left = np.maximum(0, (model.counts(h, owner, b - a) - seen * false) / (1 - false))
+                if b - a == 1 and len(texts[a]) > RANGE_CHARS:
+                    seen, counts, lettered = np.zeros((1, 1)), np.zeros((1, len(false))), np.zeros(1, bool)
+                    for h, some in long_grams(texts[a]):
+                        seen += len(h)
+                        counts += model.counts(h, np.zeros(len(h), np.int64), 1)
+                        lettered |= some
+                else:
+                    h, owner, lettered = grams(texts[a:b])
+                    seen, counts = np.bincount(owner, minlength=b - a)[:, None], model.counts(h, owner, b - a)
+                left = np.maximum(0, (counts - seen * false) / (1 - false))
                 all_left = left.sum(axis=1)
                 best[a:b] = np.where(lettered, left.argmax(axis=1), len(names) - 1)
                 score[a:b] = np.where(lettered & (all_left > 0), left.max(axis=1)
