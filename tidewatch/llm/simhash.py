@@ -279,13 +279,23 @@ def near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFr
 
 
 def _members(rows: DataFrame, bits: int) -> DataFrame:
-    """(fp, component_id, root) of each fingerprint in ``rows`` (doc_id, fp)."""
+    """(fp, component_id, root) of each fingerprint in ``rows`` (doc_id, fp).
+
+    The nodes that are linked carry their least doc_id in front, known ids first, so the least
+    node of a component has the component's id: no component is gathered to find it.
+    """
     distinct = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct.select("fp"), bits))
-    member = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    label = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    return checkpointed(member.join(label, "root").select("fp", "component_id", "root"))
+    node = F.struct(F.col("first").isNull().alias("lost"), "first", "fp")
+    ends = distinct.select(F.col("fp").alias("end"), node.alias("node"))
+    pairs = links(distinct.select("fp"), bits)
+    for c in ("a", "b"):
+        pairs = pairs.join(ends.select(F.col("end").alias(c), F.col("node").alias(f"node_{c}")), c)
+    roots = components(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+    found = distinct.join(roots.select(F.col("node.fp").alias("fp"), "root"), "fp", "left")
+    alone = F.col("root").isNull()
+    return checkpointed(found.select(
+        "fp", F.when(alone, F.col("first")).otherwise(F.col("root.first")).alias("component_id"),
+        F.when(alone, F.col("fp")).otherwise(F.col("root.fp")).alias("root")))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
