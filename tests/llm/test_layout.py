@@ -3,6 +3,7 @@
 import hashlib
 import heapq
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -166,3 +167,41 @@ def test_sql_random_is_the_digest(spark):
     for r in row:
         digest = hashlib.md5(b"mix%d" % r.id).hexdigest()
         assert r.u == (int(digest[:12], 16) + 0.5) / 2**48
+
+
+def unspaced():
+    rng = random.Random(6)
+    some = "".join(chr(rng.randrange(0x4E00, 0x4F00)) for _ in range(3000))
+    chinese = "".join(rng.choice(["的一是", "不了人", "我在有", "他这", "，", "。", "1", "2021"]) for _ in range(3000))
+    return [some, chinese, "ab" * 4000, "a1b2-" * 2000, "aGVsbG8+d29ybGQ/" * 600, "x" * 9000, "-" * 5000,
+            "<|endoftext|>" * 400, "word <|endoftext|>x," * 300, "it's we're 12,345.678 don't " * 200]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("chunk, overlap", [(64, 8), (500, 32), (1000, 300)])
+def test_splicing_without_white_space(name, chunk, overlap):
+    path = public_tokenizers.path(name)
+    tok = Tokenizer.from_file(path)
+    counter = tokens.Counter(path, chunk, overlap)
+    for text in unspaced():
+        want = len(tok.encode(text, add_special_tokens=False).ids)
+        assert counter.count_long(text) == want
+        assert counter.count_batch([text, text[:50]]) == [want, len(tok.encode(text[:50], add_special_tokens=False).ids)]
+
+
+def test_tokenizers_that_white_space_does_not_split():
+    assert tokens.Counter(public_tokenizers.path("word_bpe_49k.json")).by_pieces
+    assert not tokens.Counter(public_tokenizers.path("byte_bpe_50k.json")).by_pieces
+
+
+def test_time_of_unspaced_texts():
+    rng = random.Random(7)
+    text = "".join(rng.choice(["的一是", "不了人", "我在有", "，"]) for _ in range(150_000))
+    counter = tokens.Counter(public_tokenizers.path("word_bpe_49k.json"))
+    start = time.perf_counter()
+    whole = counter._count(text)
+    once = time.perf_counter() - start
+    start = time.perf_counter()
+    assert counter.count_long(text) == whole
+    assert time.perf_counter() - start < 6 * once + 2
+

@@ -1,12 +1,13 @@
 """Token counts of a public tokenizer, also of documents too long to encode at once.
 
-A long text is encoded as overlapping chunks with offsets.  In the overlap the two
-encodings are aligned: a boundary is stable if white space ends there (the tokenizer never
-joins what white space separates) and both chunks have the same tokens from it to the end
-of the overlap.  The chunks are spliced there; if there is none, the overlap is widened.
-
-Other texts are encoded as their distinct white-space separated pieces.  Counts add up
-over pieces for the same reason, and a task meets most pieces many times.
+A long text is encoded as overlapping chunks with offsets.  In the overlap the two encodings
+are aligned: a boundary is stable if a piece of the tokenizer's own pre-tokenizer begins there
+in both (merges never cross pieces) and both have the same tokens from it to the last piece
+that is whole.  The chunks are spliced there; if there is none, the overlap is widened, and a
+chunk without any boundary is doubled, so that time stays in proportion.
+
+Where counts add up over white-space separated pieces, which is tried out on the tokenizer at
+hand, other texts are encoded as their distinct pieces: a task meets most of them many times.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ OVERLAP_CHARS = 256
 #: Pieces whose counts a task keeps.
 MEMO = 400_000
 
-_WHITE = " \t\n\v\f\r"
+#: Texts on which a tokenizer shows whether white space always separates.
+_PROBES = ("a b", " a  b ", "one two\tthree\nfour", "it's 12 345, ok?", "Ünï çode  x", "a\u00a0b c", "<s> </s> x")
 
 
 class Counter:
@@ -42,11 +44,18 @@ class Counter:
         self.tokenizer.no_padding()
         self.chunk, self.overlap = chunk, overlap
         self.memo: dict[str, int] = {}
+        self.by_pieces = all(
+            self._count(t) == sum(self._count(w.decode()) for w in t.encode().split()) for t in _PROBES)
+
+    def _count(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def count_batch(self, texts: list[str]) -> list[int]:
         """Counts of several texts; only pieces not met before are encoded."""
         if len(self.memo) > MEMO:
             self.memo.clear()
+        if not self.by_pieces:
+            return [self._count(t) if len(t) <= self.chunk else self.count_long(t) for t in texts]
         split = {i: t.encode("utf-8", "surrogatepass").split() for i, t in enumerate(texts) if len(t) <= self.chunk}
         new = [w.decode("utf-8", "surrogatepass") for w in set().union(*split.values()).difference(self.memo)]
         for i in range(0, len(new), 4096):
@@ -57,9 +66,12 @@ class Counter:
         return [sum(map(memo.__getitem__, split[i])) if i in split else self.count_long(t)
                 for i, t in enumerate(texts)]
 
-    def _encode(self, text: str, begin: int, end: int) -> list[tuple[int, int, int]]:
+    def _encode(self, text: str, begin: int, end: int) -> list[tuple[int, int, int, bool]]:
+        """(token, begin, end, whether a piece of the pre-tokenizer begins) of a chunk."""
         e = self.tokenizer.encode(text[begin:end], add_special_tokens=False)
-        return [(t, a + begin, b + begin) for t, (a, b) in zip(e.ids, e.offsets, strict=True)]
+        words = e.word_ids
+        return [(t, a + begin, b + begin, w is not None and (not i or words[i - 1] != w))
+                for i, (t, (a, b), w) in enumerate(zip(e.ids, e.offsets, words, strict=True))]
 
     def count_long(self, text: str) -> int:
         """The count of one text, spliced from overlapping chunks."""
@@ -70,34 +82,41 @@ class Counter:
             overlap = self.overlap
             while True:
                 start = max(begin, end - overlap)
-                to = min(len(text), start + self.chunk + overlap)
-                if start == begin:  # no stable boundary at all: the chunks become one
-                    tokens, at = self._encode(text, begin, to), begin
+                if start == begin:  # no stable boundary at all: the chunk is doubled
+                    to, at = min(len(text), begin + 2 * (end - begin)), begin
+                    tokens = self._encode(text, begin, to)
                     break
+                to = min(len(text), start + self.chunk + overlap)
                 following = self._encode(text, start, to)
-                at = stable_boundary(text, tokens, following, start, end)
+                at = stable_boundary(tokens, following, start, end)
                 if at is not None:
-                    total += sum(a < at for _, a, _ in tokens)
+                    total += sum(a < at for _, a, _, _ in tokens)
                     tokens = [t for t in following if t[1] >= at]
                     break
-                overlap *= 2
+                overlap *= 4
             begin, end = at, to
         return total + len(tokens)
 
 
-def stable_boundary(text: str, left: list, right: list, start: int, end: int) -> int | None:
-    """Where two encodings that share text[start:end] can be spliced, or None.
+def stable_boundary(left: list, right: list, start: int, end: int) -> int | None:
+    """Where two encodings that share the text from start to end can be spliced, or None.
 
-    The boundary follows white space; from it on, both have the same tokens up to the last
-    white space of the overlap, and there is at least one such token.
+    The boundary is the beginning of a piece in both, not the first of ``right``, which the cut
+    may have made.  From it on both have the same tokens up to the beginning of the last piece
+    of ``left``, whose end the other cut may have made, and there is at least one whole piece.
     """
-    last = max(text.rfind(c, start, end) for c in _WHITE)
-    first = min((i for c in _WHITE if (i := text.find(c, start, end)) >= 0), default=-1)
-    if first < 0 or last <= first:
+    mine = [t for t in left if t[1] >= start]
+    begins = [t[1] for t in mine if t[3]]
+    if len(begins) < 2:
         return None
-    a = [t for t in left if first < t[1] and t[2] <= last]
-    b = [t for t in right if first < t[1] and t[2] <= last]
-    return first + 1 if a and a == b else None
+    last = begins[-1]
+    theirs = [t[1] for t in right if t[3] and start < t[1] < last]
+    for at in sorted(set(begins).intersection(theirs)):
+        a = [t for t in mine if at <= t[1] < last]
+        b = [t for t in right if at <= t[1] < last]
+        if a and a == b:
+            return at
+    return None
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, chunk: int = CHUNK_CHARS,
