@@ -148,7 +148,7 @@ def plain_top(rows, every, k):
 def test_top_k(spark, monkeypatch, spread):
     rng = random.Random(8)
     monkeypatch.setattr(maxscore, "SHARD_ROWS", 60)
-    monkeypatch.setattr(maxscore, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(maxscore, "BAND_QUERIES", 7)
     monkeypatch.setattr(maxscore, "SEEDS", 25)
     monkeypatch.setattr(maxscore, "PROBED", 2)
     rows = [(i, [rng.gauss(0, spread) for _ in range(9)]) for i in range(300)]
@@ -163,6 +163,33 @@ def test_top_k(spark, monkeypatch, spread):
     assert maxscore.search(frame.limit(0)).collect() == []
 
 
+def products(x, q, k=20, shard=maxscore.SHARD_ROWS):
+    """Products of components made for all pairs, as a share of those of brute force."""
+    made = []
+    for at in range(0, len(x), shard):
+        part = x[at:at + shard]
+        ids = np.arange(at, at + len(part))
+        maxscore.top_of_shard(ids, part, np.arange(len(q)) - len(q), q, k, made)
+    return sum(made) / (len(x) * len(q) * x.shape[1])
+
+
+def test_bounds_save_products_where_they_can():
+    """Few large components decide: most vectors are left after the essential terms."""
+    rng = np.random.default_rng(5)
+    scale = 64 * 0.7 ** np.arange(64)
+    x = np.floor(rng.standard_normal((20_000, 64)) * scale).astype(np.float64)
+    assert products(x, x[::100]) < 0.6
+    centres = rng.standard_normal((40, 64)) * scale
+    clustered = np.floor(centres[rng.integers(0, 40, 20_000)] + rng.standard_normal((20_000, 64)) * 0.1 * scale)
+    assert products(clustered, clustered[::100]) < 0.6
+
+
+def test_no_product_is_made_twice():
+    rng = np.random.default_rng(6)
+    x = np.floor(rng.standard_normal((6000, 32)) * 64)
+    assert products(x, x[::50]) <= 1.0
+
+
 def plain_katz(rows):
     def tokens(t):
         return (t or "").encode().lower().split() + [0]

@@ -1,27 +1,33 @@
 """Exact top-k by inner product with MaxScore, over shards of integer vectors.
 
-A dimension is a term.  In a shard, a query's term adds at least ``low`` and at most
-``low + bound`` to a score.  Terms are ordered by bound; those at the low end whose bounds
-together cannot lift a vector over the shard's current k-th score are non-essential.  The
-essential terms' postings are traversed for all vectors and some queries at once; the
-others are probed a few at a time, largest bounds first, for vectors that can still
-compete.  Shards' best are merged by score, then vec_id.
+A dimension is a term; its postings in a shard are a column.  For a query a term adds at least
+``low`` and at most ``low + bound`` to a score.  Queries are handled some at a time, with the
+terms in one order, by bound, so that essential terms are the leading columns: those without
+which a vector could not reach a query's current k-th score.  Their postings are traversed for
+all vectors; the other columns are probed a few at a time, largest bounds first, for vectors
+that can still compete.  A column is multiplied once for a vector, or not at all.  Shards' best
+are merged by score, then vec_id.
+
+A task holds one shard and streams the queries through it, so vectors are shuffled once for
+each ``BAND_QUERIES`` queries.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, checkpointed
+from .common import batch_of, checkpointed, spread
 
 K = 20
-#: Vectors of a shard and queries of a block: a task holds one of each.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 512
+#: Vectors of a shard, which a task holds, and queries that it streams through them.
+SHARD_ROWS, BAND_QUERIES = 8192, 1 << 16
 #: Queries that a task handles at once: its scores are a shard's rows times these.
 TOGETHER = 128
 #: Vectors scored in full for a first threshold, and terms probed at a time.
@@ -48,12 +54,14 @@ def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
             .cast("long")).alias("v"))
 
 
-def top_of_shard(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
+def top_of_shard(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int,
+                 work: list[int] | None = None):
     """(query row, vector row, score) arrays of each query's ``k`` best in a shard.
 
     ``ids`` ascend, so of equal scores the earlier row wins.  A query's own id is no match.
+    ``work`` gets the number of products of components that were made.
     """
-    found = [_top_of_some(ids, x, queries[a:a + TOGETHER], q[a:a + TOGETHER], k)
+    found = [_top_of_some(ids, x, queries[a:a + TOGETHER], q[a:a + TOGETHER], k, [] if work is None else work)
              for a in range(0, len(q), TOGETHER)] if len(x) else []
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, x.dtype)
@@ -61,14 +69,17 @@ def top_of_shard(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndar
     return np.concatenate(rows), *(np.concatenate([f[c] for f in found]) for c in (1, 2))
 
 
-def _top_of_some(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int):
+def _top_of_some(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndarray, k: int, work: list[int]):
     """top_of_shard for a few queries; the first ``SEEDS`` vectors set their thresholds."""
     ends = np.stack([q * x.max(axis=0), q * x.min(axis=0)])
     low, bound = ends.min(axis=0), ends.max(axis=0) - ends.min(axis=0)
+    order = np.argsort(-bound.sum(axis=0), kind="stable")  # one order for these queries
+    x, q, low, bound = x[:, order], q[:, order], low[:, order], bound[:, order]
     # The least any vector can score: what a query needs until it has k better ones.
     floor = low.sum(axis=1)
     own = list(zip(np.searchsorted(ids, queries), np.searchsorted(ids, queries, "right"), strict=True))
     seeds = x[:SEEDS] @ q.T
+    work.append(seeds.size * x.shape[1])
     for i, (begin, end) in enumerate(own):
         seeds[begin:end, i] = floor[i] - 1
     need = floor
@@ -77,41 +88,40 @@ def _top_of_some(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndar
     row, who = np.nonzero(seeds >= need)
     found = [(who, row, seeds[row, who])]
 
-    order = np.argsort(-bound, axis=1, kind="stable")
-    place = np.argsort(order, axis=1)
-    ranked = np.take_along_axis(bound, order, axis=1)
     # rest[:, n]: what the terms from the n-th on can add to the floor.
-    rest = np.concatenate([np.cumsum(ranked[:, ::-1], axis=1)[:, ::-1], np.zeros_like(ranked[:, :1])], axis=1)
-    at = np.minimum((rest >= (need - floor)[:, None]).sum(axis=1), x.shape[1])
+    rest = np.concatenate([np.cumsum(bound[:, ::-1], axis=1)[:, ::-1], np.zeros_like(bound[:, :1])], axis=1)
+    left_low = np.concatenate([np.cumsum(low[:, ::-1], axis=1)[:, ::-1], np.zeros_like(low[:, :1])], axis=1)
+    at = min(x.shape[1], int((rest >= (need - floor)[:, None]).sum(axis=1).max(initial=0)))
     # Traverse the essential postings, then probe the others while any vector competes.
     later, rows = x[SEEDS:], np.arange(min(SEEDS, len(x)), len(x))
     alive = np.ones((len(later), len(q)), bool)
     for i, (begin, end) in enumerate(own):
         alive[max(0, begin - SEEDS):max(0, end - SEEDS), i] = False
-    done = place < at[:, None]
-    have = later @ np.where(done, q, 0).T
+    have = later[:, :at] @ q[:, :at].T
+    work.append(have.size * at)
     while len(later):
-        most = np.where(done, 0, low).sum(axis=1) + np.take_along_axis(rest, at[:, None], axis=1)[:, 0]
-        alive &= have + most >= need
-        if done.all():
+        alive &= have + left_low[:, at] + rest[:, at] >= need
+        if at == x.shape[1]:
             row, who = np.nonzero(alive)
             found.append((who, rows[row], have[row, who]))
             break
-        if np.count_nonzero(alive) * FEW < alive.size:
+        competing = np.count_nonzero(alive)
+        if competing * FEW < alive.size:
             row, who = np.nonzero(alive)
-            left = np.where(done, 0, q)
+            work.append(competing * (x.shape[1] - at))
             for a in range(0, len(row), 1 << 15):
                 r, i = row[a:a + (1 << 15)], who[a:a + (1 << 15)]
-                score = have[r, i] + (later[r] * left[i]).sum(axis=1)
+                score = have[r, i] + (later[r, at:] * q[i, at:]).sum(axis=1)
                 good = score >= need[i]
                 found.append((i[good], rows[r[good]], score[good]))
             break
         stay = np.flatnonzero(alive.any(axis=1))
-        later, rows, alive, have = later[stay], rows[stay], alive[stay], have[stay]
-        at = np.minimum(at + PROBED, x.shape[1])
-        probed = ~done & (place < at[:, None])
-        have += later @ np.where(probed, q, 0).T
-        done |= probed
+        if len(stay) * 2 < len(later):
+            later, rows, alive, have = later[stay], rows[stay], alive[stay], have[stay]
+        to = min(at + PROBED, x.shape[1])
+        have += later[:, at:to] @ q[:, at:to].T
+        work.append(have.size * (to - at))
+        at = to
     who, row, score = (np.concatenate([f[c] for f in found]) for c in range(3))
     best = np.lexsort((row, -score, who))
     who, row, score = who[best], row[best], score[best]
@@ -119,25 +129,52 @@ def _top_of_some(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, q: np.ndar
     return who[top], row[top], score[top]
 
 
-def _stack(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of one length, padded with zeros.
+def _cells(batches: Iterator[pa.RecordBatch]):
+    """For each cell of a sorted partition its shard (ids, vectors) and its queries, streamed.
 
-    Doubles while all sums are integers that doubles hold exactly, else int64, or Python
-    integers where that could overflow.
+    Queries come as (ids, vectors) of one batch at most; all are to be taken before the next cell.
     """
+    def parts():
+        for batch in batches:
+            cell, asks = batch.column("cell").to_numpy(), batch.column("asks").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(cell) != 0) | (asks[1:] != asks[:-1])) + 1
+            for a, b in itertools.pairwise([0, *edges.tolist(), len(cell)]):
+                if a < b:
+                    yield cell[a], bool(asks[a]), batch.slice(a, b - a)
+
+    for _, group in itertools.groupby(parts(), lambda p: p[0]):
+        shard: list[pa.RecordBatch] = []
+        first = next((p for p in itertools.chain(group) if p[1] or shard.append(p[2])), None)
+        if first is None or not shard:
+            continue
+        table = pa.Table.from_batches(shard)
+        yield (table.column("vec_id"), table.column("v"),
+               ((part.column("vec_id").to_numpy(), pa.chunked_array([part.column("v")]))
+                for _, _, part in itertools.chain([first], group)))
+
+
+def _stack(vectors: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Rows of one length, as int64, padded with zeros."""
     rows = vectors.combine_chunks()
+    if isinstance(rows, pa.ChunkedArray):
+        rows = rows.chunk(0)
     flat = rows.flatten().to_numpy()
-    most = int(np.abs(flat).max()) if len(flat) else 0
-    sums = 4 * most * most * max(1, width)
-    kind = np.float64 if sums < 1 << 53 else np.int64 if sums < 1 << 63 else object
     if len(flat) == len(rows) * width:
-        return flat.reshape(-1, width).astype(kind)
-    out = np.zeros((len(rows), width), kind)
+        return flat.reshape(-1, width)
+    out = np.zeros((len(rows), width), np.int64)
     for i, v in enumerate(rows.to_pylist()):
         out[i, :len(v)] = v
     return out
 
 
+def _kind(x: np.ndarray, q: np.ndarray, width: int) -> type:
+    """Doubles while all sums are integers that doubles hold exactly, else int64, or Python
+    integers where that could overflow."""
+    most = max((int(np.abs(a).max()) for a in (x, q) if a.size), default=0)
+    sums = 4 * most * most * max(1, width)
+    return np.float64 if sums < 1 << 53 else np.int64 if sums < 1 << 63 else object
+
+
 def search(vectors: DataFrame, every: int = 20, k: int = K, scale: int = 64) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best matches of each query.
 
@@ -152,30 +189,33 @@ def search(vectors: DataFrame, every: int = 20, k: int = K, scale: int = 64) ->
     is_query = F.col("vec_id") % every == 0
     n, n_queries, width = rows.agg(F.count("*"), F.count_if(is_query), F.max(F.size("v"))).first()
     shards = max(1, math.ceil(n / SHARD_ROWS))
-    blocks = max(1, math.ceil(n_queries / BLOCK_QUERIES))
+    bands = max(1, math.ceil(n_queries / BAND_QUERIES))
     width = width or 0
-    spot = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)))
-    held = spot.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+    spot = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn(
+        "band", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(bands)).cast("int"))
+    held = spot.select("shard", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"),
                        F.lit(False).alias("asks"), "vec_id", "v")
     asked = spot.filter(is_query).distinct().select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.col("block").cast("int"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "band",
         F.lit(True).alias("asks"), "vec_id", "v")
-
-    def run(cell: pa.Table) -> pa.Table:
-        asks = cell.column("asks").to_numpy()
-        ids = cell.column("vec_id").to_numpy()
-        data = _stack(cell.column("v"), width)
-        mine = np.flatnonzero(~asks)
-        mine = mine[np.argsort(ids[mine], kind="stable")]
-        ask = np.flatnonzero(asks)
-        who, row, score = top_of_shard(ids[mine], data[mine], ids[ask], data[ask], k)
-        return pa.Table.from_batches([batch_of(
-            _SCHEMA, ids[ask[who]], ids[mine[row]], np.clip(score, -LONGEST, LONGEST).astype(np.int64))])
-
-    cells = held.select(F.col("shard").cast("int"), "block", "asks", "vec_id", "v").unionByName(
-        asked.select(F.col("shard").cast("int"), "block", "asks", "vec_id", "v"))
-    found = cells.groupBy("shard", "block").applyInArrow(run, "query_id long, vec_id long, score long")
+    cells = (held.unionByName(asked).withColumn("cell", F.col("shard").cast("long") * bands + F.col("band"))
+             .select("cell", "asks", "vec_id", "v"))
+    tasks = min(spread(vectors.sparkSession), shards * bands)
+    cells = (cells.repartitionById(tasks, F.pmod("cell", F.lit(tasks)).cast("int"))
+             .sortWithinPartitions("cell", "asks", "vec_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, data, queries in _cells(batches):
+            x = _stack(data, width)
+            ids = ids.to_numpy()
+            for asking, vectors in queries:
+                q = _stack(vectors, width)
+                kind = _kind(x, q, width)
+                who, row, score = top_of_shard(ids, x.astype(kind), asking, q.astype(kind), k)
+                yield batch_of(_SCHEMA, asking[who], ids[row],
+                               np.clip(score, -LONGEST, LONGEST).astype(np.int64))
+
+    found = cells.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
