@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, crc_mod, kept_rows, rolled, word_hashes
+from .common import batch_of, checkpointed, crc_mod, kept_rows, rolled, word_hashes
 
 #: Labelled documents that the lexicon is learned from, about.
 SAMPLE_DOCS = 40_000
@@ -33,7 +33,7 @@ MAYBE_WEIGHT, LEAST_DOCS = 0.3, 3
 #: An exception is a two-word phrase seen in this many clean documents, and in no more
 #: than a tenth as many toxic ones.
 EXCEPTION_DOCS = 3
-#: Phrases, the most frequent ones, that are taken off a word before its odds are judged.
+#: Phrases, the most frequent ones, that are taken off a key before its odds are judged.
 PHRASES_OFF = 8
 
 #: Letters that look like Latin ones, and digits and signs used for letters.
@@ -120,10 +120,6 @@ def _stems(folded: str) -> set[str]:
     return {k for w in set(folded.split()) for k in _stems_of(w)}
 
 
-def _stems_and_words(folded: str) -> set[str]:
-    return _stems(folded) | {f" {w} " for w in set(folded.split())}
-
-
 def _counted(rows: DataFrame, keys) -> DataFrame:
     """(key, clean, toxic): documents of both kinds that have the key."""
     schema = pa.schema([("key", pa.string()), ("toxic", pa.int32()), ("n", pa.int64())])
@@ -145,23 +141,24 @@ def _told(counted: DataFrame, least: str) -> dict[str, tuple[int, int]]:
     return {k: (c, t) for k, c, t in counted.filter(least).collect()}
 
 
-def _clean_phrases(rows: DataFrame, words: dict[str, tuple[int, int]]) -> DataFrame:
-    """(word, phrase, clean, toxic): the most frequent harmless phrases of each of ``words``.
+def _clean_phrases(rows: DataFrame, keys: set[str]) -> DataFrame:
+    """(stem, phrase, clean, toxic): harmless phrases of the words that ``keys`` could find.
 
-    A phrase is the word and a neighbour.  Phrases are counted where the texts are, whatever
-    the odds of the word, and the ``PHRASES_OFF`` of a word with most clean documents stay.
+    A phrase is a word and a neighbour.  Phrases are counted where the texts are, whatever the
+    odds of the word.
     """
-    wanted = set(words)
-
     def phrases(folded: str) -> set[str]:
         ws = folded.split()
+        wanted = {w for w in set(ws) if not keys.isdisjoint(_stems_of(w))}
         return {f" {a} {b} " for a, b in zip(ws, ws[1:]) if a in wanted or b in wanted}
 
     counted = _counted(rows, phrases).filter(f"clean >= {EXCEPTION_DOCS} and toxic * 10 <= clean")
-    each = counted.select(F.explode(F.array_distinct(F.split(F.trim("key"), " "))).alias("word"),
-                          F.col("key").alias("phrase"), "clean", "toxic")
-    nth = F.row_number().over(Window.partitionBy("word").orderBy(F.col("clean").desc(), "phrase"))
-    return each.withColumn("nth", nth).filter(F.col("nth") <= PHRASES_OFF).drop("nth")
+    word = F.explode(F.array_distinct(F.split(F.trim("key"), " "))).alias("word")
+    stems = F.when(F.length("word") < STEMS[0], F.array(F.concat(F.lit(" "), "word", F.lit(" ")))).otherwise(
+        F.transform(F.filter(F.array(*map(F.lit, STEMS)), lambda n: n <= F.length("word")),
+                    lambda n: F.concat(F.lit(" "), F.substr("word", F.lit(1), n))))
+    return counted.select(word, F.col("key").alias("phrase"), "clean", "toxic").select(
+        F.explode(stems).alias("stem"), "phrase", "clean", "toxic").distinct()
 
 
 def _least_shingle(docs: DataFrame) -> DataFrame:
@@ -213,20 +210,17 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
                     out[k] = weight
             return out
 
-        found = _told(_counted(one, _stems_and_words), f"toxic >= {LEAST_DOCS}")
-        # Words that could be entries if their clean documents were due to harmless phrases: for
+        found = _told(_counted(one, _stems), f"toxic >= {LEAST_DOCS}")
+        # Keys that could be entries if their clean documents were due to harmless phrases: for
         # those the phrases are counted, and the odds are judged without them.
-        words = {k.strip(): v for k, v in found.items()
-                 if k.endswith(" ") and strong({k: (0, v[1])}, LEAST_WEIGHT)}
+        hopeful = {k: v for k, v in found.items() if strong({k: (0, v[1])}, LEAST_WEIGHT)}
         harmless: dict[str, list[tuple[str, int, int]]] = {}
-        for word, phrase, c, t in _rescuing(one, words, clean, toxic).collect():
-            harmless.setdefault(word, []).append((phrase, c, t))
-        rescued = {w for w, ps in harmless.items() if strong(
-            {w: (max(0, words[w][0] - sum(c for _, c, _ in ps)), max(0, words[w][1] - sum(t for *_, t in ps)))},
-            LEAST_WEIGHT)}
-        exceptions = tuple(sorted({p for w in rescued for p, _, _ in harmless[w]}))
-        maybe = {k for k, _ in strong(found, MAYBE_WEIGHT).items()} | {
-            k for w in rescued for k in _stems_of(w)}
+        for stem, phrase, c, t in _rescuing(one, hopeful, clean, toxic).collect():
+            harmless.setdefault(stem, []).append((phrase, c, t))
+        off = lambda k, i: max(0, hopeful[k][i] - sum(p[1 + i] for p in harmless[k]))
+        rescued = set(strong({k: (off(k, 0), off(k, 1)) for k in harmless}, LEAST_WEIGHT))
+        exceptions = tuple(sorted({p for k in rescued for p, _, _ in harmless[k]}))
+        maybe = strong(found, MAYBE_WEIGHT).keys() | rescued
         made: list = []
 
         def unspared(folded: str) -> set[str]:
@@ -260,20 +254,29 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
         one.unpersist()
 
 
-def _rescuing(one: DataFrame, words: dict[str, tuple[int, int]], clean: int, toxic: int) -> DataFrame:
-    """Harmless phrases of the words whose log odds without them are those of an entry.
+def _rescuing(one: DataFrame, keys: dict[str, tuple[int, int]], clean: int, toxic: int) -> DataFrame:
+    """(stem, phrase, clean, toxic): phrases without which a key has the log odds of an entry.
 
-    Judged in Spark, so only these, few of all words, reach the driver.
+    Of a key the ``PHRASES_OFF`` phrases with most clean documents are taken off.  ``enough`` is
+    the number of clean documents at which its odds would still do, so a key is looked at only
+    if that many times its largest phrase makes up for the rest.  All is judged in Spark; what
+    reaches the driver are the phrases of the few keys that pass.
     """
-    spark = one.sparkSession
-    counts = spark.createDataFrame([(w, c, t) for w, (c, t) in words.items()] or [("", 0, 0)],
-                                   "word string, all_clean long, all_toxic long")
-    phrases = _clean_phrases(one, words)
-    whole = Window.partitionBy("word")
+    ratio = (clean + 1) / (toxic + 1) / math.exp(LEAST_WEIGHT)
+    counts = one.sparkSession.createDataFrame(
+        [(k, c, t, max(0.0, (t + 0.5) * ratio - 0.5)) for k, (c, t) in keys.items()] or [("", 0, 0, 0.0)],
+        "stem string, all_clean long, all_toxic long, enough double")
+    phrases = checkpointed(_clean_phrases(one, set(keys)))
+    able = (phrases.groupBy("stem").agg(F.max("clean").alias("largest")).join(counts, "stem")
+            .filter(F.col("largest") * PHRASES_OFF >= F.col("all_clean") - F.col("enough")).drop("largest"))
+    order = Window.partitionBy("stem").orderBy(F.col("clean").desc(), "phrase")
+    most = (phrases.join(able, "stem").withColumn("nth", F.row_number().over(order))
+            .filter(F.col("nth") <= PHRASES_OFF))
+    whole = Window.partitionBy("stem")
     left = lambda have, off: F.greatest(F.col(have) - F.sum(off).over(whole), F.lit(0))
-    odds = (F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)))
-    return (phrases.join(counts, "word").withColumns({"c": left("all_clean", "clean"), "t": left("all_toxic", "toxic")})
-            .filter(odds >= LEAST_WEIGHT).select("word", "phrase", "clean", "toxic"))
+    return (most.withColumns({"c": left("all_clean", "clean"), "t": left("all_toxic", "toxic")})
+            .filter(F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1)) >= LEAST_WEIGHT)
+            .select("stem", "phrase", "clean", "toxic"))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
