@@ -27,6 +27,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ FILTERS = "ABCDE"
 LEAST_WORDS, DISTINCT_SHARE, UPPER_SHARE = 100, 80, 10
 MARKS = b"#$%&*|"
 #: Texts of a shard; a longer text is a shard of its own.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 3 << 20
 #: Long texts are cut into words in pieces of this size.
 PIECE_BYTES = 1 << 20
 
@@ -95,12 +96,16 @@ def text_flags(text: bytes) -> int:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """The values as bytes, in the narrowest unsigned type that holds them all."""
-    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+    """The values, none negative, in the fewest bytes that hold them all, byte by byte, compressed."""
+    values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return bytes([values.itemsize]) + zstandard.compress(np.ascontiguousarray(planes).tobytes(), 3)
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, np.dtype(f"u{len(data) // n if n else 1}"))
+def _unpacked(data: bytes) -> np.ndarray:
+    size = data[0]
+    planes = np.frombuffer(zstandard.decompress(data[1:]), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).view(f"u{size}").ravel()
 
 
 def _local_shards(buckets: int):
@@ -148,11 +153,11 @@ def _local_shards(buckets: int):
     return run
 
 
-def _coded(buckets: int):
-    """Global ids for the words of each shard and bucket, and the bucket's dictionary.
+def _coded():
+    """The places of the words of each shard in the bucket's dictionary, and the dictionary.
 
-    A word's id is its place among the words of its bucket, in order of shards, times the number
-    of buckets, plus the bucket.  A row without a shard lists a bucket's words and ids.
+    A word's place counts the words of its bucket, in order of shards; its global id is the place
+    times the number of buckets, plus the bucket.  A row without a shard lists a bucket's words.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(
@@ -161,43 +166,46 @@ def _coded(buckets: int):
             codes = _Codes()
             for _, shard, words in run:
                 found = words.split(b"\n")
-                ids = np.fromiter(map(codes.__getitem__, found), np.int64, len(found)) * buckets + bucket
-                yield batch_of(_CODED_ARROW, [shard], [bucket], [None], [ids.tobytes()])
-            ids = np.arange(len(codes), dtype=np.int64) * buckets + bucket
-            yield batch_of(_CODED_ARROW, [None], [bucket], [b"\n".join(codes)], [ids.tobytes()])
+                places = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
+                yield batch_of(_CODED_ARROW, [shard], [bucket], [None], [_packed(places)])
+            yield batch_of(_CODED_ARROW, [None], [bucket], [b"\n".join(codes)], [_packed(np.arange(len(codes)))])
 
     return run
 
 
-def _global_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The matrix row of each shard with global ids, from it and its lists of ids in order."""
-    rows = (row for batch in batches for row in batch.to_pylist())
-    for shard, (matrix, *lists) in itertools.groupby(rows, lambda r: r["shard"]):
-        ids = np.frombuffer(b"".join(x["ids"] for x in lists), np.int64)
-        entries = matrix["indptr"][-1]
-        yield batch_of(
-            _SHARD_ARROW, [shard], *([matrix[name]] for name, _ in _ROWS_ARROW),
-            _one_list(ids[_unpacked(matrix["indices"], entries)]),
-            _one_list(_unpacked(matrix["counts"], entries).astype(np.int32)))
+def _global_shards(buckets: int):
+    """The matrix row of each shard with global ids, from it and its lists of places in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for shard, (matrix, *lists) in itertools.groupby(rows, lambda r: r["shard"]):
+            ids = np.concatenate([np.zeros(0, np.int64), *(
+                _unpacked(x["ids"]).astype(np.int64) * buckets + x["bucket"] for x in lists)])
+            yield batch_of(
+                _SHARD_ARROW, [shard], *([matrix[name]] for name, _ in _ROWS_ARROW),
+                _one_list(ids[_unpacked(matrix["indices"])]),
+                _one_list(_unpacked(matrix["counts"]).astype(np.int32)))
+
+    return run
 
 
 def _one_list(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
 
 
-def _coded_shards(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The shards' matrices and lists of ids, those of a shard together, and the dictionary."""
+def _coded_shards(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The shards' matrices and lists of places, those of a shard together; the dictionary by
+    buckets; the number of buckets."""
     n = spread(docs.sparkSession)
     local = stored(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("lang", F.lit("")).alias("part"), "text").mapInArrow(_local_shards(n), _LOCAL))
     words = (local.filter("bucket >= 0").select("shard", "bucket", "words")
              .repartition(n, F.xxhash64("bucket")).sortWithinPartitions("bucket", "shard"))
-    coded = stored(words.mapInArrow(_coded(n), _CODED))
+    coded = stored(words.mapInArrow(_coded(), _CODED))
     parts = (local.filter("bucket = -1").drop("words").unionByName(
         coded.filter("shard is not null").select("shard", "bucket", "ids"), allowMissingColumns=True))
     return (parts.repartition(n, F.xxhash64("shard")).sortWithinPartitions("shard", "bucket"),
-            coded.filter("shard is null").select("bucket", "words", "ids"))
+            coded.filter("shard is null").select("bucket", "words", "ids"), n)
 
 
 def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -207,16 +215,17 @@ def document_term_matrix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     and counts a shard has doc_ids, parts, digests (of texts) and flags (filters C and D) of its
     rows.  A null text is an empty row.  An empty table has no shards.
     """
-    parts, dictionary = _coded_shards(docs)
+    parts, dictionary, buckets = _coded_shards(docs)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words, ids in zip(batch.column("words").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            for bucket, words, places in zip(*(batch.column(c).to_pylist() for c in ("bucket", "words", "ids")),
+                                             strict=True):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w.decode() for w in words.split(b"\n")], pa.string()),
-                     pa.array(np.frombuffer(ids, np.int64))], ["word", "id"])
+                     pa.array(_unpacked(places).astype(np.int64) * buckets + bucket)], ["word", "id"])
 
-    return (parts.mapInArrow(_global_shards, _SHARD),
+    return (parts.mapInArrow(_global_shards(buckets), _SHARD),
             dictionary.mapInArrow(listed, "word string, id long"))
 
 
@@ -242,8 +251,8 @@ def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def filter_flags(docs: DataFrame) -> DataFrame:
     """doc_id, part, digest, n_words, n_distinct and fails (bits of A, B, C, D) of each row."""
-    parts, _ = _coded_shards(docs)
-    return parts.mapInArrow(lambda batches: _flagged(_global_shards(batches)), _FLAGGED)
+    parts, _, buckets = _coded_shards(docs)
+    return parts.mapInArrow(lambda batches: _flagged(_global_shards(buckets)(batches)), _FLAGGED)
 
 
 def flag_histogram(docs: DataFrame, labels: DataFrame) -> DataFrame:
