@@ -46,10 +46,14 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _ngrams(code: np.ndarray, n: int, starts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the n-grams at the first ``starts`` places, and which of them count."""
+def _symbols(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which characters are letters, and all of them with one symbol for the others."""
     letter = _letters()[code]
-    symbol = np.where(letter, code, 0).astype(np.uint64)
+    return letter, np.where(letter, code, 0).astype(np.uint64)
+
+
+def _ngrams(letter: np.ndarray, symbol: np.ndarray, n: int, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams at the first ``starts`` places, and which of them count."""
     if n == 2:
         valid = letter[:starts] | letter[1:starts + 1]
     else:
@@ -71,12 +75,13 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lowered = [t.lower() for t in texts]
     code = _codes("\n".join([*lowered, ""]))
     owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])
-    lettered = np.bincount(owner[_letters()[code]], minlength=len(texts)) > 0
+    letter, symbol = _symbols(code)
+    lettered = np.bincount(owner[letter], minlength=len(texts)) > 0
     hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for n in ORDERS:
         m = len(code) - n + 1
         if m > 0:
-            h, valid = _ngrams(code, n, m)
+            h, valid = _ngrams(letter, symbol, n, m)
             valid &= owner[:m] == owner[n - 1:]
             hashes.append(mix64(h[valid]))
             owners.append(owner[:m][valid])
@@ -91,15 +96,15 @@ def long_grams(text: str, size: int = RANGE_CHARS) -> Iterator[tuple[np.ndarray,
     """
     full = text.lower() + "\n"
     for at in range(0, len(full), size):
-        code = _codes(full[at:at + size + max(ORDERS) - 1])
+        letter, symbol = _symbols(_codes(full[at:at + size + max(ORDERS) - 1]))
         found = []
         for n in ORDERS:
             m = min(size, len(full) - at - n + 1)
             if m > 0:
-                h, valid = _ngrams(code, n, m)
+                h, valid = _ngrams(letter, symbol, n, m)
                 found.append(mix64(h[valid]))
         yield (np.concatenate(found) if found else np.zeros(0, np.uint64),
-               bool(_letters()[code[:size]].any()))
+               bool(letter[:size].any()))
 
 
 @dataclass
