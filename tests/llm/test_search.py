@@ -118,6 +118,32 @@ def test_short_items_word_for_word(docs, spark):
     assert {r.doc_id for r in deco.drop_leaks(docs(rows), table).collect()} == {11, 12, 16, 18, 19, 20, 21}
 
 
+def test_items_that_share_a_prompt(monkeypatch):
+    """A text that repeats the prompt of many items meets them once, not at each place."""
+    rng = random.Random(4)
+    fresh = lambda: "w%d" % rng.randrange(5000)
+    prompt = ["p%d" % i for i in range(19)]
+    items = [(i, prompt + [fresh() for _ in range(30)]) for i in range(300)]
+    items += [(300, prompt + items[5][1][19:-1] + ["other"]), (301, prompt * 3)]
+    index = deco.Index.build([(i, " ".join(w)) for i, w in items], deco.REPETITIONS)
+    rows = [[x for _ in range(20) for x in prompt + [fresh() for _ in range(20)]] for _ in range(4)]
+    rows[1][200:200] = items[5][1]
+    rows[2][3:3] = edited(rng, items[9][1], 4, fresh)
+    rows[3][40:40] = prompt * 3
+    h, starts = deco.word_hashes([" ".join(w).encode() for w in rows])
+    got = sorted((d, f[0], f[1]) for d, f in deco._verified(index, h, starts))
+    want = sorted((d, i, e) for d, words in enumerate(rows) for i, w in items
+                  if len(set(w) - set(words)) <= deco.edits_allowed(len(w))
+                  for e in [distance(w, words)] if e <= deco.edits_allowed(len(w)))
+    assert got == want and len(want) == 4
+    followed = [set(index.candidates(h[a:b])[:, 1].tolist()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    assert followed == [{301}, {5, 300, 301}, {9, 301}, {301}]
+    whole = [index.candidates(h[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+    monkeypatch.setattr(deco, "PLACES", 7)
+    for (a, b), near in zip(zip(starts[:-1], starts[1:], strict=True), whole, strict=True):
+        assert (index.candidates(h[a:b]) == near).all()
+
+
 def test_recall_at_the_most_edits():
     rng = random.Random(7)
     hit = n = 0

@@ -9,8 +9,10 @@ start serves items of all sizes.  Items are entered at several of their words, w
 stands for the item-sized window that begins as many words earlier.
 
 A key is compared sample by sample: a window leaves as soon as a sampled word is none that
-any item has there.  What is left is looked up whole, and candidates are verified by the
-exact edit distance over words.
+any item has there.  What is left is looked up whole.  A key that many items share, such as
+that of a common prompt, stands for one set of items: a text meets each set once, however
+often it holds the key, and only items of which the text has enough words are followed to
+their places and verified by the exact edit distance over words.
 
 Items too short for a walk are entered whole, under one key of all their words, and match
 only word for word.
@@ -32,7 +34,7 @@ from .common import batch_of, constants, kept_rows, mix64, pieces, rolled, word_
 #: Steps of a walk; one sample is taken from each quarter.
 STEPS, SAMPLES = 16, 4
 #: Walks.  A stretch of an item without edits is found by any of them; eight find 95 in 100
-#: items with the most edits allowed (tests/llm/test_decontamination.py measures it).
+#: items with the most edits allowed (tests/llm/test_search.py measures it).
 REPETITIONS = 8
 #: Words between the starts at which an item is entered.
 STRIDE = 2
@@ -42,6 +44,8 @@ LEAST_WORDS = 8
 WORDS_PER_EDIT = 6
 #: Bytes of item texts that are sent to the tasks at once; more items take more passes.
 BLOCK_BYTES = 8 << 20
+#: Places of an item in a text that are listed at once.
+PLACES = 1 << 20
 
 
 def normalised(text: str) -> bytes:
@@ -86,15 +90,27 @@ class Short:
 
 @dataclass
 class Index:
-    """LSH tables of a block of items, and the items that are too short for them."""
+    """LSH tables of a block of items, and the items that are too short for them.
+
+    Keys of all walks are numbered through, walk after walk, ascending.  ``sets`` gives the
+    set of items of each key, as equal sets have one number; ``entry_key`` and
+    ``entry_start`` list the keys of each item.
+    """
 
     ids: list[int]
-    words: list[np.ndarray]
+    words: np.ndarray
+    numbered: np.ndarray
+    first: np.ndarray
     vocabulary: np.ndarray
     maybe: np.ndarray
     levels: list[list[np.ndarray]]
     keys: list[np.ndarray]
-    entries: list[np.ndarray]
+    sets: np.ndarray
+    set_first: np.ndarray
+    set_items: np.ndarray
+    entry_first: np.ndarray
+    entry_key: np.ndarray
+    entry_start: np.ndarray
     short: list[Short]
 
     @classmethod
@@ -102,38 +118,45 @@ class Index:
         every = [(i, h) for i, t in items if t for h in [word_hashes([normalised(t)])[0]]]
         kept = [(i, h) for i, h in every if len(h) >= LEAST_WORDS]
         short = [Short.build(same) for n in range(1, LEAST_WORDS) if (same := [x for x in every if len(x[1]) == n])]
-        words = [h for _, h in kept]
-        vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
+        size = np.array([len(h) for _, h in kept], np.int64)
+        first = np.concatenate([[0], np.cumsum(size)])
+        words = np.concatenate([*(h for _, h in kept), np.zeros(STEPS, np.uint64)])
+        vocabulary = np.unique(words[:first[-1]])
         maybe = np.zeros(1 << 20, bool)
         maybe[(vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        number = np.append(np.searchsorted(vocabulary, words[:first[-1]]) + 1, np.zeros(STEPS, np.int64))
         # Walks of all entries at once; one that leaves its item before the last sample is no key.
-        every = np.concatenate([*words, np.zeros(STEPS, np.uint64)])
-        number = np.append(np.searchsorted(vocabulary, every[:len(every) - STEPS]) + 1, np.zeros(STEPS, np.int64))
-        size = np.array([len(h) for h in words], np.int64)
-        first = np.cumsum(size) - size
         entered = (size + STRIDE - 1) // STRIDE
-        item = np.repeat(np.arange(len(words)), entered)
-        start = STRIDE * (np.arange(len(item)) - np.repeat(np.cumsum(entered) - entered, entered))
-        end = (first + size)[item]
-        levels, keys, entries = [], [], []
+        item = np.repeat(np.arange(len(kept)), entered)
+        start = STRIDE * _ranges(np.zeros(len(kept), np.int64), entered)
+        levels, keys, entries, n_keys = [], [], [], 0
         for r in range(repetitions):
-            coins, steps = _coins(every, r), sampled_steps(r)
+            coins, steps = _coins(words, r), sampled_steps(r)
             at, path = first[item] + start, []
             for t in range(steps[-1] + 1):
                 if t in steps:
                     path.append(at)
                 at = at + ((coins[at] >> np.uint64(t)) & np.uint64(1)).astype(np.int64)
-            whole = path[-1] < end
+            whole = path[-1] < first[item + 1]
             sampled = [number[p[whole]] for p in path]
             tables = [np.zeros(len(vocabulary) + 1, bool) for _ in path]
             for table, n in zip(tables, sampled, strict=True):
                 table[n] = True
-            key = cls.key(np.stack(sampled, axis=1).astype(np.uint64))
-            order = np.lexsort((start[whole], item[whole], key))
+            distinct, which = np.unique(cls.key(np.stack(sampled, axis=1).astype(np.uint64)), return_inverse=True)
             levels.append(tables)
-            keys.append(key[order])
-            entries.append(np.column_stack([item[whole], start[whole]])[order])
-        return cls([i for i, _ in kept], words, vocabulary, maybe, levels, keys, entries, short)
+            keys.append(distinct)
+            entries.append(np.column_stack([item[whole], which + n_keys, start[whole]]))
+            n_keys += len(distinct)
+        entry = np.concatenate([*entries, np.zeros((0, 3), np.int64)])
+        entry = entry[np.argsort(entry[:, 0], kind="stable")]
+        sets, set_first, set_items = _sets(entry[:, 1], entry[:, 0], n_keys)
+        return cls([i for i, _ in kept], words[:first[-1]], number[:first[-1]].astype(np.int32), first, vocabulary,
+                   maybe, levels, keys, sets, set_first, set_items.astype(np.int32),
+                   np.searchsorted(entry[:, 0], np.arange(len(kept) + 1)),
+                   entry[:, 1].astype(np.int32), entry[:, 2].astype(np.int32), short)
+
+    def item(self, k: int) -> np.ndarray:
+        return self.words[self.first[k]:self.first[k + 1]]
 
     @staticmethod
     def key(path: np.ndarray) -> np.ndarray:
@@ -149,12 +172,12 @@ class Index:
             out[some[hit]] = at[hit] + 1
         return out
 
-    def candidates(self, h: np.ndarray) -> np.ndarray:
-        """(place, item, start in the item) of windows of ``h`` that share a key with an item."""
+    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' numbers; place and key of the windows of ``h`` that share a key with an item."""
         number = np.concatenate([self.numbers(h), np.zeros(STEPS, np.int32)])
         padded = np.concatenate([h, np.zeros(STEPS, np.uint64)])
-        out = []
-        for r, (tables, keys, entries) in enumerate(zip(self.levels, self.keys, self.entries, strict=True)):
+        places, found, before = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+        for r, (tables, keys) in enumerate(zip(self.levels, self.keys, strict=True)):
             if not len(keys):
                 continue
             coins = _coins(padded, r)
@@ -168,14 +191,72 @@ class Index:
                 stay = np.flatnonzero(table[n])
                 start, at = start[stay], at[stay]
                 path = [*(p[stay] for p in path), n[stay]]
-            if not len(start):
-                continue
             key = self.key(np.stack(path, axis=1).astype(np.uint64))
-            low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
-            many = high - low
-            which = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            out.append(np.column_stack([np.repeat(start, many), entries[which]]))
-        return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+            which = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            same = np.flatnonzero(keys[which] == key)
+            places.append(start[same])
+            found.append(which[same] + before)
+            before += len(keys)
+        return number[:len(h)], np.concatenate(places), np.concatenate(found)
+
+    def candidates(self, h: np.ndarray, hits: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """(place of the item's first word, item) where the text ``h`` shares a key with an item.
+
+        Items of which the text has too few words to hold them are left out.  Rows are
+        distinct and sorted by item, then place; a place may lie before the text.
+        """
+        number, place, key = self.hits(h) if hits is None else hits
+        sets = np.unique(self.sets[key])
+        items = np.unique(self.set_items[_ranges(self.set_first[sets], self.set_first[sets + 1] - self.set_first[sets])])
+        if not len(items):
+            return np.zeros((0, 2), np.int64)
+        there = np.zeros(len(self.vocabulary) + 1, bool)
+        there[number] = True
+        there[0] = False
+        size = self.first[items + 1] - self.first[items]
+        have = np.add.reduceat(there[self.numbered[_ranges(self.first[items], size)]], np.cumsum(size) - size,
+                               dtype=np.int64)
+        order = np.argsort(key, kind="stable")
+        place, key = place[order].astype(np.int64), key[order]
+        out = []
+        for k in items[have >= size - edits_allowed(size)].tolist():
+            own = slice(self.entry_first[k], self.entry_first[k + 1])
+            low = np.searchsorted(key, self.entry_key[own])
+            many = np.searchsorted(key, self.entry_key[own], "right") - low
+            parts = np.flatnonzero(np.diff(np.cumsum(many) // PLACES, prepend=0))
+            found = np.zeros(0, np.int64)
+            for e in np.split(np.arange(len(many)), parts):
+                begin = place[_ranges(low[e], many[e])] - np.repeat(self.entry_start[own][e], many[e])
+                found = np.union1d(found, begin)
+            out.append(np.column_stack([found, np.full(len(found), k)]))
+        return np.concatenate([*out, np.zeros((0, 2), np.int64)])
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of each range, range after range."""
+    return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
+def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal numbers."""
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(x)) + 1, [len(x)]]).tolist() if len(x) else []
+    return zip(edge[:-1], edge[1:], strict=True)
+
+
+def _sets(key: np.ndarray, item: np.ndarray, n_keys: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each key's set of items; where each set begins in the list of their items.
+
+    Sets are told apart by a sum of 64-bit hashes of their items.
+    """
+    if not n_keys:
+        return np.zeros(0, np.int32), np.zeros(1, np.int64), item
+    pairs = np.unique(key << 32 | item)
+    edge = np.searchsorted(pairs >> 32, np.arange(n_keys + 1))
+    item = pairs & 0xFFFFFFFF
+    marks = np.add.reduceat(mix64(item.astype(np.uint64) ^ constants(9, 1)[0]), edge[:-1])
+    _, one, sets = np.unique(marks, return_index=True, return_inverse=True)
+    size = edge[one + 1] - edge[one]
+    return sets.astype(np.int32), np.concatenate([[0], np.cumsum(size)]), item[_ranges(edge[one], size)]
 
 
 def best_match(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -201,6 +282,8 @@ def best_match(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int,
         begin = new_begin[source]
         if row[m] <= most and (best is None or row[m] < best[0]):
             best = (int(row[m]), int(begin[m]), j)
+            if not best[0]:
+                break
     return best
 
 
@@ -291,31 +374,34 @@ def _word_for_word(index: Index, h: np.ndarray, starts: np.ndarray) -> Iterator[
 
 def _verified(index: Index, h: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
     """(text, (item_id, edits, begin, end)) of the best match of each text and item."""
-    near = index.candidates(h)
-    if not len(near):
-        return
-    own = np.searchsorted(starts, near[:, 0], "right") - 1
-    near = np.unique(np.column_stack([own, near[:, 1], near[:, 0] - near[:, 2]]), axis=0)
-    edge = np.flatnonzero(np.concatenate([[True], (near[1:, :2] != near[:-1, :2]).any(axis=1)]))
-    for lo, hi in zip(edge, np.append(edge[1:], len(near)), strict=True):
-        d, k = near[lo, :2]
-        item = index.words[k]
-        most = edits_allowed(len(item))
-        best = None
-        at = lo
-        while at < hi:  # windows that overlap are one stretch of text
-            to = at
-            while to + 1 < hi and near[to + 1, 2] <= near[to, 2] + len(item):
-                to += 1
-            begin = max(int(starts[d]), int(near[at, 2]) - most)
-            end = min(int(starts[d + 1]), int(near[to, 2]) + len(item) + most)
-            at = to + 1
-            text = h[begin:end]
-            if np.isin(item, text).sum() < len(item) - most:
-                continue
-            found = best_match(item, text, most)
-            if found and (best is None or found[0] < best[0]):
-                shift = begin - int(starts[d])
-                best = (found[0], found[1] + shift, found[2] + shift)
-        if best:
-            yield int(d), (index.ids[k], *best)
+    number, place, key = index.hits(h)
+    own = np.searchsorted(starts, place, "right") - 1
+    order = np.argsort(own, kind="stable")
+    place, key, own = place[order], key[order], own[order]
+    for lo, hi in _runs(own):
+        first, last = starts[own[lo]], starts[own[lo] + 1]
+        text = h[first:last]
+        near = index.candidates(text, (number[first:last], place[lo:hi] - first, key[lo:hi]))
+        for a, b in _runs(near[:, 1]):
+            k = int(near[a, 1])
+            found = _best_of(index.item(k), text, near[a:b, 0])
+            if found:
+                yield int(own[lo]), (index.ids[k], *found)
+
+
+def _best_of(item: np.ndarray, text: np.ndarray, places: np.ndarray) -> tuple[int, int, int] | None:
+    """The first best match of ``item`` near ascending ``places``."""
+    most = edits_allowed(len(item))
+    best = None
+    # Windows that overlap are one stretch of text.
+    for near in np.split(places, np.flatnonzero(np.diff(places) > len(item)) + 1):
+        begin = max(0, int(near[0]) - most)
+        stretch = text[begin:max(0, int(near[-1]) + len(item) + most)]
+        if np.isin(item, stretch).sum() < len(item) - most:
+            continue
+        found = best_match(item, stretch, most)
+        if found and (best is None or found[0] < best[0]):
+            best = (found[0], found[1] + begin, found[2] + begin)
+            if not best[0]:
+                break
+    return best
