@@ -57,6 +57,23 @@ def test_sharding(docs, some):
     assert max(load.values()) <= 1.01 * max(heap)
 
 
+def test_sharding_a_crowd_of_alike_rows(docs, some, monkeypatch):
+    crowd = [(None, "the same page", "en", "a")] * 1001 + [(7, None, "en", "a")] * 16 + [(None, None, None, None)] * 9
+    monkeypatch.setattr(sharding, "ALIKE", 8)
+    got = [sharding.shard_documents(docs(some + crowd).repartition(n), 3).collect() for n in (2, 5)]
+    assert Counter(got[0]) == Counter(got[1])  # slots do not depend on where rows lie
+    rows = Counter((d, 16 + len((t or "").encode())) for d, t, *_ in some + crowd)
+    assert Counter((r.doc_id, r.size) for r in got[0]) == rows
+    slots = defaultdict(list)
+    for r in got[0]:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    page = [r for r in got[0] if r.doc_id is None and r.size == 16 + len("the same page")]
+    assert len(page) == 1001 and len({r.shard for r in page}) == 1
+    at = sorted(r.slot for r in page)  # numbered in several buckets, other rows in between
+    assert at[-1] - at[0] >= 1001
+
+
 def test_deal_fills_like_a_heap():
     classes = [(1000, 3, 3000), (10, 5000, 50000), (7, 1, 7)]
     load = np.zeros(5)

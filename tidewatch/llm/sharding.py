@@ -21,6 +21,8 @@ from .common import checkpointed, spread
 BITS = 12
 #: Bytes that a row takes besides its text.
 ROW_BYTES = 16
+#: Rows that are alike in id and text travel as one row for up to so many.
+ALIKE = 4096
 
 
 def deal(classes: list[tuple[int, int, int]], shards: int) -> list[tuple[int, list, list]]:
@@ -67,15 +69,22 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     rows included, share a shard; slots run from 0 without gaps in order of a hash bucket
     and doc_id.  Documents without an id take slots like others.  text_crc32 of a null
     text is null.  An empty table gives an empty result.
+
+    Rows alike in id and text are counted first and then travel in parts of ``ALIKE``, each
+    in a bucket of its own, so a crowd of them is neither shuffled whole nor numbered in one task.
     """
     n = spread(docs.sparkSession)
     text = F.col("text")
-    rows = checkpointed(docs.select(
+    alike = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.coalesce(F.sha2(text, 256), F.lit("")).alias("copy")))
-    groups = (rows.groupBy("copy").agg(F.sum("size").alias("bytes"))
+        F.coalesce(F.sha2(text, 256), F.lit("")).alias("copy")).groupBy(
+        "doc_id", "size", "text_crc32", "copy").agg(F.count("*").alias("alike"))
+    rows = checkpointed(alike.withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(alike - 1) div {ALIKE}")))).withColumn(
+        "alike", F.least(F.col("alike") - F.col("part") * ALIKE, F.lit(ALIKE))))
+    groups = (rows.groupBy("copy").agg(F.sum(F.col("size") * F.col("alike")).alias("bytes"))
               .withColumn("drop_bits", F.greatest(F.length(F.bin("bytes")) - BITS, F.lit(0)))
               .select("copy", "bytes",
                       F.expr("shiftleft(shiftright(bytes, drop_bits), drop_bits)").alias("cls"),
@@ -95,15 +104,17 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
                   "element_at(owners, size(filter(begins, b -> b <= place + offset)))")
                   .alias("shard")))
     home = checkpointed(rows.join(placed, "copy").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(n))))
-    counts = home.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+        "bucket", F.pmod(F.xxhash64("doc_id", "copy", "part"), F.lit(n))))
+    counts = home.groupBy("shard", "bucket").agg(F.sum("alike").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("shard", "bucket",
                          F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "copy")
-    return (home.withColumn("nth", F.row_number().over(own) - 1)
+    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "copy", "part").rowsBetween(
+        Window.unboundedPreceding, 0)
+    last = F.col("base") + F.col("upto") - 1
+    return (home.withColumn("upto", F.sum("alike").over(own))
             .join(base, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
                     F.col("shard").cast("int").alias("shard"),
-                    (F.col("base") + F.col("nth")).cast("long").alias("slot"),
+                    F.explode(F.sequence((last - F.col("alike") + 1).cast("long"), last.cast("long"))).alias("slot"),
                     F.lit(None).cast("int").alias("grown_shard")))
