@@ -126,3 +126,19 @@ def test_one_read_of_the_facts(spark, table, tmp_path):
     assert df.count() == 10
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") <= 2  # AQE shows plans twice
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [country") == 1
+
+
+def test_words_of_a_name_are_taken_once(spark, table):
+    df = spark.range(2).select(F.concat(F.lit("Iran"), F.col("id").cast("string")).alias("country"))
+    # two expressions for the whole name, two for the part before a parenthesis
+    counts = [out._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") for out in (
+        df.select(places.country_by_words(F.col("country")).alias("code")),
+        crosswalk.add_code(df, "country", table, drop_unmatched=True))]
+    assert counts == [4, 4]
+
+
+def test_known_names_replace_a_column_in_place(frame, table):
+    df = frame([("old", "Peru", 1), ("old", "Nowhere", 2)], "code string, country string, n int")
+    out = crosswalk.add_code(df, "country", table, drop_unmatched=True)
+    assert [tuple(r) for r in out.collect()] == [("PER", "Peru", 1)]
+    assert out.columns == df.columns

@@ -11,12 +11,14 @@ import functools
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch import constants as K
 
-RULES = "map<string, array<struct<code string, needs array<string>, bars array<string>>>>"
+#: By first letter and word: a look-up in a map passes its keys one by one.
+RULES = "map<string, map<string, array<struct<code string, needs array<string>, bars array<string>>>>>"
 
 #: Latin letters with marks, by the rule that their first decomposed character is the plain one.
 _MARKED = [chr(c) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)) if unicodedata.decomposition(chr(c))]
@@ -71,16 +73,30 @@ def name_rules() -> tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...]:
     return tuple(rules)
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it.
+
+    A lambda computes what it captures for each element anew, unless it is itself the variable
+    of a lambda.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _best(words: Column, rules: Column) -> Column:
     """The code of the rule with most words among those that hold; null if two codes tie."""
+    listed = F.filter(
+        F.transform(words, lambda w: F.try_element_at(F.try_element_at(rules, F.left(w, F.lit(1))), w)),
+        lambda r: r.isNotNull())
     held = F.filter(
-        F.flatten(F.transform(F.filter(words, lambda w: F.map_contains_key(rules, w)),
-                              lambda w: F.element_at(rules, w))),
+        F.flatten(listed),
         lambda r: (F.size(F.array_except(r["needs"], words)) == 0) & ~F.arrays_overlap(r["bars"], words))
-    most = F.array_max(F.transform(held, lambda r: F.size(r["needs"])))
-    codes = F.array_distinct(F.transform(
-        F.filter(held, lambda r: F.size(r["needs"]) == most), lambda r: r["code"]))
-    return F.when(F.size(codes) == 1, F.get(codes, F.lit(0)))
+
+    def longest(held: Column) -> Column:
+        most = F.array_max(F.transform(held, lambda r: F.size(r["needs"])))
+        return _bound(most, lambda most: F.array_distinct(F.transform(
+            F.filter(held, lambda r: F.size(r["needs"]) == most), lambda r: r["code"])))
+
+    return _bound(_bound(held, longest), lambda codes: F.when(F.size(codes) == 1, F.get(codes, F.lit(0))))
 
 
 def country_by_words(name: Column) -> Column:
@@ -89,15 +105,15 @@ def country_by_words(name: Column) -> Column:
     Of rules that hold, the one with most words decides, so Papua New Guinea is not Guinea.
     Where the whole text decides nothing, the part before a parenthesis may.  One expression
     over constants: no join and no second read; ``coalesce`` with an exact match runs it for
-    the rest only.
+    the rest only.  The words of a text are taken once.
     """
-    by_word: dict[str, list[dict]] = {}
+    by_word: dict[str, dict[str, list[dict]]] = {}
     for code, needs, bars in name_rules():
-        by_word.setdefault(max(needs, key=len), []).append({"code": code, "needs": needs, "bars": bars})
+        word = max(needs, key=len)
+        by_word.setdefault(word[0], {}).setdefault(word, []).append({"code": code, "needs": needs, "bars": bars})
     rules = F.from_json(F.lit(json.dumps({"x": by_word})), f"x {RULES}")["x"]
-    return F.coalesce(
-        _best(name_words(name), rules),
-        F.when(name.contains("("), _best(name_words(F.substring_index(name, "(", 1)), rules)))
+    best = lambda text: _bound(name_words(text), lambda words: _best(words, rules))
+    return F.coalesce(best(name), F.when(name.contains("("), best(F.substring_index(name, "(", 1))))
 
 
 def country_names(spark: SparkSession) -> DataFrame:

@@ -58,8 +58,11 @@ def add_code(df: DataFrame, name: str, crosswalk: DataFrame, code: str = "code",
     found = F.col("_exact")
     if by_words:
         found = F.coalesce(found, places.country_by_words(F.col(name)))
-    coded = listed.withColumn(code, found).drop("_key", "_exact")
-    return coded.filter(F.col(code).isNotNull()) if drop_unmatched and by_words else coded
+    if drop_unmatched and by_words:
+        # Generated, since a filter on a projected column would look every name up twice.
+        known = listed.select("*", F.stack(F.lit(1), found).alias("_found")).filter(F.col("_found").isNotNull())
+        return known.withColumn(code, F.col("_found")).drop("_key", "_exact", "_found")
+    return listed.withColumn(code, found).drop("_key", "_exact")
 
 
 def add_name(df: DataFrame, code: str, name: str = "country_name") -> DataFrame:
