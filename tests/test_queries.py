@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import check_oracle
+from workload import queries as W
 from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,15 @@ def test_lineage_columns_add_up(spark):
     parts = [c for c in wide.columns if c.startswith("Brand#") or c == "Other lineages"]
     total = sum(F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in parts)
     assert len(parts) == 13 and wide.filter(total != F.col("`All lineages`")).count() == 0
+
+
+@pytest.mark.parametrize("name, folder, least", [("seq_kept_up", "landing", 6), ("submission_files", "submissions", 20)])
+def test_landed_files_grow_in_number_not_in_size(spark, con, tmp_path, monkeypatch, name, folder, least):
+    """So does what the task that writes one reads."""
+    monkeypatch.setattr(W, "FILE_RECORDS", 100)
+    monkeypatch.setattr(W, "scratch_folder", lambda spark: str(tmp_path))
+    line, ok = check_oracle.compare(name, spark, con, SF)
+    assert ok, line
+    sizes = [sum(1 for _ in p.open()) for p in tmp_path.rglob("*.csv") if folder in p.parts]
+    assert len(sizes) > least and len(sizes) % least == 0
+    assert max(sizes) <= 150 < sum(sizes) / least

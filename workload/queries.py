@@ -1135,13 +1135,23 @@ def case_files(spark, sf):
     return readers.read_cases(spark, landed(wide, "cases"), ["iso_code", "date", "new_cases"])
 
 
+#: Batches that a feed comes in, and records of a landed file, about.
+FEED_BATCHES, FILE_RECORDS = 6, 500_000
+
+
+def landing_files(n_records: int, least: int) -> int:
+    """Files of bounded size for so many records: a multiple of ``least``."""
+    return least * max(1, -(-n_records // (least * FILE_RECORDS)))
+
+
 @query
 def submission_files(spark, sf):
     """Submissions per place and day from a folder of tab-separated files."""
     rows = V.line_list(spark, sf, lineage=True).select(
         F.col("accession_id").alias("Accession ID"), F.concat_ws(" / ", "region", "country").alias("Location"),
         F.col("submission_date").alias("Submission date"), F.col("pango_lineage").alias("Lineage"))
-    back = readers.read_submissions(spark, landed(rows.repartition(20), "submissions", "\t"))
+    n_files = landing_files(V.table(spark, sf, "lineitem").count(), 20)
+    back = readers.read_submissions(spark, landed(rows.repartition(n_files), "submissions", "\t"))
     return back.groupBy("location", "submission_date").agg(
         F.count("*").alias("n"), F.countDistinct("lineage").alias("n_lineages"))
 
@@ -1194,8 +1204,9 @@ def seq_kept_up(spark, sf):
     rows = V.line_list(spark, sf, lineage=True).select(
         "accession_id", "country", F.concat_ws(" / ", "region", "country").alias("location"), "submission_date",
         "collection_date", F.lit("G").alias("clade"), "pango_lineage")
-    rows.repartition(6).write.csv(f"{folder}/landing")
-    feed = live.landed_feed(spark, f"{folder}/landing", files_per_batch=1)
+    n_files = landing_files(V.table(spark, sf, "lineitem").count(), FEED_BATCHES)
+    rows.repartition(n_files).write.csv(f"{folder}/landing")
+    feed = live.landed_feed(spark, f"{folder}/landing", files_per_batch=n_files // FEED_BATCHES)
     live.keep_deltas(feed, f"{folder}/deltas", f"{folder}/checkpoint", keys=["country"],
                      compact_every=2).awaitTermination()
     out = live.current_series(spark, f"{folder}/deltas", V.FIRST, V.LAST, ["country"])
