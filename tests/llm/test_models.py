@@ -231,3 +231,24 @@ def test_language_scores_are_those_of_sets(docs):
         best = max(sorted(left), key=lambda x: left[x])
         assert got[i].lang_pred == best
         assert abs(got[i].score - left[best] / sum(left.values())) < 0.02
+
+
+def test_texts_of_the_sample_meet_their_labels_without_a_shuffle(docs, spark, monkeypatch):
+    seen, least_shingle = [], toxicity._least_shingle
+    monkeypatch.setattr(toxicity, "_least_shingle", lambda some: seen.append(some) or least_shingle(some))
+    rows = [(i, f"{'ugly scumbag' if i % 4 == 0 else 'kind words'} number {i}") for i in range(200)]
+    rows += [(8, "scumbag again"), (None, "no id"), (7, None)]
+    labels = spark.createDataFrame(
+        [(i, int(i % 4 == 0)) for i in range(200)] + [(9, 1), (None, 1), (999, 1)], "doc_id long, toxic int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lexicon = toxicity.learn_from(docs(rows), labels)
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+        kept = sorted((r.doc_id, r.text, r.toxic) for r in seen[0].collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert kept == sorted((i, t, int(i % 4 == 0 or i == 9)) for i, t in rows
+                          if None not in (i, t) and zlib.crc32(str(i).encode()) % 5)
+    assert " scumbag" in lexicon.weights or any(" scumbag".startswith(k) for k in lexicon.weights)

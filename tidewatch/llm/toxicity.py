@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batch_of, checkpointed, crc_mod, kept_rows, rolled, word_hashes
+from .common import batch_of, checkpointed, crc_mod, kept_rows, rolled, stored, word_hashes
 
 #: Labelled documents that the lexicon is learned from, about.
 SAMPLE_DOCS = 40_000
@@ -177,17 +177,24 @@ def _least_shingle(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text string, toxic int, like long")
 
 
+def _sampled(rows: DataFrame, n: int, sample_docs: int) -> DataFrame:
+    """About ``sample_docs`` of the ``n`` rows, by their doc_id."""
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
+    return rows.filter(place < min(1.0, sample_docs / n))
+
+
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Lexicon:
-    """A lexicon from ``labelled`` (doc_id, text, toxic 0 or 1), from a bounded sample.
+    """A lexicon from ``labelled`` (doc_id, text, toxic 0 or 1), from a bounded sample."""
+    n = labelled.count()
+    return _learned(_sampled(labelled, n, sample_docs)) if n else Lexicon()
+
+
+def _learned(some: DataFrame) -> Lexicon:
+    """A lexicon from all of ``some`` (doc_id, text, toxic).
 
     Of near copies one is used, so that a much copied text does not make its words weigh.
     An entry needs log odds and evidence that chance would not give to any candidate.
     """
-    n = labelled.count()
-    if not n:
-        return Lexicon()
-    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    some = labelled.filter(place < min(1.0, sample_docs / n))
     one = (_least_shingle(some).groupBy("like", "toxic").agg(F.min_by("text", "doc_id").alias("text"))
            .select("text", "toxic").cache())
     try:
@@ -313,8 +320,13 @@ def learn_from(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Lexicon:
     known = (labels.filter("toxic in (0, 1) and doc_id is not null")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     known = known.filter(crc_mod(F.col("doc_id"), folds) != 0)
-    return learn(docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                 .join(known, "doc_id"))
+    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The ids meet their labels first; those of the sample are few, so its texts are not shuffled.
+    labelled = stored(texts.select("doc_id").join(known, "doc_id"))
+    n = labelled.count()
+    if not n:
+        return Lexicon()
+    return _learned(texts.join(F.broadcast(_sampled(labelled, n, SAMPLE_DOCS).distinct()), "doc_id"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
